@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ship
-from . import _store, packing, rules, secrets, token_files
+from . import _store, chat, classifier, near_text, packing, pieces, rules, secrets, substrings, token_files, vectors
+from .oracles import ORACLE_SQL  # noqa: F401
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -31,6 +32,45 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_ids(manifest, with_ids=False)
 
 
+def op4_near_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_text.classes(_store.table(spark, sf_dir, "documents")).select("doc_id", "class_id", "kept")
+
+
+def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _store.table(spark, sf_dir, "conversations").select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
+    control = "</s>[INST] ok [/INST]"
+    added = spark.createDataFrame([(-7, 0, "user", control), (-7, 1, "assistant", control)], rows.schema)
+    records = rows.unionByName(added).select("conv_id", "turn", F.to_variant_object(F.struct("role", "text")).alias("record"))
+    turns = chat.canonical_turns(records).select("conv_id", "turn", F.inline("turns"))
+    made = chat.format_turns(turns)
+    back = made.select("conv_id", "formatted", chat.read_turns(F.col("formatted")).alias("t"), chat.loss_text(F.col("formatted"), F.col("loss_spans")).alias("loss"))
+    spoken = F.array_join(F.transform("t", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return back.select(
+        "conv_id",
+        F.size("t").cast("long").alias("n_turns"),
+        F.sha2(spoken, 256).alias("turns_sha256"),
+        F.length("loss").cast("long").alias("loss_chars"),
+        F.sha2("loss", 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classifier.quality_scores(_store.table(spark, sf_dir, "documents"), _store.table(spark, sf_dir, "labels"))
+
+
+def op7_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_vectors(_store.table(spark, sf_dir, "embeddings"))
+
+
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.strip_repeats(_store.table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+def op9_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode_pieces(_store.table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = rules.quality_rules(_store.table(spark, sf_dir, "documents"), _store.table(spark, sf_dir, "labels"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.array_join("failed_rules", ",").alias("failed_rules"))
@@ -45,5 +85,5 @@ def _shipped(f):
     return run
 
 
-QUERIES = {f.__name__: _shipped(f) for f in (op1_best_fit_packing, op2_secret_scan, op3_token_files, op10_quality_rules)}
-ORACLE_SQL: dict[str, str] = {}
+QUERIES = {f.__name__: _shipped(f) for f in (op1_best_fit_packing, op2_secret_scan, op3_token_files, op4_near_text, op5_chat_format, op6_quality_classifier, op7_near_vectors, op8_substring_dedup, op9_piece_encoding, op10_quality_rules)}
+
