@@ -1,12 +1,74 @@
-"""A corpus through the training-data operators: classify, deduplicate, clean, pack."""
+"""A corpus through the training-data operators: classify, remove near copies, remove repeated passages, redact, pack.
+
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes each result as Parquet in the shared folder and
+reads it again as the next stage's documents.  All stages but the last return the columns of ``documents``.
+
+Defined results: a null text is empty for every decision; rows that repeat a doc_id are separate documents, but rows that
+repeat doc_id and text are one from the near-duplicate stage on; a document whose every word is a repeat goes with them.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lodestrand.llm import _store, classifier, near_text, packing, secrets, substrings
+from lodestrand.llm.queries import tokenizer_path
+from lodestrand.session import ship
+
+#: Documents that score below this go.
+QUALITY = 0.5
+
+
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Fit on the labelled documents of the input; keep what scores at least ``QUALITY``."""
+    ship(spark)
+    model = classifier.fit(classifier.document_stats(docs), _store.table(spark, sf_dir, "labels"))
+    return classifier.score_texts(docs, model).filter(F.col("score") >= QUALITY).select(*docs.columns)
+
+
+def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep the document with the least doc_id of each class of near copies."""
+    ship(spark)
+    kept = near_text.classes(docs).filter("kept").select(F.col("doc_id").alias("_doc_id"), F.col("key").alias("_key")).distinct()
+    keyed = docs.withColumn("_own", near_text.text_key())
+    held = keyed.join(kept, F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("_own") == F.col("_key")), "left_semi")
+    return held.dropDuplicates(["doc_id", "_own"]).select(*docs.columns)
+
+
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the words of repeated passages; texts that repeat nothing stay as they are."""
+    ship(spark)
+    return substrings.without_repeats(docs).select(*docs.columns)
+
+
+def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts with every found secret replaced."""
+    ship(spark)
+    clean = secrets.redact_secrets(docs)
+    return clean.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents with their places in the training sequences, ids included."""
+    ship(spark)
+    return packing.pack_documents(docs, tokenizer_path(), with_ids=True)
+
+
+STAGES = [
+    ("quality_classifier", quality_classifier),
+    ("minhash_near_dedup", minhash_near_dedup),
+    ("substring_dedup", substring_dedup),
+    ("secret_scan", secret_scan),
+    ("best_fit_packing", best_fit_packing),
+]
 
-STAGES: list = []
+#: No SQL for run()'s rows: the classifier's fit and the tokenizer have none; tests hold it against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    docs = _store.table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = _store.materialize(stage(spark, docs, sf_dir), name)
+    return docs.drop("ids")

@@ -143,10 +143,7 @@ def _strip(docs: DataFrame, window: int) -> DataFrame:
                 words = text.encode().split()
                 n = len(words)
                 if spans:
-                    cover = np.zeros(n + 1, np.int32)
-                    np.add.at(cover, [s["lo"] for s in spans], 1)
-                    np.add.at(cover, [s["hi"] + window for s in spans], -1)
-                    words = [w for w, c_ in zip(words, np.cumsum(cover[:-1]).tolist(), strict=True) if not c_]
+                    words = _left(words, spans, window)
                 kept.append(b" ".join(words))
                 n_words.append(n)
                 n_removed.append(n - len(words))
@@ -181,6 +178,46 @@ def _same_document() -> Column:
     return F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("tie") == F.col("_tie"))
 
 
+def without_repeats(docs: DataFrame, window: int = WINDOW, k: int = GRAM) -> DataFrame:
+    """All columns of docs (doc_id, text and any others): texts without their repeated words, the words left joined by one
+    space; texts that repeat nothing are untouched.  A document of which no word is left is dropped.  n_chars, if there, follows."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    rows = docs.withColumn("tie", _tie_of_null())
+    spans = duplicate_spans(rows.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "tie"), window, k)
+    held = rows.join(_renamed(spans), _same_document(), "left").select(*(docs[c] for c in docs.columns), "spans")
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for c in batches:
+            texts, keep = c.column(at).to_pylist(), []
+            for i, spans in enumerate(c.column(c.num_columns - 1).to_pylist()):
+                if spans:
+                    left = _left(texts[i].encode().split(), spans, window)
+                    texts[i] = b" ".join(left).decode()
+                    keep.append(bool(left))
+                else:
+                    keep.append(True)
+            cols = [pa.array(texts, pa.string()) if i == at else c.column(i) for i in range(c.num_columns - 1)]
+            yield pa.RecordBatch.from_arrays(cols, names=docs_names).filter(pa.array(keep, pa.bool_()))
+
+    docs_names = to_arrow_schema(docs.schema).names
+    out = held.mapInArrow(run, docs.schema)
+    return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
+
+
+def _tie_of_null() -> Column:
+    return F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
+
+
+def _left(words: list[bytes], spans: list[dict], window: int) -> list[bytes]:
+    """The words that no span's windows cover."""
+    cover = np.zeros(len(words) + 1, np.int32)
+    np.add.at(cover, [s["lo"] for s in spans], 1)
+    np.add.at(cover, [s["hi"] + window for s in spans], -1)
+    return [w for w, c in zip(words, np.cumsum(cover[:-1]).tolist(), strict=True) if not c]
+
+
 def strip_repeats(docs: DataFrame, window: int = WINDOW, k: int = GRAM) -> DataFrame:
     """doc_id, tie (hash of the text), n_words, n_removed, kept, kept_sha256 of every row."""
     rows = _store.id_text(docs).withColumn("tie", _tie())
