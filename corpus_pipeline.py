@@ -24,22 +24,23 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     """Fit on the labelled documents of the input; keep what scores at least ``QUALITY``."""
     ship(spark)
     model = classifier.fit(classifier.document_stats(docs), _store.table(spark, sf_dir, "labels"))
-    return classifier.score_texts(docs, model).filter(F.col("score") >= QUALITY).select(*docs.columns)
+    row = docs.select(F.struct("*").alias("row"), "text")
+    return classifier.score_texts(row, model).filter(F.col("score") >= QUALITY).select("row.*")
 
 
 def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the document with the least doc_id of each class of near copies."""
     ship(spark)
-    kept = near_text.classes(docs).filter("kept").select(F.col("doc_id").alias("_doc_id"), F.col("key").alias("_key")).distinct()
-    keyed = docs.withColumn("_own", near_text.text_key())
-    held = keyed.join(kept, F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("_own") == F.col("_key")), "left_semi")
-    return held.dropDuplicates(["doc_id", "_own"]).select(*docs.columns)
+    kept = near_text.classes(docs).filter("kept").select(F.col("doc_id").alias("kept_id"), "key").distinct()
+    rows = docs.select(F.struct("*").alias("row"), "doc_id", near_text.text_key().alias("own"))
+    held = rows.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col("own") == F.col("key")), "left_semi")
+    return held.dropDuplicates(["doc_id", "own"]).select("row.*")
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the words of repeated passages; texts that repeat nothing stay as they are."""
     ship(spark)
-    return substrings.without_repeats(docs).select(*docs.columns)
+    return substrings.without_repeats(docs)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -53,3 +53,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def id_text(docs: DataFrame, *more: str) -> DataFrame:
     """doc_id, text (null: empty) and the named further columns; any other column is pruned at the scan."""
     return docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"), *more)
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores in front as keep it apart from the columns of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for n in names:
+        while n.lower() in taken:
+            n = "_" + n
+        taken.add(n.lower())
+        out.append(n)
+    return out

@@ -211,11 +211,11 @@ def predict(rows: DataFrame, model: Model, stats: str = "stats") -> DataFrame:
 
 
 def score_texts(docs: DataFrame, model: Model) -> DataFrame:
-    """All columns of docs and score, in one pass over the texts and without a shuffle."""
+    """All columns of docs and score (replacing one of that name), in one pass over the texts and without a shuffle."""
     from pyspark.sql.types import StructType
 
     shared, names = docs.sparkSession.sparkContext.broadcast(model), [c for c in docs.columns if c != "score"]
-    held = docs.select(*names, F.coalesce(F.col("text"), F.lit("")).alias("_text"))
+    held = docs.select(*names, F.coalesce(F.col("text"), F.lit("")).alias(*_store.fresh(docs, "whole_text")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

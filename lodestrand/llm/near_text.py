@@ -7,8 +7,8 @@ band are candidates.
 
 A candidate pair is verified by a banded alignment of the two k-mer sequences.  Labelled k-mers are unique, so the
 alignment is a longest increasing run of matching places inside the band that the similarity allows; M matches give
-M / (n + m - M).  A pair below the limit by order alone is checked once more by the exact Jaccard similarity of the k-mer
-sets.  Either being at least ``similarity`` links the pair.
+M / (n + m - M).  A pair that falls short only by its order (moved paragraphs) is linked by the exact Jaccard similarity of
+its labelled k-mers instead.
 
 Equal texts are one node from the start.  Within a bucket not all pairs are made: each round compares the members with a
 few leaders of the bucket that lie in other components; linked texts need no more comparisons.  The number of leaders grows by
@@ -92,11 +92,10 @@ def aligned(a: np.ndarray, b: np.ndarray, similarity: float = SIMILARITY) -> boo
     _, at_a, at_b = np.intersect1d(a, b, assume_unique=True, return_indices=True)
     if len(at_a) < need - 1e-9:
         return False
-    # This many labelled k-mers agree.  Indels beyond the band would cost more than the limit allows.
     order = np.argsort(at_a)
     at_a, at_b = at_a[order], at_b[order]
-    band = n + m - 2 * need
-    near = np.abs(at_a - at_b) <= band + 1e-9
+    # Indels beyond the band would cost more than the limit allows.
+    near = np.abs(at_a - at_b) <= n + m - 2 * need + 1e-9
     return _increasing(at_b[near]) >= need - 1e-9 or len(at_a) >= need - 1e-9
 
 
@@ -125,8 +124,9 @@ def _shingled(docs: DataFrame, keys: DataFrame, k: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([c.column("key"), pa.array(own, pa.binary())], schema=schema)
 
     # Only the document that stands for its key is asked for, so each text travels once.
-    asked = keys.select(F.col("doc_id"), F.col("key"))
-    rows = _store.id_text(docs).join(asked, "doc_id").filter(text_key() == F.col("key")).select("key", "text")
+    asked = keys.select(F.col("doc_id").alias("asked_id"), "key")
+    own = _store.id_text(docs).withColumn("own_key", text_key())
+    rows = own.join(asked, F.col("doc_id").eqNullSafe(F.col("asked_id")) & (F.col("own_key") == F.col("key"))).select("key", "text")
     return rows.mapInArrow(run, "key binary, kmers binary").dropDuplicates(["key"])
 
 
@@ -152,7 +152,6 @@ def classes(docs: DataFrame, k: int = K, bands: int = BANDS, rows: int = ROWS, s
     shared = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
     members = _store.materialize(buckets.join(shared, "bucket"), "buckets")
     table = _store.materialize(_shingled(docs, members.select("key", "doc_id").distinct(), k), "kmers")
-    spark = docs.sparkSession
     label = members.select("key", F.col("key").alias("component")).distinct()
     seen, leaders = None, 2
     while True:
@@ -175,7 +174,6 @@ def classes(docs: DataFrame, k: int = K, bands: int = BANDS, rows: int = ROWS, s
         if widest is None or widest <= leaders:
             break
         leaders *= 4
-    del spark
     rows_ = made.select("doc_id", "key").join(label, "key", "left").withColumn("component", F.coalesce("component", "key"))
     least = rows_.groupBy("component").agg(F.min("doc_id").alias("class_id"), F.min(F.struct("doc_id", "key")).alias("_first"))
     out = rows_.join(least, "component")

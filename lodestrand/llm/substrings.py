@@ -183,9 +183,10 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, k: int = GRAM) -> Dat
     space; texts that repeat nothing are untouched.  A document of which no word is left is dropped.  n_chars, if there, follows."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
-    rows = docs.withColumn("tie", _tie_of_null())
-    spans = duplicate_spans(rows.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "tie"), window, k)
-    held = rows.join(_renamed(spans), _same_document(), "left").select(*(docs[c] for c in docs.columns), "spans")
+    rows = docs.select(F.struct("*").alias("row"), "doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("tie", _tie())
+    spans = duplicate_spans(rows.select("doc_id", "text", "tie"), window, k)
+    (name,) = _store.fresh(docs, "spans")
+    held = rows.join(_renamed(spans), _same_document(), "left").select(*(F.col("row")[c].alias(c) for c in docs.columns), F.col("spans").alias(name))
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -206,10 +207,6 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, k: int = GRAM) -> Dat
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
 
 
-def _tie_of_null() -> Column:
-    return F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
-
-
 def _left(words: list[bytes], spans: list[dict], window: int) -> list[bytes]:
     """The words that no span's windows cover."""
     cover = np.zeros(len(words) + 1, np.int32)
