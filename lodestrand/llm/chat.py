@@ -62,7 +62,10 @@ def layout_of(record: Column) -> Column:
     return F.create_map(*pairs)[fingerprint(record)]
 
 
-def _role(name: Column) -> Column:
+def _role(name: Column, key: str) -> Column:
+    """A field that is called role has canonical values; those of other fields go by their aliases."""
+    if key == "role":
+        return F.coalesce(name, F.lit(""))
     return F.coalesce(F.create_map(*(F.lit(x) for kv in ALIASES.items() for x in kv))[F.lower(name)], name, F.lit(""))
 
 
@@ -74,11 +77,11 @@ def _mapped(record: Column, kind: str, fields: tuple) -> Column:
         return F.struct(role.alias("role"), F.coalesce(text, F.lit("")).alias("text"))
 
     if kind == "one":
-        return F.array(turn(_role(get(fields[0])), get(fields[1])))
+        return F.array(turn(_role(get(fields[0]), fields[0]), get(fields[1])))
     if kind == "list":
         path, role, text = fields
         rows = F.try_variant_get(record, path, f"array<struct<`{role}`:string,`{text}`:string>>")
-        return F.transform(rows, lambda t: turn(_role(t[role]), t[text]))
+        return F.transform(rows, lambda t: turn(_role(t[role], role), t[text]))
     system, prompt, context, answer = fields
     asked = F.coalesce(get(prompt), F.lit(""))
     if context:
