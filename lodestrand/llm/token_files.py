@@ -45,24 +45,26 @@ READ = "doc_id long, start long, n_tokens long, ids binary"
 
 def pack_block(values: np.ndarray, percentile: float = PERCENTILE) -> bytes:
     low = int(values.min())
-    diff = values.astype(np.uint32) - np.uint32(low)
+    diff = values.astype("<u4") - np.uint32(low)
     width = int(np.percentile(diff, percentile, method="higher")).bit_length()
     wide = np.flatnonzero(diff >> np.uint32(width)) if width < 32 else np.empty(0, np.int64)
     kept = diff.copy()
     kept[wide] = 0
-    bits = ((kept[:, None] >> np.arange(width, dtype=np.uint32)) & np.uint32(1)).astype(np.uint8)
-    return b"".join((_BLOCK.pack(low, width, len(wide)), np.packbits(bits.ravel(), bitorder="little").tobytes(), wide.astype("<u4").tobytes(), diff[wide].astype("<u4").tobytes()))
+    raw = kept.view(np.uint8).reshape(-1, 4)
+    packed = raw[:, : width // 8] if width % 8 == 0 else np.packbits(np.unpackbits(raw, axis=1, count=width, bitorder="little").ravel(), bitorder="little")
+    return b"".join((_BLOCK.pack(low, width, len(wide)), packed.tobytes(), wide.astype("<u4").tobytes(), diff[wide].astype("<u4").tobytes()))
 
 
 def unpack_block(raw: bytes, n: int) -> np.ndarray:
     low, width, n_wide = _BLOCK.unpack_from(raw)
     size = (n * width + 7) // 8
-    bits = np.unpackbits(np.frombuffer(raw, np.uint8, size, _BLOCK.size), count=n * width, bitorder="little")
-    diff = np.zeros(n, np.uint32)
-    if width:
-        padded = np.zeros((n, 32), np.uint8)
-        padded[:, :width] = bits.reshape(n, width)
-        diff = np.packbits(padded, axis=1, bitorder="little").view("<u4").ravel().astype(np.uint32)
+    packed, whole = np.frombuffer(raw, np.uint8, size, _BLOCK.size), np.zeros((n, 4), np.uint8)
+    if width % 8 == 0:
+        whole[:, : width // 8] = packed.reshape(n, width // 8)
+    else:
+        bits = np.unpackbits(packed, count=n * width, bitorder="little").reshape(n, width)
+        whole[:, : (width + 7) // 8] = np.packbits(bits, axis=1, bitorder="little")
+    diff = whole.view("<u4").ravel()
     at = _BLOCK.size + size
     if n_wide:
         diff[np.frombuffer(raw, "<u4", n_wide, at)] = np.frombuffer(raw, "<u4", n_wide, at + 4 * n_wide)
