@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 
 
-def _cut(df: DataFrame) -> DataFrame:
+def cut(df: DataFrame) -> DataFrame:
     """``checkpoint`` to the folder of spark.checkpoint.dir; one of our own is set only where the session names none."""
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
@@ -50,7 +50,7 @@ def near_pairs(docs: DataFrame, key: str = "doc_id", text: str = "text", width:
     sets = docs.select(F.col(key).alias("key"), F.sort_array(T.shingles(T.normalized_tokens(F.col(text)), width)).alias("set"))
     sets = sets.withColumn("h", F.sha2(F.concat_ws("\n", "set"), 256))
     reps = sets.groupBy("h").agg(F.min("key").alias("rep"), F.first("set").alias("set"))
-    reps = _cut(reps)
+    reps = cut(reps)
     members = sets.select("key", "h").join(reps.select("h", "rep"), "h").select("key", "rep")
     buckets = band_buckets(reps.select("rep", signature(F.col("set"), size).alias("sig")), "rep", "sig", rows)
     shared = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("bucket")
@@ -67,13 +67,13 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 
     nodes: one column ``node``; edges: a, b.  Each round halves distances and is checkpointed.
     """
-    both = _cut(edges.select("a", "b").union(edges.select("b", "a")).filter("a <> b").distinct())
-    label = _cut(nodes.select("node", F.col("node").alias("component")).distinct())
+    both = cut(edges.select("a", "b").union(edges.select("b", "a")).filter("a <> b").distinct())
+    label = cut(nodes.select("node", F.col("node").alias("component")).distinct())
     while True:
         near = both.join(label.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("component").alias("m"))
         hooked = label.join(near, "node", "left").select("node", F.col("component").alias("old"), F.least("component", F.coalesce("m", "component")).alias("c"))
         jump = hooked.select(F.col("node").alias("c"), F.col("c").alias("cc"))
-        new = _cut(hooked.join(jump, "c").select("node", "old", F.least("c", "cc").alias("component")))
+        new = cut(hooked.join(jump, "c").select("node", "old", F.least("c", "cc").alias("component")))
         moved = new.filter("component <> old").limit(1).count()
         label = new.select("node", "component")
         if not moved:
@@ -96,8 +96,8 @@ def ordered_filter(rows: DataFrame, edges: DataFrame, key: str = "key") -> DataF
     edges: a < b.  Each round keeps every undecided row without an undecided earlier neighbour and drops what those neighbour:
     the same outcome as going one by one, in as many rounds as the longest chain of decisions.
     """
-    state = _cut(rows.select(F.col(key).alias("k"), F.lit(None).cast("boolean").alias("kept")))
-    edges = _cut(edges.select("a", "b").distinct())
+    state = cut(rows.select(F.col(key).alias("k"), F.lit(None).cast("boolean").alias("kept")))
+    edges = cut(edges.select("a", "b").distinct())
     while True:
         open_ = state.filter("kept is null").select("k")
         live = edges.join(open_.withColumnRenamed("k", "a"), "a", "left_semi").join(open_.withColumnRenamed("k", "b"), "b", "left_semi")
@@ -105,7 +105,7 @@ def ordered_filter(rows: DataFrame, edges: DataFrame, key: str = "key") -> DataF
         now = open_.join(waits, "k", "left_anti")
         gone = edges.join(now.withColumnRenamed("k", "a"), "a", "left_semi").select(F.col("b").alias("k")).distinct()
         state = state.join(now.withColumn("y", F.lit(True)), "k", "left").join(gone.withColumn("n", F.lit(False)), "k", "left")
-        state = _cut(state.select("k", F.coalesce("kept", "y", "n").alias("kept")))
+        state = cut(state.select("k", F.coalesce("kept", "y", "n").alias("kept")))
         if not state.filter("kept is null").limit(1).count():
             return state.withColumnRenamed("k", key)
 
@@ -117,7 +117,7 @@ def question_filter(questions: DataFrame, key: str = "key", text: str = "text",
     shingles and have a Jaccard similarity of at least ``threshold``, or their normalised texts are equal.
     """
     base = questions.select(F.col(key).alias("k"), T.shingles(T.normalized_tokens(F.col(text)), 3).alias("s"), T.content_hash(F.col(text)).alias("h"))
-    base = _cut(base)
+    base = cut(base)
     # Of equal texts only the first can be kept or neighbour others: the rest follow it.
     first = base.groupBy("h").agg(F.min("k").alias("k"))
     held = base.join(first, ["h", "k"])

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from ..functions import answers as A
 from ..functions import text as T
-from ..operators import curate, dedup, retrieval, sampling
+from ..operators import curate, dedup, passages, planner, questions, registry, retrieval, sampling
 from ..session import ship
+from ..sources import extract
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -322,3 +323,118 @@ def merged_pages(spark, sf_dir):
 def page_checksums(spark, sf_dir):
     content = F.col("html").cast("binary")
     return table(spark, sf_dir, "pages").select("page_id", F.sha2(content, 256).alias("sha256"), T.detect_mime(content, F.lit("page")).alias("mime"))
+
+
+def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents table as document records; the planner knows two languages, so all but English count as the second."""
+    rows = table(spark, sf_dir, "documents")
+    key = F.col("doc_id").cast("string")
+    return rows.select(key.alias("document_id"), F.lit("1").alias("document_version"), key.alias("variant_group_id"), F.when(F.col("lang") == "en", "en").otherwise("tr").alias("language"), "text", F.lit("open").alias("rights_state"), F.lit(True).alias("release_qa"), F.lit(True).alias("release_derived_text"))
+
+
+@query()
+def passage_table(spark, sf_dir):
+    return passages.passages(passages.releasable(_documents(spark, sf_dir))).drop("text", "section_path")
+
+
+@query()
+def passage_stats(spark, sf_dir):
+    return passages.passage_stats(passages.passages(passages.releasable(_documents(spark, sf_dir))))
+
+
+def _candidates(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    docs = passages.releasable(_documents(spark, sf_dir))
+    rows = dedup.cut(passages.passages(docs))
+    return docs, rows, dedup.cut(passages.evidence_candidates(rows))
+
+
+@query()
+def evidence_candidates(spark, sf_dir):
+    return _candidates(spark, sf_dir)[2].select("anchor_id", "passage_id", "language", F.array_join("compatible_types", ",").alias("types"), "passage_char_start", "passage_char_end", "token_count", F.size("mutation_terms").alias("terms"))
+
+
+@query()
+def candidate_capacity(spark, sf_dir):
+    return passages.capacity(_candidates(spark, sf_dir)[2])
+
+
+@query()
+def planned_tasks(spark, sf_dir):
+    return planner.plan_tasks(_candidates(spark, sf_dir)[2], 60, 7, strict=False)[0]
+
+
+@query()
+def validated_questions(spark, sf_dir):
+    docs, rows, found = _candidates(spark, sf_dir)
+    tasks = planner.plan_tasks(found, 60, 7, strict=False)[0]
+    held = questions.validate(questions.generate(tasks, found), rows, docs, found)
+    return held.select("qa_id", "question", "primary_type", "question_language", F.array_join("reasons", ",").alias("reasons"))
+
+
+@query()
+def unanswerable_questions(spark, sf_dir):
+    _, rows, found = _candidates(spark, sf_dir)
+    tasks = planner.plan_tasks(found, 60, 7, strict=False)[0]
+    made = questions.mutate(tasks, questions.generate(tasks, found), found)
+    return made.join(questions.joint_support(made.filter("error is null"), rows), "qa_id", "left").select("qa_id", "question", "mutation_kind", "source_value", "replacement_value", "error", F.array_join("reasons", ",").alias("reasons"))
+
+
+@query("SELECT event_id, unnest(json_keys(props)) AS path, json_extract_string(props, '$.' || unnest(json_keys(props))) AS value FROM events")
+def json_flatten(spark, sf_dir):
+    return table(spark, sf_dir, "events").select("event_id", F.explode(extract.json_leaves(F.col("props"))).alias("path", "value"))
+
+
+@query("SELECT DISTINCT o_custkey FROM orders WHERE o_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus NOT IN ('F', 'O'))")
+def rights_closure(spark, sf_dir):
+    allowed = spark.createDataFrame([("F",), ("O",)], "o_orderstatus string")
+    return registry.all_of(table(spark, sf_dir, "orders"), "o_custkey", "o_orderstatus", allowed)
+
+
+@query("SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
+def missing_ids(spark, sf_dir):
+    return table(spark, sf_dir, "customer").join(table(spark, sf_dir, "orders").withColumnRenamed("o_custkey", "c_custkey"), "c_custkey", "left_anti").select("c_custkey")
+
+
+@query("SELECT page_id, len(regexp_extract_all(html, '<a ')) AS links, len(regexp_extract_all(html, '<h[1-6][ >]')) AS headings, len(regexp_extract_all(html, '<table')) AS tables FROM pages")
+def page_tag_counts(spark, sf_dir):
+    n = lambda p: F.regexp_count("html", F.lit(p))
+    return table(spark, sf_dir, "pages").select("page_id", n("<a ").alias("links"), n("<h[1-6][ >]").alias("headings"), n("<table").alias("tables"))
+
+
+@query()
+def page_markdown(spark, sf_dir):
+    files = table(spark, sf_dir, "pages").select(F.col("page_id").cast("string").alias("path"), F.lit("text/html").alias("mime"), F.col("html").cast("binary").alias("content"))
+    return extract.extract(files).select(F.col("path").cast("long").alias("page_id"), "markdown", F.array_join("kinds", ",").alias("kinds"), "headings_first", "error")
+
+
+@query("SELECT regexp_replace(regexp_replace(source, '[^A-Za-z0-9_.-]+', '_', 'g'), '^_+|_+$', '', 'g') AS shard, count(*) AS documents FROM documents GROUP BY 1")
+def license_shards(spark, sf_dir):
+    return table(spark, sf_dir, "documents").groupBy(T.safe_shard(F.col("source")).alias("shard")).agg(F.count(F.lit(1)).alias("documents"))
+
+
+@query(_BASE + f""", d AS (SELECT *, NOT list_has_any(flags, {_BLOCK}) AS ok FROM c), g AS (SELECT 'accepted_document_count' AS gate, CAST(count_if(ok) AS DOUBLE) AS actual, 500.0 AS threshold FROM d
+UNION ALL SELECT 'duplicate_share', count_if(dup IS NOT NULL) / count(*), 0.05 FROM d UNION ALL SELECT 'human_correctness_and_grounding', NULL, 0.95)
+SELECT gate, actual, threshold, CASE WHEN actual IS NULL THEN 'not_evaluated' WHEN gate = 'duplicate_share' AND actual <= threshold OR gate <> 'duplicate_share' AND actual >= threshold THEN 'pass' ELSE 'fail' END AS status FROM g""")
+def release_gates(spark, sf_dir):
+    held = curate.curate(table(spark, sf_dir, "documents")).agg(F.count_if("accepted").cast("double").alias("n"), (F.count_if(F.col("duplicate_of").isNotNull()) / F.count(F.lit(1))).alias("d"))
+    rows = held.select(F.explode(F.array(
+        F.struct(F.lit("accepted_document_count").alias("gate"), F.col("n").alias("actual"), F.lit(">=").alias("op"), F.lit(500.0).alias("threshold"), F.lit(False).alias("nullable")),
+        F.struct(F.lit("duplicate_share").alias("gate"), F.col("d").alias("actual"), F.lit("<=").alias("op"), F.lit(0.05).alias("threshold"), F.lit(False).alias("nullable")),
+        F.struct(F.lit("human_correctness_and_grounding").alias("gate"), F.lit(None).cast("double").alias("actual"), F.lit(">=").alias("op"), F.lit(0.95).alias("threshold"), F.lit(True).alias("nullable")),
+    )).alias("g")).select("g.*")
+    return sampling.gates(rows).select("gate", "actual", "threshold", "status")
+
+
+@query()
+def registry_audit(spark, sf_dir):
+    open_ = ("open", "CC", "l", "t", "a", True, True, True)
+    rows = [("good", "file", True, ["x"], False, None, open_), ("none", "ftp", True, [], False, None, ("blocked", "", "", "t", "a", False, False, True)), ("wiki", "mediawiki_api", True, ["a", "b"], False, None, open_), ("glob", "local_glob", True, ["../x", "/y"], True, None, open_)]
+    return registry.audit(spark.createDataFrame(rows, registry.SOURCE), "replace-with@me")
+
+
+@query()
+def rejections(spark, sf_dir):
+    docs, rows, found = _candidates(spark, sf_dir)
+    tasks = planner.plan_tasks(found, 60, 7, strict=False)[0]
+    held = questions.validate(questions.generate(tasks, found), rows, docs, found)
+    return questions.rejection_breakdown(held.filter(F.size("reasons") > 0))

@@ -1,0 +1 @@
+"""Readers, writers and extractors at the edges of the engine."""

@@ -1,0 +1,185 @@
+import random
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from lodestrand.operators import passages as P
+from lodestrand.operators import planner, questions
+
+TEXT = """# Airport facts
+
+<!-- page:1 -->
+
+Alpha Airport opened in 1987 and is the largest airport of the whole region today.
+
+## Runways
+
+| Code | Name |
+|---|---|
+| AAA | Airport Alpha of the northern coastal plain region |
+| BBB | Airport Beta of the southern high plateau region |
+
+<!-- page:2 -->
+
+Beta Airport, whereas smaller, handled 3500 flights at 10:30 on 01.02.2020 with more than 20 airlines.
+
+- first item with enough words to be an anchor of its own here
+- second item with enough words to be an anchor of its own here
+"""
+
+
+def test_blocks():
+    got = list(P.blocks(TEXT))
+    assert [(b.section, b.page, b.table) for b in got] == [
+        (("Airport facts",), None, None), (("Airport facts",), 1, None), (("Airport facts", "Runways"), 1, None),
+        (("Airport facts", "Runways"), 1, "table-1"), (("Airport facts", "Runways"), 2, None), (("Airport facts", "Runways"), 2, None),
+    ]
+
+
+def test_short_heading_stays_with_its_table():
+    got = P.cut(TEXT, P.Sizes(5, 30, 4, 50))
+    table = next(p for p in got if p[4])
+    assert TEXT[table[0] : table[1]].startswith("## Runways") and TEXT[table[0] : table[1]].endswith("region |")
+    assert all(TEXT[p[0] : p[1]].strip() == TEXT[p[0] : p[1]] and p[5] == len(P.WORD.findall(TEXT[p[0] : p[1]])) for p in got)
+
+
+def test_large_blocks_overlap():
+    text = " ".join(f"w{i}" for i in range(100))
+    got = P.cut(text, P.Sizes(10, 30, 5, 50))
+    assert [p[5] for p in got] == [30, 30, 30, 25] and got[0][0] == 0 and got[-1][1] == len(text)
+    assert text[got[1][0] : got[1][1]].startswith("w25 ")
+
+
+@given(st.lists(st.sampled_from(["# h", "## k t", "word " * 12, "|a|b|\n|c|d|", "<!-- page:3 -->", "w " * 50, "", " \t"]), max_size=14), st.integers(5, 40), st.integers(0, 8))
+@settings(max_examples=150, deadline=None)
+def test_packing_covers_every_block(parts, target, overlap):
+    text = "\n\n".join(parts)
+    sizes = P.Sizes(target, target + 10, overlap, target + 5)
+    got = P.cut(text, sizes)
+    covered = {i for a, b, *_ in got for i in range(a, b)}
+    for b in P.blocks(text):
+        assert all(i in covered for i in range(b.start, b.end) if not text[i].isspace())
+    # A short heading adds at most its own words to a table; other passages keep their limit.
+    assert all(p[5] <= max(sizes.maximum, sizes.table + 8) for p in got)
+
+
+def test_candidates(spark):
+    docs = spark.createDataFrame([("d", "1", "v", "en", TEXT), ("n", "1", "v", "en", None)], "document_id string, document_version string, variant_group_id string, language string, text string")
+    rows = P.passages(docs, P.Sizes(5, 60, 4, 80))
+    held = P.evidence_candidates(rows).collect()
+    for c in held:
+        assert TEXT[c.canonical_char_start : c.canonical_char_end] == c.anchor_text and c.token_count >= 8
+    table = next(c for c in held if c.compatible_types == ["list_table"] and "AAA" in c.anchor_text)
+    assert table.list_items == ["AAA | Airport Alpha of the northern coastal plain region", "BBB | Airport Beta of the southern high plateau region"]
+    prose = next(c for c in held if c.anchor_text.startswith("Beta"))
+    assert prose.compatible_types == ["factual", "temporal", "comparison"]
+    assert [(t.kind, t.value) for t in prose.mutation_terms if t.kind != "number"] == [("date", "2020"), ("entity", "Beta Airport")]
+    stats = P.passage_stats(rows).first()
+    assert stats.passages == rows.count() and stats.table_passages == 1
+    assert P.passage_stats(rows.limit(0)).first().average_tokens == 0.0
+
+
+def corpus(spark, n=60):
+    rng = random.Random(4)
+    rows = []
+    for i in range(n):
+        name = f"Alpha{chr(65 + i % 26)} Field{i}"
+        body = f"{name} is a place that is described here and was opened in {1900 + i} with more than {i + 3} stands.\n\n"
+        body += f"The runway of {name} is longer than that of the other one, whereas both are {rng.randint(1000, 4000)} metres long in total.\n\n"
+        body += f"- entry one of {name} with several more words in it\n- entry two of {name} with several more words in it\n"
+        rows.append((f"d{i}", "1", f"v{i}", "en" if i % 2 else "tr", body, "open", True, True))
+    return spark.createDataFrame(rows, "document_id string, document_version string, variant_group_id string, language string, text string, rights_state string, release_qa boolean, release_derived_text boolean")
+
+
+def sequential(rows, strata, target, seed):
+    """The greedy choice over all candidates, one slot at a time."""
+    import hashlib
+    from collections import Counter
+
+    docs, passages, used, typed, out = Counter(), Counter(), set(), set(), []
+    for s in strata:
+        for _ in range(s["count"]):
+            open_ = [c for c in rows if c.language == s["evidence_language"] and s["primary_type"] in c.compatible_types and c.anchor_id not in used and passages[c.passage_id] < 4 and (c.passage_id, s["primary_type"]) not in typed]
+            if not open_:
+                break
+            c = min(open_, key=lambda c: (docs[c.document_id], passages[c.passage_id], hashlib.sha256((planner.order_prefix(s, seed) + c.anchor_id).encode()).hexdigest()))
+            out.append(c.anchor_id)
+            used.add(c.anchor_id)
+            typed.add((c.passage_id, s["primary_type"]))
+            docs[c.document_id] += 1
+            passages[c.passage_id] += 1
+    return out
+
+
+@pytest.fixture(scope="module")
+def planned(spark):
+    docs = corpus(spark)
+    rows = P.passages(P.releasable(docs), P.Sizes(20, 60, 4, 80)).cache()
+    found = P.evidence_candidates(rows).cache()
+    tasks, issues = planner.plan_tasks(found, 40, 3, strict=False)
+    return docs, rows, found, tasks.cache(), issues
+
+
+@pytest.mark.parametrize("target", [40, 160])
+def test_plan_equals_sequential_choice(planned, target):
+    found = planned[2]
+    strata = planner._strata(planner.quota_plan(target))
+    tasks, _ = planner.greedy([tuple(r) for r in planner.pruned(found, strata, target, 3).collect()], strata, 3)
+    assert [t["anchor_id"] for t in tasks] == sequential(found.collect(), strata, target, 3)
+
+
+def test_plan(planned):
+    tasks, issues = planned[3].collect(), planned[4]
+    assert not issues and len(tasks) == 40 and sum(t.kind == "mutation" for t in tasks) == 4
+    parents = {t.task_id: t for t in tasks}
+    for t in tasks:
+        if t.kind == "mutation":
+            assert parents[t.parent_task_id].mutation_source == t.mutation_source and t.donor_document_id
+    with pytest.raises(planner.CapacityError):
+        planner.plan_tasks(planned[2], 3000, 3)
+
+
+def test_generated_questions_are_valid(planned):
+    docs, rows, found, tasks, _ = planned
+    made = questions.generate(tasks, found)
+    held = questions.validate(made, rows, docs, found).collect()
+    assert len(held) == 36
+    allowed = {"question_exposes_answer", "unsupported_name", "unsupported_number", "question_language_mismatch"}
+    assert all(set(r.reasons) <= allowed for r in held) and sum(not r.reasons for r in held) >= 12
+    broken = made.withColumn("evidence", F.transform("evidence", lambda e: e.withField("quote", F.lit("other")).withField("passage_id", e["passage_id"])))
+    reasons = {x for r in questions.validate(broken, rows, docs, found).collect() for x in r.reasons}
+    assert {"passage_evidence_offset_mismatch", "canonical_evidence_offset_mismatch", "evidence_checksum_mismatch", "evidence_anchor_not_generation_candidate"} <= reasons
+    lost = questions.validate(made, rows.limit(0), docs, found).collect()
+    assert all("evidence_passage_missing" in r.reasons for r in lost)
+    breakdown = questions.rejection_breakdown(questions.validate(made, rows.limit(0), docs, found)).collect()
+    assert {(r.dimension, r.key): r.n for r in breakdown}["reason", "evidence_passage_missing"] == 36
+
+
+def test_mutations(planned):
+    _, rows, found, tasks, _ = planned
+    made = questions.mutate(tasks, questions.generate(tasks, found), found)
+    ok = made.filter("error is null")
+    for r in ok.collect():
+        assert r.replacement_value in r.question and r.source_value not in r.question
+    reasons = {r.qa_id: r.reasons for r in questions.joint_support(ok, rows).collect()}
+    assert len(reasons) == ok.count() and not any("unanswerable_source_still_in_question" in r for r in reasons.values())
+    lost = questions.joint_support(ok, rows.limit(0)).collect()
+    assert all(r.reasons == ["unanswerable_parent_passage_missing"] for r in lost)
+
+
+def test_contracts(spark):
+    rows = [("a", "factual", ["x"], "x", None, [], ["x"]), ("b", "factual", ["x", "y"], "x", None, [], []), ("c", "definition", ["x"], "x", "y", [" "], ["x"]), ("d", "list_table", ["x", "y  z"], "x; y  z", None, [], ["x; y  z", "x; y z"])]
+    df = spark.createDataFrame([(*r, "answerable") for r in rows], "qa_id string, primary_type string, answer_items array<string>, answer string, reference_answer string, rubric array<string>, acceptable_variants array<string>, answerability string")
+    got = {r.qa_id: r.v for r in df.select("qa_id", questions.contract_reasons().alias("v")).collect()}
+    assert got["a"] == [] and got["d"] == [] and got["b"] == ["closed_single_item_contract", "non_deterministic_acceptable_variants"]
+    assert got["c"] == ["explanatory_answer_items_not_empty", "explanatory_answer_reference_mismatch", "explanatory_rubric_missing"]
+
+
+def test_token_sequences(spark):
+    df = spark.createDataFrame([("3", "in the A321 cabin"), ("3", "has 3 engines"), ("", "x")], "n string, h string")
+    from lodestrand.functions.text import normalized_tokens as w
+
+    assert [r[0] for r in df.select(P.contains_sequence(w(F.col("n")), w(F.col("h")))).collect()] == [False, True, False]
+    assert questions.replaced("About İx and ALPHA", "alpha", "Beta") == "About İx and Beta" and questions.replaced("q", "x", "y") is None
