@@ -6,8 +6,11 @@ Viterbi pass gives the best score of every prefix.  Those scores are exact heuri
 hypotheses backward from the end: a hypothesis' priority is the score of its suffix plus the best score of the prefix that
 is left, which is the score of its best completion, so completed paths leave the agenda in order of score.
 
-No piece crosses a word's start, so the lattice of a text is a chain of word lattices.  Each distinct word is searched once
-and kept in a bounded memo; the N best paths of the chain are again found best first, from the words' own lists.
+No piece crosses a word's start, so the lattice of a text is a chain of word lattices.  For each distinct word the forward pass
+and its mirror give the best path and, exactly, how much the second best costs more: the least loss over all edges
+that the best path does not use.  A text's N best paths change only words among the N with the least such cost, so
+only those are searched further by A-star; the N best of the chain are then found best first, from these words' own lists.
+Words are kept in bounded memos.
 
 Ties are broken by the order of search, which depends on the text alone.
 
@@ -18,10 +21,11 @@ whole; repeated rows are encoded each; an empty table gives no row; other column
 from __future__ import annotations
 
 import heapq
-import re
+import math
+import struct
 import zlib
 from collections.abc import Iterator
-from itertools import count
+from itertools import accumulate, count
 
 import numpy as np
 import pyarrow as pa
@@ -31,8 +35,7 @@ from . import _store
 
 MARK = "▁"
 #: Words kept by a worker, and how far below the worst piece an uncovered character scores.
-MEMO, PENALTY = 200_000, 10.0
-_WHITE = re.compile(r"\s+")
+MEMO, PENALTY = 1_000_000, 10.0
 Path = tuple[float, tuple[int, ...]]
 
 
@@ -41,9 +44,16 @@ class Lattice:
 
     def __init__(self, scores: dict[str, tuple[int, float]], byte_ids: list[int], n_best: int = 5):
         self.scores, self.byte_ids, self.n_best = scores, byte_ids, n_best
-        self.longest = max(map(len, scores), default=1)
         self.floor = min((s for _, s in scores.values()), default=0.0) - PENALTY
-        self.memo: dict[str, list[Path]] = {}
+        #: Every prefix of a piece; whole pieces with id and score.
+        self.prefixes: dict[str, tuple[int, float] | None] = {p[:i]: None for p in scores for i in range(1, len(p))} | scores
+        #: Characters that stand side by side in some piece.
+        self.pairs = {p[i : i + 2] for p in scores for i in range(len(p) - 1)}
+        self.raw = {i: p.encode("utf-8", "surrogatepass") for p, (i, _) in scores.items()} | {i: bytes([b]) for b, i in enumerate(byte_ids)}
+        #: Word -> (ids of the best path, its score, what the second best costs more).
+        self.memo: dict[str, tuple[bytes, float, float]] = {}
+        self.searched: dict[str, list[Path]] = {}
+        self.exact = True
 
     @classmethod
     def load(cls, path: str, n_best: int = 5) -> Lattice:
@@ -59,94 +69,197 @@ class Lattice:
                 pieces[piece] = (i, sp.get_score(i))
         return cls(pieces, byte_ids, n_best)
 
+    def _bytes(self, char: str) -> tuple[int, ...]:
+        return tuple(self.byte_ids[x] for x in char.encode("utf-8", "surrogatepass"))
+
+    def all_edges(self, word: str) -> list[tuple[int, int, int, float]]:
+        """Edges (start, end, id, score) in order of start; id -1: the bytes of one uncovered character."""
+        out, get, n = [], self.prefixes.get, len(word)
+        floor = self.floor
+        for a in range(n):
+            one = False
+            b = a + 1
+            while b <= n:
+                part = word[a:b]
+                hit = get(part, 0)
+                if hit:
+                    out.append((a, b, hit[0], hit[1]))
+                    one = one or b == a + 1
+                elif hit == 0:
+                    break
+                b += 1
+            if not one:
+                out.append((a, a + 1, -1, floor))
+        return out
+
     def edges(self, word: str, end: int) -> list[tuple[int, tuple[int, ...], float]]:
         """The edges (start, ids, score) into ``end``."""
-        out, scores = [], self.scores
-        for start in range(max(0, end - self.longest), end):
-            hit = scores.get(word[start:end])
-            if hit:
-                out.append((start, (hit[0],), hit[1]))
-        if not out or out[-1][0] != end - 1:
-            out.append((end - 1, tuple(self.byte_ids[x] for x in word[end - 1].encode("utf-8", "surrogatepass")), self.floor))
-        return out
+        return [(a, (i,) if i >= 0 else self._bytes(word[a]), s) for a, b, i, s in self._into(word)[end]]
+
+    def _into(self, word: str) -> list[list[tuple[int, int, int, float]]]:
+        into: list[list] = [[] for _ in range(len(word) + 1)]
+        for e in self.all_edges(word):
+            into[e[1]].append(e)
+        return into
+
+    def best(self, word: str) -> tuple[bytes, float, float]:
+        """(ids, score, loss of the second best) of one word.
+
+        No edge crosses a place whose two characters stand side by side in no piece, so a word is cut there; its second
+        best path changes one cut alone.
+        """
+        pairs = self.pairs
+        cuts = [i for i in range(1, len(word)) if word[i - 1 : i + 1] not in pairs]
+        if not cuts:
+            return self._best(word)
+        parts = []
+        for a, b in zip([0, *cuts], [*cuts, len(word)], strict=True):
+            part = word[a:b]
+            got = self.memo.get(f"{MARK}{part}")  # no key of a word begins with the mark
+            if got is None:
+                got = self.memo[f"{MARK}{part}"] = self._best(part)
+            parts.append(got)
+        return b"".join([p[0] for p in parts]), sum([p[1] for p in parts]), min([p[2] for p in parts])
+
+    def _best(self, word: str) -> tuple[bytes, float, float]:
+        """By the forward pass and its mirror."""
+        n, get, low = len(word), self.prefixes.get, float("-inf")
+        front, back, by, edges = [low] * (n + 1), [low] * (n + 1), [None] * (n + 1), []
+        front[0] = back[n] = 0.0
+        for a in range(n):
+            reach, one, b = front[a], False, a + 1
+            while b <= n:
+                hit = get(word[a:b], 0)
+                if hit:
+                    t = reach + hit[1]
+                    edge = (a, b, hit[0], hit[1])
+                    edges.append(edge)
+                    if t > front[b]:
+                        front[b], by[b] = t, edge
+                    if b == a + 1:
+                        one = True
+                elif hit == 0:
+                    break
+                b += 1
+            if not one:
+                edge = (a, a + 1, -1, self.floor)
+                edges.append(edge)
+                if reach + self.floor > front[a + 1]:
+                    front[a + 1], by[a + 1] = reach + self.floor, edge
+        path, at = [], n
+        while at:
+            path.append(by[at])
+            at = by[at][0]
+        path.reverse()
+        used, second = set(path), low
+        for e in reversed(edges):
+            a, b, _, s = e
+            t = back[b] + s
+            if t > back[a]:
+                back[a] = t
+            t += front[a]
+            if t > second and e not in used:
+                second = t
+        ids: list[int] = []
+        for e in path:
+            ids += (e[2],) if e[2] >= 0 else self._bytes(word[e[0]])
+        if b"".join([self.raw[i] for i in ids]) != word.encode("utf-8", "surrogatepass"):
+            self.exact = False
+        return struct.pack(f"<{len(ids)}I", *ids), front[n], front[n] - second
 
     def search(self, word: str) -> list[Path]:
         """The n_best paths of one word, best first: (score, ids)."""
+        into = self._into(word)
         best = [0.0] * (len(word) + 1)
         for b in range(1, len(word) + 1):
-            best[b] = max(best[a] + s for a, _, s in self.edges(word, b))
+            best[b] = max(best[a] + s for a, _, _, s in into[b])
         # Priority: minus (prefix's best + suffix's score), then the shorter prefix, so that ties end soon.  A suffix is a
-        # chain of (ids, rest).
+        # chain of (edge, rest).
         order = count()
         agenda = [(-best[-1], len(word), next(order), None, 0.0)]
         found: list[Path] = []
         while agenda and len(found) < self.n_best:
             _, at, _, chain, suffix = heapq.heappop(agenda)
             if at:
-                for a, own, s in self.edges(word, at):
-                    heapq.heappush(agenda, (-(best[a] + s + suffix), a, next(order), (own, chain), s + suffix))
+                for e in into[at]:
+                    heapq.heappush(agenda, (-(best[e[0]] + e[3] + suffix), e[0], next(order), (e, chain), e[3] + suffix))
                 continue
             ids: list[int] = []
             while chain:
-                ids += chain[0]
-                chain = chain[1]
+                e, chain = chain
+                ids += (e[2],) if e[2] >= 0 else self._bytes(word[e[0]])
             found.append((suffix, tuple(ids)))
         return found
 
-    def word(self, word: str) -> list[Path]:
-        got = self.memo.get(word)
+    def paths(self, word: str) -> list[Path]:
+        got = self.searched.get(word)
         if got is None:
-            if len(self.memo) >= MEMO:
-                self.memo.clear()
-            got = self.memo[word] = self.search(word)
+            if len(self.searched) >= MEMO // 20:
+                self.searched.clear()
+            got = self.searched[word] = self.search(word)
         return got
 
+    def segment(self, text: str) -> tuple[list[float], list[bytes], bool]:
+        """(scores, packed ids) of the n_best segmentations of a whole text, best first; whether they spell the text."""
+        words, memo = split_words(text), self.memo
+        self.exact = True  # of the words that are new to the memo: a word is checked when it enters
+        if len(memo) > MEMO:
+            memo.clear()
+        for w in set(words).difference(memo):
+            memo[w] = self.best(MARK + w)
+        held = [memo[w] for w in words]
+        parts = [h[0] for h in held]
+        loss = [h[2] for h in held]
+        total, first = math.fsum([h[1] for h in held]), b"".join(parts)
+        # Only the n_best cheapest single changes can take part in the n_best paths.
+        order = [w for w in heapq.nsmallest(self.n_best, range(len(words)), key=loss.__getitem__) if loss[w] < math.inf]
+        if not order or self.n_best < 2:
+            return [total], [first], self.exact
+        ends = list(accumulate(map(len, parts)))
+        lists = [self.paths(MARK + words[w]) for w in order]
+        agenda, seen, scores, packed = [(0.0, (0,) * len(order))], set(), [], []
+        while agenda and len(scores) < self.n_best:
+            cost, pick = heapq.heappop(agenda)
+            if pick in seen:
+                continue
+            seen.add(pick)
+            own = first
+            for w, own_paths, p in sorted(zip(order, lists, pick, strict=True), reverse=True):
+                if p:  # later words first, so that earlier places stay
+                    ids = own_paths[p][1]
+                    own = own[: ends[w] - len(parts[w])] + struct.pack(f"<{len(ids)}I", *ids) + own[ends[w] :]
+            scores.append(total - cost)
+            packed.append(own)
+            for k, own_paths in enumerate(lists):
+                if pick[k] + 1 < len(own_paths):
+                    heapq.heappush(agenda, (cost + own_paths[pick[k]][0] - own_paths[pick[k] + 1][0], (*pick[:k], pick[k] + 1, *pick[k + 1 :])))
+        return scores, packed, self.exact
+
     def encode(self, text: str) -> list[tuple[float, list[int]]]:
         """The n_best segmentations of a whole text, best first."""
-        words = normalised_words(text)
-        lists = [self.word(w) for w in words]
-        base = [x[0] for x in lists]
-        total = sum(b[0] for b in base)
-        first = [i for b in base for i in b[1]]
-        # Only the n_best cheapest single changes can take part in the n_best paths.
-        steps = heapq.nsmallest(self.n_best, ((b[0] - x[1][0], w) for w, (x, b) in enumerate(zip(lists, base, strict=True)) if len(x) > 1))
-        out = [(total, first)]
-        if steps:
-            order = [w for _, w in steps]
-            agenda, seen = [(0.0, (0,) * len(order))], set()
-            ranked = []
-            while agenda and len(ranked) < self.n_best:
-                cost, pick = heapq.heappop(agenda)
-                if pick in seen:
-                    continue
-                seen.add(pick)
-                ranked.append((cost, pick))
-                for k, w in enumerate(order):
-                    if pick[k] + 1 < len(lists[w]):
-                        nxt = (*pick[:k], pick[k] + 1, *pick[k + 1 :])
-                        heapq.heappush(agenda, (cost + lists[w][pick[k]][0] - lists[w][pick[k] + 1][0], nxt))
-            out = []
-            for cost, pick in ranked:
-                chosen = {w: p for w, p in zip(order, pick, strict=True) if p}
-                ids = first if not chosen else [i for w, x in enumerate(lists) for i in x[chosen.get(w, 0)][1]]
-                out.append((total - cost, ids))
-        return out
+        scores, packed, _ = self.segment(text)
+        return [(s, np.frombuffer(p, "<u4").tolist()) for s, p in zip(scores, packed, strict=True)]
+
+
+def split_words(text: str) -> list[str]:
+    """Words between white space; a piece mark in the text itself counts as white space."""
+    return text.replace(MARK, " ").split() if MARK in text else text.split()
 
 
 def normalised_words(text: str) -> list[str]:
-    """Words with the piece mark in front; a mark in the text itself counts as white space."""
-    return [MARK + w for w in _WHITE.split(text.replace(MARK, " ")) if w]
+    """Words with the piece mark in front."""
+    return [MARK + w for w in split_words(text)]
 
 
 def normalised(text: str) -> str:
-    return " ".join(w[1:] for w in normalised_words(text))
+    return " ".join(split_words(text))
 
 
 class Decoder:
     """Ids back to normalised text."""
 
     def __init__(self, lattice: Lattice):
-        self.raw = {i: p.encode("utf-8", "surrogatepass") for p, (i, _) in lattice.scores.items()} | {i: bytes([b]) for b, i in enumerate(lattice.byte_ids)}
+        self.raw = lattice.raw
 
     def decode(self, ids: list[int]) -> str:
         return b"".join(map(self.raw.__getitem__, ids)).decode("utf-8", "surrogatepass").replace(MARK, " ").removeprefix(" ")
@@ -168,15 +281,13 @@ def encode_pieces(docs: DataFrame, model: str, n_best: int = 5, with_ids: bool =
     schema = pa.schema(fields + ([("ids", pa.list_(pa.list_(pa.int32())))] if with_ids else []))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lattice, decoder = _get(model, n_best)
+        lattice, _ = _get(model, n_best)
         for b in batches:
             rows = []
             for doc_id, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), strict=True):
-                paths = lattice.encode(text)
-                best = paths[0][1]
-                packed = [np.array(ids, "<u4").tobytes() for _, ids in paths]
-                same = decoder.decode(best) == normalised(text)
-                rows.append((doc_id, len(best), zlib.crc32(packed[0]), paths[0][0], [s for s, _ in paths], zlib.crc32(b"|".join(packed)), same, [ids for _, ids in paths]))
+                scores, packed, same = lattice.segment(text)
+                ids = [np.frombuffer(p, "<i4") for p in packed] if with_ids else None
+                rows.append((doc_id, len(packed[0]) // 4, zlib.crc32(packed[0]), scores[0], scores, zlib.crc32(b"|".join(packed)), same, ids))
             cols = list(zip(*rows, strict=True))[: len(schema)] or [()] * len(schema)
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema, strict=True)], schema=schema)
 
