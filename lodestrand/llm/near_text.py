@@ -10,10 +10,17 @@ alignment is a longest increasing run of matching places inside the band that th
 M / (n + m - M).  A pair that falls short only by its order (moved paragraphs) is linked by the exact Jaccard similarity of
 its labelled k-mers instead.
 
-Equal texts are one node from the start.  Within a bucket not all pairs are made: each round compares the members with a
-few leaders of the bucket that lie in other components; linked texts need no more comparisons.  The number of leaders grows by
-four each round, and buckets that hold more than one component go on until all their pairs across components are
-compared, so nothing that a bucket could show is lost.
+Equal texts are one node from the start.  A bucket of a few texts is compared in full.  In a large one (a group of copies, or
+texts that share a passage) most pairs are ruled out unseen, and exactly:
+
+* Only k-mers that occur in two or more texts of such buckets can match; a text whose matchable k-mers are too few for
+  any partner of the bucket leaves it, which may leave others too few, until nothing changes.
+* Every member is compared with the bucket's pivot, the text with the largest matchable share.  What two members can have
+  in common, inside the pivot and outside of it, is at most the smaller count of the two in either part; a pair is made only
+  if that reaches what the similarity needs.
+* Texts that are already in one component need no comparison.  Each round compares the members with a few leaders, those
+  with the largest matchable share first: the least edited texts, to which most others are linked.  The number of
+  leaders grows eightfold each round until every bucket is one component or all its pairs are made.
 
 Defined results: a null text is empty; texts of under five words have one k-mer, all their words; texts without words are
 all alike; rows that repeat a doc_id are separate documents; an empty table gives no row; other columns are ignored.
@@ -33,6 +40,8 @@ from . import _graph, _store
 from ._words import FIRST, Words, chunks, grams, mix
 
 K, BANDS, ROWS, SIMILARITY = 5, 14, 3, 0.8
+#: Buckets of up to this many texts are compared in full.
+SMALL = 8
 
 
 def text_key(text: str = "text") -> Column:
@@ -83,20 +92,23 @@ def _increasing(places: np.ndarray) -> int:
     return len(tails)
 
 
-def aligned(a: np.ndarray, b: np.ndarray, similarity: float = SIMILARITY) -> bool:
-    """Whether two labelled k-mer sequences reach the similarity, by banded alignment or by their sets."""
+def compared(a: np.ndarray, b: np.ndarray, similarity: float = SIMILARITY) -> tuple[int, bool]:
+    """(common labelled k-mers, whether the two sequences reach the similarity by banded alignment or by their sets)."""
     n, m = len(a), len(b)
-    need = similarity / (1 + similarity) * (n + m)  # matches that reach the limit
-    if min(n, m) < need - 1e-9:
-        return False
+    need = _needed(n, m, similarity)
     _, at_a, at_b = np.intersect1d(a, b, assume_unique=True, return_indices=True)
-    if len(at_a) < need - 1e-9:
-        return False
+    common = len(at_a)
+    if common < need:
+        return common, False
     order = np.argsort(at_a)
     at_a, at_b = at_a[order], at_b[order]
     # Indels beyond the band would cost more than the limit allows.
-    near = np.abs(at_a - at_b) <= n + m - 2 * need + 1e-9
-    return _increasing(at_b[near]) >= need - 1e-9 or len(at_a) >= need - 1e-9
+    near = np.abs(at_a - at_b) <= n + m - 2 * need
+    return common, _increasing(at_b[near]) >= need or common >= need
+
+
+def aligned(a: np.ndarray, b: np.ndarray, similarity: float = SIMILARITY) -> bool:
+    return compared(a, b, similarity)[1]
 
 
 def sketches(docs: DataFrame, k: int, bands: int, rows: int) -> DataFrame:
@@ -131,20 +143,85 @@ def _shingled(docs: DataFrame, keys: DataFrame, k: int) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, kmer_table: DataFrame, similarity: float) -> DataFrame:
-    """a, b, linked for every pair."""
-    schema = pa.schema([("a", pa.binary()), ("b", pa.binary()), ("linked", pa.bool_())])
+    """a, b, common, linked for every pair."""
+    schema = pa.schema([("a", pa.binary()), ("b", pa.binary()), ("common", pa.int64()), ("linked", pa.bool_())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for c in batches:
-            linked = [aligned(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), similarity) for x, y in zip(c.column("ka").to_pylist(), c.column("kb").to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([c.column("a"), c.column("b"), pa.array(linked, pa.bool_())], schema=schema)
+            got = [compared(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), similarity) for x, y in zip(c.column("ka").to_pylist(), c.column("kb").to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([c.column("a"), c.column("b"), pa.array([g[0] for g in got], pa.int64()), pa.array([g[1] for g in got], pa.bool_())], schema=schema)
 
     left = pairs.join(kmer_table.select(F.col("key").alias("a"), F.col("kmers").alias("ka")), "a")
     both = left.join(kmer_table.select(F.col("key").alias("b"), F.col("kmers").alias("kb")), "b")
-    return both.select("a", "b", "ka", "kb").mapInArrow(run, "a binary, b binary, linked boolean")
+    return both.select("a", "b", "ka", "kb").mapInArrow(run, "a binary, b binary, common long, linked boolean")
+
+
+def _pivoted(members: DataFrame, kmer_table: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame]:
+    """(members with m: k-mers in common with the bucket's pivot, the comparisons made).
+
+    The pivot is the text with the largest matchable share: of a group of edited copies, the least edited one.
+    """
+    best = F.max_by("key", F.struct(F.col("c") / F.col("n"), "n", "key"))
+    pivots = members.groupBy("bucket").agg(best.alias("pivot"))
+    held = members.join(pivots, "bucket")
+    pairs = held.filter("key <> pivot").select(F.least("key", "pivot").alias("a"), F.greatest("key", "pivot").alias("b")).distinct()
+    checked = _store.materialize(_verified(pairs, kmer_table, similarity), "verified")
+    known = held.join(checked, (F.least("key", "pivot") == F.col("a")) & (F.greatest("key", "pivot") == F.col("b")), "left")
+    out = known.select("bucket", "key", "n", "c", F.when(F.col("key") == F.col("pivot"), F.col("n")).otherwise(F.col("common")).alias("m"))
+    return _store.materialize(out, "pivoted"), checked
+
+
+def _needed(n, m, similarity: float):
+    """Common k-mers that texts of n and m k-mers need."""
+    return (n + m) * (similarity / (1 + similarity)) - 1e-6
 
 
-def classes(docs: DataFrame, k: int = K, bands: int = BANDS, rows: int = ROWS, similarity: float = SIMILARITY) -> DataFrame:
+def _exploded(kmer_table: DataFrame, keys: DataFrame) -> DataFrame:
+    """key, n, h: one row a k-mer of the texts of ``keys``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([("key", pa.binary()), ("n", pa.int64()), ("h", pa.int64())])
+        for batch in batches:
+            for c in chunks(batch, "kmers", 1 << 20):
+                raw = c.column("kmers").to_pylist()
+                n = np.array([len(r) // 8 for r in raw])
+                at = np.repeat(np.arange(len(raw)), n)
+                yield pa.RecordBatch.from_arrays([c.column("key").take(pa.array(at)), pa.array(n[at]), pa.array(np.frombuffer(b"".join(raw), np.int64))], schema=schema)
+
+    return kmer_table.join(keys, "key", "left_semi").mapInArrow(run, "key binary, n long, h long")
+
+
+def _peeled(members: DataFrame, kmer_table: DataFrame, similarity: float) -> DataFrame:
+    """bucket, key, n, c of the members that may have a partner in their bucket; c: matchable k-mers."""
+    held = members.select("bucket", "key")
+    each = _store.materialize(_exploded(kmer_table, held.select("key").distinct()), "kmer-rows")
+    size, dropped = None, None
+    while True:
+        alive = each if size is None else each.join(held.select("key").distinct(), "key", "left_semi")
+        common = alive.groupBy("h").agg(F.count(F.lit(1)).alias("df")).filter("df > 1").select("h", F.lit(1).alias("one"))
+        c = alive.join(common, "h", "left").groupBy("key").agg(F.first("n").alias("n"), F.count("one").alias("c"))
+        sized = held.join(c, "key")
+        # The shortest text of the bucket is the best partner for what a text has; a shorter one than the limit is none.
+        least = sized.groupBy("bucket").agg(F.min("n").alias("low"))
+        keep = sized.join(least, "bucket").filter(F.col("c") >= _needed(F.col("n"), F.greatest(F.col("low").cast("double"), F.col("n") * similarity), similarity)).select("bucket", "key", "n", "c")
+        pairs = keep.groupBy("bucket").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("bucket")
+        after = _store.materialize(keep.join(pairs, "bucket", "left_semi"), "peeled")
+        count = after.count()
+        if dropped is not None:
+            _store.discard(dropped)
+        if count == size:
+            _store.discard(each)
+            return after
+        size, held, dropped = count, after.select("bucket", "key"), after
+
+
+def _linked(members: DataFrame, links: DataFrame) -> DataFrame:
+    """key, component of every distinct key."""
+    parts = _graph.components(links).withColumnRenamed("node", "key")
+    return members.select("key").distinct().join(parts, "key", "left").select("key", F.coalesce("component", "key").alias("component"))
+
+
+def classes(docs: DataFrame, k: int = K, bands: int = BANDS, rows: int = ROWS, similarity: float = SIMILARITY, small: int = SMALL) -> DataFrame:
     """doc_id, key, class_id (the least doc_id of the class), kept (one row of each class)."""
     made = _store.materialize(sketches(docs, k, bands, rows), "sketches")
     nodes = made.groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"))
@@ -152,28 +229,33 @@ def classes(docs: DataFrame, k: int = K, bands: int = BANDS, rows: int = ROWS, s
     shared = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
     members = _store.materialize(buckets.join(shared, "bucket"), "buckets")
     table = _store.materialize(_shingled(docs, members.select("key", "doc_id").distinct(), k), "kmers")
-    label = members.select("key", F.col("key").alias("component")).distinct()
-    seen, leaders = None, 2
+
+    few = members.filter(F.col("size") <= small)
+    left, right = few.select("bucket", F.col("key").alias("a")), few.select("bucket", F.col("key").alias("b"))
+    pairs = left.join(right, "bucket").filter("a < b").select("a", "b").distinct()
+    seen = _store.materialize(_verified(pairs, table, similarity), "verified")
+
+    many, pivoted = _pivoted(_peeled(members.filter(F.col("size") > small), table, similarity), table, similarity)
+    seen = seen.unionByName(pivoted)
+    label, leaders = _linked(members, seen.filter("linked")), 2
     while True:
-        state = members.select("bucket", "key", "size").join(label, "key")
-        mixed = state.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("bucket")
-        state = state.join(mixed, "bucket")
-        order = Window.partitionBy("bucket").orderBy(F.xxhash64("key", F.lit(leaders)), "key")
-        heads = state.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= leaders).select("bucket", F.col("key").alias("head"), F.col("component").alias("of"))
-        pairs = state.join(heads, "bucket").filter("component <> of").select(F.least("key", "head").alias("a"), F.greatest("key", "head").alias("b")).distinct()
-        if seen is not None:
-            pairs = pairs.join(seen, ["a", "b"], "left_anti")
-        checked = _store.materialize(_verified(pairs, table, similarity), "verified")
-        seen = checked if seen is None else seen.unionByName(checked)
-        found = checked.groupBy("linked").count().collect()  # two counts
-        if any(r["linked"] for r in found):
-            linked = _graph.components(seen.filter("linked"))
-            label = _store.materialize(members.select("key").distinct().join(linked.withColumnRenamed("node", "key"), "key", "left").select("key", F.coalesce("component", "key").alias("component")), "labels")
-        # The largest bucket still mixed says whether all leaders have been had.
-        widest = members.select("bucket", "key", "size").join(label, "key").groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.max("size").alias("size")).filter("lo <> hi").agg(F.max("size")).first()[0]
-        if widest is None or widest <= leaders:
+        label = _store.materialize(label, "labels")
+        state = many.join(label, "key")
+        # Buckets that are not yet one component, and their sizes.
+        mixed = state.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("left")).filter("lo <> hi").select("bucket", "left")
+        widest = mixed.agg(F.max("left")).first()[0]
+        if widest is None or (leaders > 2 and widest <= leaders // 8):
             break
-        leaders *= 4
+        state = state.join(mixed.select("bucket"), "bucket")
+        order = Window.partitionBy("bucket").orderBy(F.desc(F.col("c") / F.col("n")), F.desc("n"), "key")
+        heads = state.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= leaders).select("bucket", F.col("key").alias("head"), F.col("component").alias("of"), *(F.col(x).alias(f"head_{x}") for x in "ncm"))
+        # Common k-mers lie in the pivot or outside of it; either part is at most the smaller of the two texts'.
+        able = F.least("m", "head_m") + F.least(F.col("c") - F.col("m"), F.col("head_c") - F.col("head_m")) >= _needed(F.col("n"), F.col("head_n"), similarity)
+        pairs = state.join(heads, (state["bucket"] == heads["bucket"]) & (F.col("component") != F.col("of")) & able).select(F.least("key", "head").alias("a"), F.greatest("key", "head").alias("b")).distinct()
+        checked = _store.materialize(_verified(pairs.join(seen, ["a", "b"], "left_anti"), table, similarity), "verified")
+        seen = seen.unionByName(checked)
+        label = _linked(members, seen.filter("linked"))
+        leaders *= 8
     rows_ = made.select("doc_id", "key").join(label, "key", "left").withColumn("component", F.coalesce("component", "key"))
     least = rows_.groupBy("component").agg(F.min("doc_id").alias("class_id"), F.min(F.struct("doc_id", "key")).alias("_first"))
     out = rows_.join(least, "component")

@@ -42,24 +42,35 @@ def band_buckets(signatures: DataFrame, key: str, sig: str, rows: int = 4) -> Da
     return signatures.select(key, F.explode(bands).alias("bucket"))
 
 
+def _linked(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """a, b, similarity of the pairs that reach the threshold; sets: rep, set."""
+    left, right = sets.select(F.col("rep").alias("a"), F.col("set").alias("sa")), sets.select(F.col("rep").alias("b"), F.col("set").alias("sb"))
+    both = pairs.join(left, "a").join(right, "b").withColumn("similarity", T.jaccard(F.col("sa"), F.col("sb")))
+    return both.filter(F.col("similarity") >= threshold).select("a", "b", "similarity")
+
+
 def near_pairs(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, size: int = 32, rows: int = 4, threshold: float = 0.85) -> tuple[DataFrame, DataFrame]:
-    """(links, members): verified pairs a < b of representatives of equal shingle sets; members: key, rep for every row.
+    """(links, members): verified pairs a < b that connect what the buckets show to be alike; members: key, rep for every row.
 
-    Equal sets are one representative, so copies are never paired with each other.
+    Equal shingle sets are one representative, so copies are never paired with each other.  Each bucket's members are first
+    compared with its least one; only those that this leaves in different components are then paired, so a bucket of
+    near copies costs one comparison a member.
     """
-    sets = docs.select(F.col(key).alias("key"), F.sort_array(T.shingles(T.normalized_tokens(F.col(text)), width)).alias("set"))
-    sets = sets.withColumn("h", F.sha2(F.concat_ws("\n", "set"), 256))
-    reps = sets.groupBy("h").agg(F.min("key").alias("rep"), F.first("set").alias("set"))
-    reps = cut(reps)
+    sets = docs.select(F.col(key).alias("key"), F.sort_array(F.array_distinct(F.transform(T.shingles(T.normalized_tokens(F.col(text)), width), lambda x: F.xxhash64(x)))).alias("set"))
+    sets = sets.withColumn("h", F.sha2(F.array_join(F.transform("set", lambda x: F.hex(x)), ""), 256))
+    reps = cut(sets.groupBy("h").agg(F.min("key").alias("rep"), F.first("set").alias("set")))
     members = sets.select("key", "h").join(reps.select("h", "rep"), "h").select("key", "rep")
     buckets = band_buckets(reps.select("rep", signature(F.col("set"), size).alias("sig")), "rep", "sig", rows)
-    shared = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("bucket")
-    held = buckets.join(shared, "bucket")
-    pairs = held.alias("x").join(held.alias("y"), "bucket").filter("x.rep < y.rep").select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
-    left = reps.select(F.col("rep").alias("a"), F.col("set").alias("sa"))
-    right = reps.select(F.col("rep").alias("b"), F.col("set").alias("sb"))
-    links = pairs.join(left, "a").join(right, "b").withColumn("similarity", T.jaccard(F.col("sa"), F.col("sb"))).filter(F.col("similarity") >= threshold)
-    return links.select("a", "b", "similarity"), members
+    hubs = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("rep").alias("hub")).filter("n > 1")
+    held = cut(buckets.join(hubs, "bucket").select("bucket", "rep", "hub"))
+    first = held.filter("rep <> hub").select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct()
+    links = cut(_linked(first, reps, threshold))
+    parts = components(held.select(F.col("rep").alias("node")), links).withColumnRenamed("node", "rep")
+    state = held.join(parts, "rep")
+    mixed = state.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("bucket")
+    state = state.join(mixed, "bucket")
+    rest = state.alias("x").join(state.alias("y"), "bucket").filter("x.rep < y.rep and x.component <> y.component and x.rep <> y.hub").select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
+    return links.unionByName(_linked(rest, reps, threshold)), members
 
 
 def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:

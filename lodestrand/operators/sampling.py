@@ -157,3 +157,16 @@ def gates(rows: DataFrame) -> DataFrame:
 def verdict(gate_rows: DataFrame) -> DataFrame:
     """fail if any gate fails, else not_evaluated if any is, else pass."""
     return gate_rows.agg(F.when(F.bool_or(F.col("status") == "fail"), "fail").when(F.bool_or(F.col("status") == "not_evaluated"), "not_evaluated").otherwise("pass").alias("verdict"))
+
+
+def judge_report(judged: DataFrame, votes: DataFrame, item: str, score: str, vote: str, passing: int = 3) -> DataFrame:
+    """items, pass_rate, compared, agreement, kappa of a judge (score >= ``passing``) against the majority of human votes (ties pass)."""
+    human = votes.groupBy(item).agg((2 * F.count_if(vote) >= F.count(F.lit(1))).alias("_h"))
+    both = judged.select(item, (F.col(score) >= passing).alias("_j")).join(human, item, "left")
+    there = F.col("_h").isNotNull()
+
+    def mean(c: Column) -> Column:
+        return F.avg(F.when(there, c.cast("double")))
+
+    s = both.agg(F.count(F.lit(1)).alias("items"), F.avg(F.col("_j").cast("double")).alias("p"), F.count_if(there).alias("compared"), mean(F.col("_j") == F.col("_h")).alias("o"), mean(F.col("_j")).alias("l"), mean(F.col("_h")).alias("r"))
+    return s.select("items", F.round("p", 6).alias("pass_rate"), "compared", F.round("o", 6).alias("agreement"), F.round(kappa(F.col("o"), F.col("l"), F.col("r")), 6).alias("kappa"))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import answers as A
 from ..functions import text as T
-from ..operators import curate, dedup, passages, planner, questions, registry, retrieval, sampling
+from ..operators import curate, dedup, passages, planner, questions, records, registry, retrieval, sampling
 from ..session import ship
 from ..sources import extract
 
@@ -390,9 +390,9 @@ def rights_closure(spark, sf_dir):
     return registry.all_of(table(spark, sf_dir, "orders"), "o_custkey", "o_orderstatus", allowed)
 
 
-@query("SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
+@query("SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
 def missing_ids(spark, sf_dir):
-    return table(spark, sf_dir, "customer").join(table(spark, sf_dir, "orders").withColumnRenamed("o_custkey", "c_custkey"), "c_custkey", "left_anti").select("c_custkey")
+    return table(spark, sf_dir, "documents").select("doc_id").join(table(spark, sf_dir, "labels"), "doc_id", "left_anti")
 
 
 @query("SELECT page_id, len(regexp_extract_all(html, '<a ')) AS links, len(regexp_extract_all(html, '<h[1-6][ >]')) AS headings, len(regexp_extract_all(html, '<table')) AS tables FROM pages")
@@ -438,3 +438,18 @@ def rejections(spark, sf_dir):
     tasks = planner.plan_tasks(found, 60, 7, strict=False)[0]
     held = questions.validate(questions.generate(tasks, found), rows, docs, found)
     return questions.rejection_breakdown(held.filter(F.size("reasons") > 0))
+
+
+@query("""WITH h AS (SELECT doc_id, (quality + 1 - toxic) * 2 >= 2 AS h, quality * 2 + (1 - toxic) * 2 - (doc_id % 2) AS score FROM labels), j AS (SELECT score >= 3 AS j, h FROM h),
+s AS (SELECT count(*) AS n, avg(CAST(j AS DOUBLE)) AS p, avg(CAST(j = h AS DOUBLE)) AS o, avg(CAST(h AS DOUBLE)) AS r FROM j)
+SELECT n AS items, round(p, 6) AS pass_rate, n AS compared, round(o, 6) AS agreement, round((o - (p * r + (1 - p) * (1 - r))) / (1 - (p * r + (1 - p) * (1 - r))), 6) AS kappa FROM s""")
+def judge_agreement(spark, sf_dir):
+    rows = table(spark, sf_dir, "labels")
+    votes = rows.select("doc_id", F.explode(F.array(F.col("quality") == 1, F.col("toxic") == 0)).alias("vote"))
+    judged = rows.select("doc_id", (F.col("quality") * 2 + (1 - F.col("toxic")) * 2 - F.col("doc_id") % 2).alias("score"))
+    return sampling.judge_report(judged, votes, "doc_id", "score", "vote")
+
+
+@query()
+def passage_violations(spark, sf_dir):
+    return records.check(passages.passages(passages.releasable(_documents(spark, sf_dir))), "passage", "passage_id").filter(F.size("violations") > 0).select("passage_id", F.array_join("violations", ",").alias("violations"))

@@ -297,3 +297,15 @@ def extract(files: DataFrame, article: bool = False) -> DataFrame:
 def json_leaves(json_text: Column) -> Column:
     """One level of a JSON object as a map, null as empty."""
     return F.transform_values(F.from_json(json_text, "map<string,string>"), lambda k, v: F.coalesce(v, F.lit("")))
+
+
+def table_records(rows: list[list[str]]) -> list[dict[str, str]]:
+    """Rows of a table under its header: blank names are ``column_n``, repeated ones numbered from ``_2``."""
+    if not rows:
+        return []
+    width, names, seen = max(map(len, rows)), [], {}
+    for i, raw in enumerate([*rows[0], *[""] * (width - len(rows[0]))], 1):
+        name = str(raw).strip() or f"column_{i}"
+        seen[name] = seen.get(name, 0) + 1
+        names.append(name if seen[name] == 1 else f"{name}_{seen[name]}")
+    return [dict(zip(names, [*map(str, r), *[""] * (width - len(r))], strict=True)) for r in rows[1:]]

@@ -80,3 +80,8 @@ def current(spark: SparkSession, pointers: str, base: str) -> DataFrame:
     if row is None:
         raise FileNotFoundError(f"nothing promoted at {base}")
     return spark.read.parquet(f"{base}/{row.version}")
+
+
+def record_version(explicit, header, etag, modified, sha256):
+    """A fetched record's version: what was given, else the best of what the server said, else the start of its checksum."""
+    return F.coalesce(*(F.nullif(F.col(c), F.lit("")) for c in (explicit, header, etag, modified)), F.substring(sha256, 1, 16))
