@@ -62,6 +62,25 @@ def test_vectors_find_links(spark):
     assert vectors.near_vectors(frame.limit(0)).count() == 0
 
 
+def test_passes_follow_from_recall():
+    assert [vectors.passes_for(n) for n in (1, 1000, 50_000, 5_000_000)] == sorted(vectors.passes_for(n) for n in (1, 1000, 50_000, 5_000_000))
+    assert vectors.passes_for(50_000) < 30 and vectors.passes_for(50_000, recall=0.9) < vectors.passes_for(50_000)
+
+
+def test_recall_at_the_limit(spark):
+    """Pairs right at the limit among many others that are alike to nothing."""
+    rng = np.random.default_rng(9)
+    base = rng.standard_normal((3000, 64))
+    base /= np.linalg.norm(base, axis=1, keepdims=True)
+    side = rng.standard_normal((300, 64))
+    side -= (side * base[:300]).sum(1, keepdims=True) * base[:300]
+    side /= np.linalg.norm(side, axis=1, keepdims=True)
+    close = 0.902 * base[:300] + np.sqrt(1 - 0.902**2) * side
+    rows = [(i, v.tolist()) for i, v in enumerate(np.vstack([base, close]))]
+    got = vectors.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).filter("vec_id >= 3000").collect()
+    assert sum(r.component_id == r.vec_id - 3000 for r in got) >= 0.97 * 300
+
+
 def test_common_vector(spark):
     rows = [(i, [1.0, 2.0, 3.0, 4.0]) for i in range(500)] + [(1000 + i, [float(i % 7 - 3), 1.0, -1.0, 0.5]) for i in range(50)]
     got = {r.vec_id: r for r in vectors.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
