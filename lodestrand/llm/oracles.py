@@ -50,4 +50,25 @@ kept AS (SELECT e.doc_id, string_agg(word, ' ' ORDER BY e.i) AS t, count(*) AS n
 SELECT d.doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256 FROM d LEFT JOIN kept USING (doc_id)
 """
 
-ORACLE_SQL = {"op4_near_text": OP4, "op5_chat_format": OP5, "op7_near_vectors": OP7, "op8_substring_dedup": OP8}
+_GRID = """VALUES
+  (1, 'symbols', [0.05, 0.1, 0.2, 0.35, 0.5, 0.75, 1.0]), (2, 'dup_lines', [0.1, 0.2, 0.3, 0.5, 0.7]),
+  (3, 'long_words', [8.0, 9.0, 10.0, 12.0, 16.0]), (4, 'repeats', [0.02, 0.05, 0.1, 0.2, 0.3])"""
+OP10 = rf"""
+WITH d AS (SELECT doc_id, lang, coalesce(text, '') AS text, {WORDS} AS w, list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM documents),
+win AS (SELECT doc_id, unnest(range(1, len(w) - 6)) AS i, unnest(list_transform(range(1, len(w) - 6), lambda j: array_to_string(w[j:j + 7], ' '))) AS h FROM d WHERE len(w) >= 8),
+often AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, h) AS k FROM win) WHERE k > 1),
+rep AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + 8)) AS p FROM often) GROUP BY doc_id),
+s AS (SELECT d.doc_id, lang, len(w) AS n_words, CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars, length(text) - length(translate(text, '#*$%&|<>', '')) AS n_symbols,
+  len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(rep.n, 0) AS n_repeat_words, len(lines) AS n_lines FROM d LEFT JOIN rep USING (doc_id)),
+b AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed, [CAST(n_symbols AS DOUBLE) / greatest(n_words, 1), CAST(n_dup_lines AS DOUBLE) / greatest(n_lines, 1), CAST(word_chars AS DOUBLE) / greatest(n_words, 1), CAST(n_repeat_words AS DOUBLE) / greatest(n_words, 1)] AS score FROM s),
+grid AS (SELECT r, rule, CAST(unnest(cuts) AS DOUBLE) AS cut FROM ({_GRID}) g(r, rule, cuts)),
+held AS (SELECT lang, score FROM b WHERE NOT base_failed AND doc_id IN (SELECT doc_id FROM labels WHERE quality = 1)),
+counts AS (SELECT lang, r, rule, cut, count(*) AS n, count_if(score[r] >= cut) AS k FROM held, grid GROUP BY ALL),
+strata AS (SELECT count(DISTINCT coalesce(lang, chr(0))) AS m FROM held),
+tails AS (SELECT lang, r, rule, cut, list_sum(list_transform(range(0, CAST(k AS BIGINT) + 1), lambda j: exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1) + j * ln(0.005) + (n - j) * ln(1 - 0.005)))) AS p FROM counts WHERE k <= ceil(0.005 * n)),
+best AS (SELECT lang, r, rule, min(cut) AS cut FROM tails, strata WHERE p <= 0.05 / (22 * m) GROUP BY ALL),
+bad AS (SELECT b.doc_id, string_agg(rule, ',' ORDER BY r) AS failed FROM b JOIN best ON b.lang IS NOT DISTINCT FROM best.lang AND b.score[r] >= cut GROUP BY b.doc_id)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND failed IS NULL AS kept, coalesce(failed, '') AS failed_rules FROM b LEFT JOIN bad USING (doc_id)
+"""
+
+ORACLE_SQL = {"op4_near_text": OP4, "op5_chat_format": OP5, "op7_near_vectors": OP7, "op8_substring_dedup": OP8, "op10_quality_rules": OP10}

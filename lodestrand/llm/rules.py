@@ -102,7 +102,7 @@ def _log_tail(k: Column, n: Column, rate: float) -> Column:
     return F.aggregate(js, F.struct(first.alias("term"), first.alias("sum")), step, lambda acc: acc["sum"])
 
 
-def cutoffs(stats: DataFrame, labels: DataFrame, stratum: str, alpha: float = 0.05, delta: float = 0.05) -> DataFrame:
+def cutoffs(stats: DataFrame, labels: DataFrame, stratum: str, alpha: float = 0.02, delta: float = 0.05) -> DataFrame:
     """stratum, rule, cutoff, n_good, n_rejected: the strictest valid cutoff of each rule and stratum."""
     import math
 
@@ -113,7 +113,8 @@ def cutoffs(stats: DataFrame, labels: DataFrame, stratum: str, alpha: float = 0.
     # One row a document, one column a cutoff: partial sums leave one row a stratum and task.
     flat = [(r, float(c)) for r, (_, cs) in GRID.items() for c in cs]
     sums = held.groupBy("_s").agg(F.count(F.lit(1)).alias("n_good"), F.array(*(F.count_if(F.col("_m")[r] >= c) for r, c in flat)).alias("_k"))
-    rows = sums.select("_s", "n_good", F.posexplode(F.arrays_zip(grid.alias("g"), F.col("_k").alias("k"))).alias("_i", "_z"), F.count(F.lit(1)).over(_all()).alias("_strata"))
+    sums = sums.withColumn("_strata", F.count(F.lit(1)).over(_all()))  # one row a stratum
+    rows = sums.select("_s", "n_good", "_strata", F.explode(F.arrays_zip(grid.alias("g"), F.col("_k").alias("k"))).alias("_z"))
     rows = rows.select("_s", "n_good", F.col("_z.g.rule").alias("rule"), F.col("_z.g.cutoff").alias("cutoff"), F.col("_z.k").alias("n_rejected"), "_strata")
     # Beyond the expected count the tail exceeds any delta in use: no need to sum it.
     share = alpha / len(GRID)
@@ -136,7 +137,7 @@ def judge(stats: DataFrame, chosen: DataFrame, stratum: str) -> DataFrame:
     return rows.withColumn("failed_rules", failed).withColumn("kept", ~F.col("base_failed") & (F.size("failed_rules") == 0)).drop("_s", "_cut", "_m")
 
 
-def quality_rules(docs: DataFrame, labels: DataFrame, stratum: str = "lang", alpha: float = 0.05, delta: float = 0.05) -> DataFrame:
+def quality_rules(docs: DataFrame, labels: DataFrame, stratum: str = "lang", alpha: float = 0.02, delta: float = 0.05) -> DataFrame:
     """Counts and verdict of every document.  The counts are made once, as a written table of one small row a document."""
     stats = _store.materialize(text_stats(docs, stratum), "rule-stats")
     return judge(stats, cutoffs(stats, labels, stratum, alpha, delta), stratum)

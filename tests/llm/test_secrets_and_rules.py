@@ -136,7 +136,7 @@ def test_cutoffs_keep_their_promise(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     labels = spark.createDataFrame([(i, int(i % 5 != 0)) for i in range(3000)], "doc_id long, quality int")
     stats = rules.text_stats(docs, "lang").cache()
-    chosen = rules.cutoffs(stats, labels, "lang").collect()
+    chosen = rules.cutoffs(stats, labels, "lang", alpha=0.05).collect()
     assert {(r.lang, r.rule) for r in chosen} >= {("en", "symbols"), (None, "symbols")} and not any(r.lang == "de" for r in chosen)
     m = sum(len(c) for _, c in rules.GRID.values()) * 2
     assert all(exact_tail(r.n_rejected, r.n_good, 0.05 / len(rules.GRID)) <= 0.05 / m for r in chosen)
