@@ -14,13 +14,11 @@ Equal texts are one node from the start.  A bucket of a few texts is compared in
 texts that share a passage) most pairs are ruled out unseen, and exactly:
 
 * Only k-mers that occur in two or more texts of such buckets can match; a text whose matchable k-mers are too few for
-  any partner of the bucket leaves it, which may leave others too few, until nothing changes.
-* Every member is compared with the bucket's pivot, the text with the largest matchable share.  What two members can have
-  in common, inside the pivot and outside of it, is at most the smaller count of the two in either part; a pair is made only
-  if that reaches what the similarity needs.
-* Texts that are already in one component need no comparison.  Each round compares the members with a few leaders, those
-  with the largest matchable share first: the least edited texts, to which most others are linked.  The number of
-  leaders grows eightfold each round until every bucket is one component or all its pairs are made.
+  any partner of the bucket leaves it; once more, counted among those that stay.
+* Every member is compared with a few pivots, the texts with the largest matchable share: the least edited ones, to which most others
+  are linked.  Texts that are in one component by then need no more comparisons.
+* Those left outside the first pivot's component are compared with all of the bucket that may reach the limit.  What two members can
+  have in common, inside the pivot and outside of it, is at most the smaller count of the two in either part.
 
 Defined results: a null text is empty; texts of under five words have one k-mer, all their words; texts without words are
 all alike; rows that repeat a doc_id are separate documents; an empty table gives no row; other columns are ignored.
@@ -40,8 +38,8 @@ from . import _graph, _store
 from ._words import FIRST, Words, chunks, grams, mix
 
 K, BANDS, ROWS, SIMILARITY = 5, 14, 3, 0.8
-#: Buckets of up to this many texts are compared in full.
-SMALL = 8
+#: Buckets of up to this many texts are compared in full; of a larger one, so many pivots are compared with every member.
+SMALL, PIVOTS = 8, 4
 
 
 def text_key(text: str = "text") -> Column:
@@ -156,21 +154,6 @@ def _verified(pairs: DataFrame, kmer_table: DataFrame, similarity: float) -> Dat
     return both.select("a", "b", "ka", "kb").mapInArrow(run, "a binary, b binary, common long, linked boolean")
 
 
-def _pivoted(members: DataFrame, kmer_table: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame]:
-    """(members with m: k-mers in common with the bucket's pivot, the comparisons made).
-
-    The pivot is the text with the largest matchable share: of a group of edited copies, the least edited one.
-    """
-    best = F.max_by("key", F.struct(F.col("c") / F.col("n"), "n", "key"))
-    pivots = members.groupBy("bucket").agg(best.alias("pivot"))
-    held = members.join(pivots, "bucket")
-    pairs = held.filter("key <> pivot").select(F.least("key", "pivot").alias("a"), F.greatest("key", "pivot").alias("b")).distinct()
-    checked = _store.materialize(_verified(pairs, kmer_table, similarity), "verified")
-    known = held.join(checked, (F.least("key", "pivot") == F.col("a")) & (F.greatest("key", "pivot") == F.col("b")), "left")
-    out = known.select("bucket", "key", "n", "c", F.when(F.col("key") == F.col("pivot"), F.col("n")).otherwise(F.col("common")).alias("m"))
-    return _store.materialize(out, "pivoted"), checked
-
-
 def _needed(n, m, similarity: float):
     """Common k-mers that texts of n and m k-mers need."""
     return (n + m) * (similarity / (1 + similarity)) - 1e-6
@@ -195,24 +178,37 @@ def _peeled(members: DataFrame, kmer_table: DataFrame, similarity: float) -> Dat
     """bucket, key, n, c of the members that may have a partner in their bucket; c: matchable k-mers."""
     held = members.select("bucket", "key")
     each = _store.materialize(_exploded(kmer_table, held.select("key").distinct()), "kmer-rows")
-    size, dropped = None, None
-    while True:
-        alive = each if size is None else each.join(held.select("key").distinct(), "key", "left_semi")
+    alive = each
+    for again in (True, False):
         common = alive.groupBy("h").agg(F.count(F.lit(1)).alias("df")).filter("df > 1").select("h", F.lit(1).alias("one"))
         c = alive.join(common, "h", "left").groupBy("key").agg(F.first("n").alias("n"), F.count("one").alias("c"))
         sized = held.join(c, "key")
         # The shortest text of the bucket is the best partner for what a text has; a shorter one than the limit is none.
         least = sized.groupBy("bucket").agg(F.min("n").alias("low"))
-        keep = sized.join(least, "bucket").filter(F.col("c") >= _needed(F.col("n"), F.greatest(F.col("low").cast("double"), F.col("n") * similarity), similarity)).select("bucket", "key", "n", "c")
-        pairs = keep.groupBy("bucket").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("bucket")
-        after = _store.materialize(keep.join(pairs, "bucket", "left_semi"), "peeled")
-        count = after.count()
-        if dropped is not None:
-            _store.discard(dropped)
-        if count == size:
-            _store.discard(each)
-            return after
-        size, held, dropped = count, after.select("bucket", "key"), after
+        able = F.col("c") >= _needed(F.col("n"), F.greatest(F.col("low").cast("double"), F.col("n") * similarity), similarity)
+        after = _store.materialize(sized.join(least, "bucket").filter(able).select("bucket", "key", "n", "c"), "peeled")
+        held = after.select("bucket", "key")
+        if again:
+            alive = each.join(held.select("key").distinct(), "key", "left_semi")
+    return after
+
+
+def _pivoted(members: DataFrame, kmer_table: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame]:
+    """(members with m: k-mers in common with the bucket's pivot, and buckets: all of the member's; the comparisons made).
+
+    Pivots are the texts with the largest matchable share: of a group of edited copies, the least edited ones.
+    """
+    order = Window.partitionBy("bucket").orderBy(F.desc(F.col("c") / F.col("n")), F.desc("n"), "key")
+    ranked = members.withColumn("r", F.row_number().over(order))
+    heads = _store.materialize(ranked.filter(F.col("r") <= PIVOTS).select("bucket", F.col("key").alias("pivot"), "r"), "pivots")
+    held = members.join(heads, "bucket")
+    pairs = held.filter("key <> pivot").select(F.least("key", "pivot").alias("a"), F.greatest("key", "pivot").alias("b")).distinct()
+    checked = _store.materialize(_verified(pairs, kmer_table, similarity), "verified")
+    first = held.filter("r = 1").join(checked, (F.least("key", "pivot") == F.col("a")) & (F.greatest("key", "pivot") == F.col("b")), "left")
+    lists = members.groupBy("key").agg(F.collect_set("bucket").alias("buckets"))  # at most one a band
+    common = F.when(F.col("key") == F.col("pivot"), F.col("n")).otherwise(F.col("common"))
+    out = first.select("bucket", "key", "n", "c", "pivot", common.alias("m")).join(lists, "key")
+    return _store.materialize(out, "pivoted"), checked
 
 
 def _linked(members: DataFrame, links: DataFrame) -> DataFrame:
@@ -237,25 +233,24 @@ def classes(docs: DataFrame, k: int = K, bands: int = BANDS, rows: int = ROWS, s
 
     many, pivoted = _pivoted(_peeled(members.filter(F.col("size") > small), table, similarity), table, similarity)
     seen = seen.unionByName(pivoted)
-    label, leaders = _linked(members, seen.filter("linked")), 2
-    while True:
-        label = _store.materialize(label, "labels")
-        state = many.join(label, "key")
-        # Buckets that are not yet one component, and their sizes.
-        mixed = state.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("left")).filter("lo <> hi").select("bucket", "left")
-        widest = mixed.agg(F.max("left")).first()[0]
-        if widest is None or (leaders > 2 and widest <= leaders // 8):
-            break
-        state = state.join(mixed.select("bucket"), "bucket")
-        order = Window.partitionBy("bucket").orderBy(F.desc(F.col("c") / F.col("n")), F.desc("n"), "key")
-        heads = state.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= leaders).select("bucket", F.col("key").alias("head"), F.col("component").alias("of"), *(F.col(x).alias(f"head_{x}") for x in "ncm"))
-        # Common k-mers lie in the pivot or outside of it; either part is at most the smaller of the two texts'.
-        able = F.least("m", "head_m") + F.least(F.col("c") - F.col("m"), F.col("head_c") - F.col("head_m")) >= _needed(F.col("n"), F.col("head_n"), similarity)
-        pairs = state.join(heads, (state["bucket"] == heads["bucket"]) & (F.col("component") != F.col("of")) & able).select(F.least("key", "head").alias("a"), F.greatest("key", "head").alias("b")).distinct()
-        checked = _store.materialize(_verified(pairs.join(seen, ["a", "b"], "left_anti"), table, similarity), "verified")
-        seen = seen.unionByName(checked)
-        label = _linked(members, seen.filter("linked"))
-        leaders *= 8
+    label = _store.materialize(_linked(members, seen.filter("linked")), "labels")
+    state = many.join(label, "key")
+    # Whoever is not linked to its bucket's pivot is compared with all of the bucket that may reach it, once a pair: in the
+    # first of the buckets that the two share.
+    home = label.select(F.col("key").alias("pivot"), F.col("component").alias("home"))
+    out = state.join(home, "pivot").filter("component <> home")
+    other = state.select("bucket", *(F.col(x).alias(f"o_{x}") for x in ("key", "component", "n", "c", "m", "buckets")))
+    other = other.join(out.select("bucket").distinct(), "bucket", "left_semi")
+    # Common k-mers lie in the pivot or outside of it; either part is at most the smaller of the two texts'.
+    able = F.least("m", "o_m") + F.least(F.col("c") - F.col("m"), F.col("o_c") - F.col("o_m")) >= _needed(F.col("n"), F.col("o_n"), similarity)
+    once = F.array_min(F.array_intersect("buckets", "o_buckets")) == out["bucket"]
+    # Two outsiders meet twice; the lesser key's row makes the pair.
+    ordered = (F.col("o_component") == F.col("home")) | (F.col("key") < F.col("o_key"))
+    met = (out["bucket"] == other["bucket"]) & (F.col("component") != F.col("o_component")) & able & ordered & once
+    pairs = out.join(other, met).select(F.least("key", "o_key").alias("a"), F.greatest("key", "o_key").alias("b")).distinct()
+    checked = _store.materialize(_verified(pairs.join(seen, ["a", "b"], "left_anti"), table, similarity), "verified")
+    if checked.filter("linked").limit(1).count():
+        label = _store.materialize(_linked(members, seen.unionByName(checked).filter("linked")), "labels")
     rows_ = made.select("doc_id", "key").join(label, "key", "left").withColumn("component", F.coalesce("component", "key"))
     least = rows_.groupBy("component").agg(F.min("doc_id").alias("class_id"), F.min(F.struct("doc_id", "key")).alias("_first"))
     out = rows_.join(least, "component")
