@@ -18,6 +18,8 @@ from lodestrand.session import ship
 
 #: Documents that score below this go.
 QUALITY = 0.5
+#: Chunks that the tokenizer keeps in a worker, which other stages' workers share memory with.
+MEMO = 150_000
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,9 +53,9 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all documents with their places in the training sequences, ids included."""
+    """Pieces of all documents with their places in the training sequences."""
     ship(spark)
-    return packing.pack_documents(docs, tokenizer_path(), with_ids=True)
+    return packing.pack_documents(docs, tokenizer_path(), memo=MEMO)
 
 
 STAGES = [
@@ -72,4 +74,4 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _store.table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = _store.materialize(stage(spark, docs, sf_dir), name)
-    return docs.drop("ids")
+    return docs

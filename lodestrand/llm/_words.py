@@ -110,7 +110,7 @@ def grams(values: np.ndarray, k: int, rolling: Rolling = FIRST) -> np.ndarray:
     return mix(h)
 
 
-def chunks(batch: pa.RecordBatch, column: str = "text", size: int = 1 << 21) -> Iterator[pa.RecordBatch]:
+def chunks(batch: pa.RecordBatch, column: str | int = "text", size: int = 1 << 21) -> Iterator[pa.RecordBatch]:
     """The batch in runs of rows of about ``size`` bytes of text, so that arrays stay small; a longer text is a run alone."""
     texts = batch.column(column)
     if not len(texts):

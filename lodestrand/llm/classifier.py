@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import _store
+from ._words import chunks
 
 #: Features, kernel width (in standard deviations of a statistic, times the root of their number), ridge, score bins.
 FEATURES, WIDTH, RIDGE, BINS, SEED = 192, 1.0, 1e-3, 1000, 7
@@ -105,8 +106,8 @@ def isotonic(x: np.ndarray, good: np.ndarray, total: np.ndarray) -> tuple[np.nda
 
 
 def _rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
-    for b in batches:
-        if b.num_rows:
+    for batch in batches:
+        for b in chunks(batch, size=1 << 22):
             yield b, np.array([statistics(t) for t in b.column("text").to_pylist()], np.float64)
 
 
@@ -218,7 +219,7 @@ def score_texts(docs: DataFrame, model: Model) -> DataFrame:
     held = docs.select(*names, F.coalesce(F.col("text"), F.lit("")).alias(*_store.fresh(docs, "whole_text")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in (c for batch in batches for c in chunks(batch, batch.num_columns - 1, 1 << 22)):
             x = np.array([statistics(t) for t in b.column(b.num_columns - 1).to_pylist()], np.float64).reshape(-1, N_STATS)
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(shared.value.score(x))], names=[*names, "score"])
 

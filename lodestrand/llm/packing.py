@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import _store
+from ._words import chunks
 from .tokenizer import encoder, in_slices
 
 CAPACITY = 4096
@@ -100,14 +101,14 @@ def runs(patterns: list[tuple[int, list[tuple[int, int]]]], capacity: int = CAPA
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
-def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = 1, with_ids: bool = False) -> DataFrame:
+def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = 1, with_ids: bool = False, memo: int | None = None) -> DataFrame:
     """Pieces of every document: doc_id, piece, start, length, ids_crc32 and, if asked, ids."""
     fields = [("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())]
     schema = pa.schema(fields + ([("ids", pa.binary())] if with_ids else []))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, tail, step = encoder(tokenizer), np.array([end_id], "<u4").tobytes(), 4 * capacity
-        for b in batches:
+        enc, tail, step = encoder(tokenizer, memo), np.array([end_id], "<u4").tobytes(), 4 * capacity
+        for b in (c for batch in batches for c in chunks(batch, size=1 << 22)):
             doc_ids = b.column("doc_id").to_pylist()
             for i, texts in in_slices(b.column("text").to_pylist()):
                 rows = []
@@ -159,9 +160,9 @@ def pack(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     return ranked.mapInArrow(place, schema)
 
 
-def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = 1, with_ids: bool = False) -> DataFrame:
+def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = 1, with_ids: bool = False, memo: int | None = None) -> DataFrame:
     """Every piece of every document with its place.  Texts are encoded once; their pieces are a written table."""
-    return pack(_store.materialize(pieces(docs, tokenizer, capacity, end_id, with_ids), "pieces"), capacity)
+    return pack(_store.materialize(pieces(docs, tokenizer, capacity, end_id, with_ids, memo), "pieces"), capacity)
 
 
 def sequences(packed: DataFrame) -> DataFrame:

@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from . import _store
+from ._words import chunks
 
 KINDS = ("assign", "access", "hex")
 #: Bytes that one compressed stream may give, and compressed layers inside each other.
@@ -218,7 +219,7 @@ def find_secrets(docs: DataFrame) -> DataFrame:
     schema = pa.schema([("doc_id", pa.int64()), *((f"n_{k}", pa.int64()) for k in KINDS), ("base_sha256", pa.string()), ("spans", pa.string()), ("n_added", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in (c for batch in batches for c in chunks(batch, size=1 << 22)):
             rows = []
             for doc_id, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), strict=True):
                 base, spans = scan(text)
@@ -237,7 +238,7 @@ def redact_secrets(docs: DataFrame, text_col: str = "text", mark: str = "[SECRET
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = schema.get_field_index(text_col)
-        for b in batches:
+        for b in (c for batch in batches for c in chunks(batch, at, 1 << 22)):
             texts = [t and (redact(t, s, mark) if (s := scan(t)[1]) else t) for t in b.column(at).to_pylist()]
             cols = [pa.array(texts, pa.string()) if i == at else c for i, c in enumerate(b.columns)]
             yield pa.RecordBatch.from_arrays(cols, names=b.schema.names)

@@ -137,7 +137,7 @@ def _strip(docs: DataFrame, window: int) -> DataFrame:
     schema = pa.schema([("doc_id", pa.int64()), ("tie", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept", pa.string()), ("kept_sha256", pa.string())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for c in batches:
+        for c in (x for batch in batches for x in chunks(batch, size=1 << 22)):
             kept, n_words, n_removed = [], [], []
             for text, spans in zip(c.column("text").to_pylist(), c.column("spans").to_pylist(), strict=True):
                 words = text.encode().split()
@@ -190,7 +190,7 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, k: int = GRAM) -> Dat
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for c in batches:
+        for c in (x for batch in batches for x in chunks(batch, at, 1 << 22)):
             texts, keep = c.column(at).to_pylist(), []
             for i, spans in enumerate(c.column(c.num_columns - 1).to_pylist()):
                 if spans:

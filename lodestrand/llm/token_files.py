@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import _store
+from ._words import chunks
 from .tokenizer import encoder, in_slices
 
 _HEAD = struct.Struct("<8sIIQQ")
@@ -139,7 +140,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, block
                 out.write(raw)
             return pa.RecordBatch.from_pylist([{"part": part, "seq": seq, "file": f"{path}/{name}", "n_docs": len(held), "n_ids": size, "n_bytes": len(raw)}], schema=_MANIFEST)
 
-        for b in batches:
+        for b in (c for batch in batches for c in chunks(batch, size=1 << 22)):
             ids = b.column("doc_id").to_pylist()
             for i, texts in in_slices(b.column("text").to_pylist()):
                 for k, own in enumerate(enc.encode(texts)):
