@@ -48,6 +48,27 @@ def near_rows(n=300, d=24, seed=0):
     return rows
 
 
+def test_links_of_a_large_group_are_counted_in_full(spark):
+    """Thousands of unequal vectors near one centre: tight ones agree in every key bit, loose ones do not all link."""
+    rng = np.random.default_rng(11)
+    for n, spread in ((2500, 1e-6), (1500, 0.3)):
+        near = rng.standard_normal(24) + rng.standard_normal((n, 24)) * spread
+        x = np.vstack([near, rng.standard_normal((300, 24))]).astype(np.float32).astype(float)
+        unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+        want = (unit @ unit.T >= 0.9).sum(1) - 1
+        got = vectors.near_vectors(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>"))
+        assert [r.n_links for r in sorted(got.collect())] == want.tolist() and want.max() > 1000
+
+
+def test_windows_go_on_over_the_edges_of_tasks(spark):
+    x = np.random.default_rng(2).standard_normal((40, 8))
+    table = vectors.nodes(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>"), "embedding").cache()
+    pairs = vectors._pairs(vectors._keyed(table.select("node", "vector"), 1), 48, -1.1)
+    from lodestrand.llm import _graph
+
+    assert {r.component for r in _graph.components(pairs).collect()} == {min(r.node for r in table.collect())}
+
+
 def test_vectors_find_links(spark):
     rows = near_rows()
     rows += [(1000, None), (1001, []), (1002, [0.0] * 24), (1003, [None] * 24), (1004, [float("nan")] * 24), (1005, [float("inf")] * 24), (1006, [1.0] * 5), (1007, [1e-30] * 5), (1008, [1e30] * 5), (2, rows[2][1])]
