@@ -8,8 +8,11 @@ found inside is reported at that span.
 
 Base matches are leftmost and non-overlapping per kind, judged on the original text; deeper findings are only added.
 
-Bounds: nesting ends by itself as every decoding is shorter than its source, save for decompression, which reads at most
-``INFLATE`` bytes of a stream per layer and follows at most ``DEPTH`` compressed layers, so that a bomb cannot fill a worker.
+Compressed data is read as a stream, whatever it gives, all its members after each other; what it gives is scanned in windows
+that overlap, as all of it stands for one span of the text.  So memory is bounded by the windows of the layers in hand.
+
+Nesting ends by itself as every decoding is shorter than its source, save for decompression: compressed data inside compressed
+data is opened until it is no longer new, or ``STREAMS`` deep where it is too large (``SMALL``) to be known again.
 
 Defined results: a null text is empty; an empty text has no spans; repeated rows are scanned each; other columns are ignored.
 """
@@ -19,11 +22,13 @@ from __future__ import annotations
 import base64
 import binascii
 import bz2
+import codecs
 import hashlib
 import html
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -32,8 +37,10 @@ from . import _store
 from ._words import chunks
 
 KINDS = ("assign", "access", "hex")
-#: Bytes that one compressed stream may give, and compressed layers inside each other.
-INFLATE, DEPTH = 1 << 22, 8
+#: Bytes of compressed data read at a time and of a layer known by its hash; streamed layers inside each other.
+CHUNK, SMALL, STREAMS = 1 << 12, 1 << 20, 200
+#: Characters of a decompressed layer scanned at a time, and shared by two such windows.
+WINDOW, OVERLAP = 1 << 20, 1 << 16
 # The base patterns.  The runs of access and hex are maximal, so their least lengths can stand in the pattern.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
 ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
@@ -43,7 +50,10 @@ _KEYWORD = re.compile(r"password|passwd|secret|token|api_?key", re.IGNORECASE |
 URL = re.compile(r"%[0-9A-Fa-f]{2}")
 ESCAPE = re.compile(r"\\u\{[0-9A-Fa-f]{1,6}\}|\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8}|\\x[0-9A-Fa-f]{2}|&#[xX][0-9A-Fa-f]{1,6};|&#[0-9]{1,7};|&(?:quot|amp|apos|lt|gt|equals|colon);")
 BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}")
-_PRINTABLE = re.compile(r"[^\x00-\x08\x0e-\x1f\x7f]*")
+#: What every finding needs, and base64 text of compressed data.
+_ENOUGH = re.compile(r"[\t\r\n\x20-\x7e]{12}")
+_PACKED = re.compile(r"H4sI|Qlpo|eJ[w-z]|eAE|eF4|eN[o-r]")
+_OPEN = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-=\r\n"
 
 Span = tuple[str, int, int]
 
@@ -64,16 +74,21 @@ def ordered(spans) -> list[Span]:
 
 
 class Layer:
-    """A text and, for each of its characters, the span of the original text."""
+    """A text and, for each of its characters, the span of the original text; without starts and ends, one span for all."""
 
-    __slots__ = ("deep", "ends", "starts", "text")
+    __slots__ = ("ends", "span", "starts", "text")
 
-    def __init__(self, text: str, starts, ends, deep: int = 0):
-        self.text, self.starts, self.ends, self.deep = text, starts, ends, deep
+    def __init__(self, text: str, starts=None, ends=None, span: tuple[int, int] | None = None):
+        self.text, self.starts, self.ends, self.span = text, starts, ends, span
 
     def mapped(self, start: int, end: int) -> tuple[int, int]:
+        if self.span:
+            return self.span
         return self.starts[start], max(self.ends[start:end], default=self.starts[start]) if not isinstance(self.ends, range) else self.ends[end - 1]
 
+    def place(self) -> tuple[int, int]:
+        return self.span or (self.starts[0] if self.starts else 0, self.ends[-1] if self.ends else 0)
+
 
 def _replace(layer: Layer, pattern: re.Pattern, decode) -> Layer | None:
     """A layer with every match run replaced by what it stands for; characters outside keep their own spans."""
@@ -88,21 +103,25 @@ def _replace(layer: Layer, pattern: re.Pattern, decode) -> Layer | None:
         units = [text[m.start() : m.end()] for m in matches[k : j + 1]]
         bounds = [m.start() for m in matches[k : j + 1]] + [hi]
         pieces.append(text[at:lo])
-        starts.extend(layer.starts[at:lo])
-        ends.extend(layer.ends[at:lo])
+        if not layer.span:
+            starts.extend(layer.starts[at:lo])
+            ends.extend(layer.ends[at:lo])
         for char, first, last in decode(units):
             pieces.append(char)
-            a, b = layer.mapped(bounds[first], bounds[last])
-            starts.append(a)
-            ends.append(b)
+            if not layer.span:
+                a, b = layer.mapped(bounds[first], bounds[last])
+                starts.append(a)
+                ends.append(b)
             changed = changed or char != text[bounds[first] : bounds[last]]
         at, k = hi, j + 1
     if not changed:
         return None
     pieces.append(text[at:])
+    if layer.span:
+        return Layer("".join(pieces), span=layer.span)
     starts.extend(layer.starts[at:])
     ends.extend(layer.ends[at:])
-    return Layer("".join(pieces), starts, ends, layer.deep)
+    return Layer("".join(pieces), starts, ends)
 
 
 def _url_units(units: list[str]):
@@ -136,15 +155,117 @@ def _escape_units(units: list[str]):
         i += n
 
 
-def _inflate(raw: bytes) -> bytes | None:
-    try:
-        if raw[:2] == b"\x1f\x8b" or raw[:1] == b"\x78":
-            return zlib.decompressobj(47).decompress(raw, INFLATE)
-        if raw[:3] == b"BZh":
-            return bz2.BZ2Decompressor().decompress(raw, INFLATE)
-    except (zlib.error, OSError, EOFError):
-        pass
-    return None
+class _Plain(Exception):
+    """What looked compressed is not: the bytes read so far."""
+
+
+def _opener(head: bytes):
+    if head[:2] == b"\x1f\x8b" or (head[:1] == b"\x78" and len(head) > 1 and not (head[0] << 8 | head[1]) % 31):
+        return zlib.decompressobj(47)
+    return bz2.BZ2Decompressor() if head[:3] == b"BZh" else None
+
+
+def _members(parts: Iterator[bytes]) -> Iterator[bytes]:
+    """What compressed data gives, member after member, up to its first error; then what follows the members."""
+    box, eaten, gave = None, b"", False
+    for data in parts:
+        eaten = b"" if gave else eaten + data
+        more = True
+        while data or more:
+            if box is None:
+                while len(data) < 3 and (rest := next(parts, b"")):
+                    data += rest
+                box = _opener(data)
+                if box is None:
+                    yield data
+                    yield from parts
+                    return
+            try:
+                out = box.decompress(data, SMALL)
+            except (zlib.error, OSError, EOFError, ValueError) as e:
+                if not gave:
+                    raise _Plain(eaten) from e
+                return
+            if out:
+                gave = True
+                yield out
+            if box.eof:
+                data, box, more, gave = box.unused_data, None, False, True
+            elif isinstance(box, bz2.BZ2Decompressor):
+                data, more = b"", not box.needs_input
+            else:
+                data = box.unconsumed_tail
+                more = len(out) == SMALL
+
+
+def _cut(parts) -> Iterator[bytes]:
+    return (p[i : i + CHUNK] for p in parts for i in range(0, len(p), CHUNK))
+
+
+def _opened(parts: Iterator[bytes], deep: int = 0) -> Iterator[bytes]:
+    """The bytes inside all compressed layers around them."""
+    seen = set()
+    while True:
+        held, n = [], 0
+        for p in parts:
+            held.append(p)
+            n += len(p)
+            if n > SMALL:
+                break
+        head = b"".join(held)
+        if n > SMALL or _opener(head) is None or (key := hashlib.blake2b(head, digest_size=16).digest()) in seen:
+            break
+        seen.add(key)
+        inner = _members(_cut([head]))
+        try:
+            first = next(inner, b"")
+        except _Plain:
+            break
+        parts = chain([first], inner)
+    if n > SMALL and deep < STREAMS and _opener(head):
+        rest = _cut(chain([head], parts))
+        inner = _members(rest)
+        try:
+            first = next(inner, b"")
+        except _Plain as e:
+            yield e.args[0]
+            yield from rest
+        else:
+            yield from _opened(chain([first], inner), deep + 1)
+        return
+    yield head
+    yield from parts
+
+
+def _windows(parts: Iterator[bytes], span: tuple[int, int], codec: str = "utf-8") -> Iterator[Layer]:
+    """The bytes as text, in overlapping windows; what is no text in between is replaced."""
+    decoder, text = codecs.getincrementaldecoder(codec)("replace"), ""
+    for p in parts:
+        text += decoder.decode(p)
+        if len(text) < WINDOW:
+            continue
+        if " " * 64 in text:
+            text = re.sub(" {64,}", " ", text)  # any number of spaces is alike to the patterns
+        cut, run = len(text) - OVERLAP, len(text.rstrip(_OPEN))
+        packed = run < cut and _PACKED.search(text, run, run + 256)  # compressed data that is not cut
+        if cut <= 0 or (packed and not run):
+            continue
+        if _ENOUGH.search(text):
+            yield Layer(text, span=span)
+        text = text[run if packed else cut :]
+    text += decoder.decode(b"", True)
+    if _ENOUGH.search(text):
+        yield Layer(text, span=span)
+
+
+def _read(raw: bytes, span: tuple[int, int]) -> Iterator[Layer]:
+    yield from _views(lambda: _opened(iter([raw])), span)
+    if raw[:1] == b"x" and _opener(raw):  # text may begin like compressed data
+        yield from _views(lambda: iter([raw]), span)
+
+
+def _views(parts: Callable[[], Iterator[bytes]], span: tuple[int, int]) -> Iterator[Layer]:
+    yield from _windows(parts(), span)
 
 
 def _base64_layers(layer: Layer) -> Iterator[Layer]:
@@ -156,16 +277,7 @@ def _base64_layers(layer: Layer) -> Iterator[Layer]:
             raw = base64.b64decode(run + "=" * (-len(run) % 4))
         except (binascii.Error, ValueError):
             continue
-        deep = layer.deep
-        while deep < DEPTH and (more := _inflate(raw)) is not None:
-            raw, deep = more, deep + 1
-        try:
-            text = raw.decode()
-        except UnicodeDecodeError:
-            continue
-        if text and _PRINTABLE.fullmatch(text):
-            a, b = layer.mapped(m.start(), m.end())
-            yield Layer(text, [a] * len(text), [b] * len(text), deep)
+        yield from _read(raw, layer.mapped(m.start(), m.end()))
 
 
 def unwrap(layer: Layer) -> Iterator[Layer]:
@@ -182,18 +294,20 @@ def scan(text: str) -> tuple[list[Span], list[Span]]:
     base = base_spans(text)
     found = set(base)
     seen = {hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=16).digest()}
-    work = [Layer(text, range(len(text)), range(1, len(text) + 1))]
+    work = [unwrap(Layer(text, range(len(text)), range(1, len(text) + 1)))]
     while work:
-        for more in unwrap(work.pop()):
-            # The same words decoded at another place are another finding: the place belongs to the key.
-            place = f"{more.starts[0] if more.starts else 0}:{more.ends[-1] if more.ends else 0}:"
-            key = hashlib.blake2b((place + more.text).encode("utf-8", "surrogatepass"), digest_size=16).digest()
-            if key in seen:
-                continue
-            seen.add(key)
-            for kind, a, b in base_spans(more.text):
-                found.add((kind, *more.mapped(a, b)))
-            work.append(more)
+        more = next(work[-1], None)
+        if more is None:
+            work.pop()
+            continue
+        # The same words decoded at another place are another finding: the place belongs to the key.
+        key = hashlib.blake2b(("{}:{}:".format(*more.place()) + more.text).encode("utf-8", "surrogatepass"), digest_size=16).digest()
+        if key in seen:
+            continue
+        seen.add(key)
+        for kind, a, b in base_spans(more.text):
+            found.add((kind, *more.mapped(a, b)))
+        work.append(unwrap(more))
     return base, ordered(found)
 
 

@@ -3,6 +3,7 @@ import bz2
 import gzip
 import hashlib
 import math
+import random
 import re
 import urllib.parse
 from collections import Counter
@@ -76,6 +77,23 @@ def test_surrogates_cycles_and_bombs():
     assert secrets.scan(bomb)[0] == brute_base(bomb)
 
 
+def found(text):
+    return [s for s in secrets.scan(text)[1] if s[0] == "assign"]
+
+
+@pytest.mark.parametrize("pack", [gzip.compress, bz2.compress])
+def test_compressed_layers_are_read_to_the_end(pack):
+    lines = "".join(f"line {i} 日本\n" for i in range(400_000))
+    assert len(lines.encode()) > 6_000_000
+    for data in (pack(lines.encode() + SECRET.encode()), pack(b"first") + pack(SECRET.encode()), pack(base64.b64encode(gzip.compress(random.Random(1).randbytes(2_000_000) + SECRET.encode())))):
+        hidden = base64.b64encode(data).decode()
+        assert (("assign", 2, 2 + len(hidden)) in secrets.scan(f"a {hidden} b")[1])
+    nested = SECRET.encode()
+    for _ in range(30):
+        nested = pack(nested)
+    assert found(base64.b64encode(nested).decode())
+
+
 @given(st.text(alphabet="%\\u0043&#;ab=Zm9v+/ \n", max_size=80))
 @settings(max_examples=200, deadline=None)
 def test_scan_never_loses_base(text):
