@@ -1,14 +1,14 @@
 """Near-duplicate texts by Order MinHash and banded alignment.
 
-A text's k-mers are its runs of five words, each labelled by its occurrence number.  A band of the sketch samples the few
+A text's k-mers are its distinct runs of five words, where they first occur: a repeated passage counts once, as in the SQL.  A band of the sketch samples the few
 k-mers with the least hash under the band's own permutation and keeps them in text order, so two texts agree in a band
 with a probability that follows their edit similarity, not just the overlap of their sets.  Texts that agree in a
 band are candidates.
 
-A candidate pair is verified by a banded alignment of the two k-mer sequences.  Labelled k-mers are unique, so the
+A candidate pair is verified by a banded alignment of the two k-mer sequences.  The k-mers are unique, so the
 alignment is a longest increasing run of matching places inside the band that the similarity allows; M matches give
 M / (n + m - M).  A pair that falls short only by its order (moved paragraphs) is linked by the exact Jaccard similarity of
-its labelled k-mers instead.
+its k-mers instead.
 
 Equal texts are one node from the start.  A bucket of a few texts is compared in full.  In a large one (a group of copies, or
 texts that share a passage) most pairs are ruled out unseen, and exactly:
@@ -48,21 +48,13 @@ def text_key(text: str = "text") -> Column:
 
 
 def kmers(words: Words, k: int = K) -> list[np.ndarray]:
-    """For each text the hashes of its k-mers in order, equal ones told apart by their occurrence number."""
+    """For each text the hashes of its distinct k-mers in the order in which they first occur."""
     hashes = words.hashes()
     all_grams, out = grams(hashes, k), []
     for a, b in zip(words.bounds[:-1], words.bounds[1:], strict=True):
         own = all_grams[a : b - k + 1] if b - a >= k else FIRST.ranges(hashes[a:b], np.array([0]), np.array([b - a]))
-        order = np.argsort(own, kind="stable")
-        ranked = own[order]
-        same = np.flatnonzero(ranked[1:] == ranked[:-1]) + 1
-        if len(same):
-            first = np.r_[True, ranked[1:] != ranked[:-1]]
-            nth = np.arange(len(own)) - np.maximum.accumulate(np.where(first, np.arange(len(own)), 0))
-            label = np.empty(len(own), np.uint64)
-            label[order] = nth
-            own = np.where(label > 0, mix(own + label * np.uint64(0x9E3779B97F4A7C15)), own)
-        out.append(own)
+        first = np.unique(own, return_index=True)[1]
+        out.append(own if len(first) == len(own) else own[np.sort(first)])
     return out
 
 
@@ -91,7 +83,7 @@ def _increasing(places: np.ndarray) -> int:
 
 
 def compared(a: np.ndarray, b: np.ndarray, similarity: float = SIMILARITY) -> tuple[int, bool]:
-    """(common labelled k-mers, whether the two sequences reach the similarity by banded alignment or by their sets)."""
+    """(common k-mers, whether the two sequences reach the similarity by banded alignment or by their sets)."""
     n, m = len(a), len(b)
     need = _needed(n, m, similarity)
     _, at_a, at_b = np.intersect1d(a, b, assume_unique=True, return_indices=True)

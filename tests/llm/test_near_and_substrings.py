@@ -91,6 +91,16 @@ def test_chains_and_hot_groups(spark):
     assert sorted((True, r.doc_id, r.class_id) for r in got) == brute_classes(rows)
 
 
+def test_repeated_lines_count_once(spark):
+    line, rows = prose(80, 9), []
+    for i in range(30):  # in small and large buckets
+        body = prose(81 + i // 15, 150)
+        rows.append((i, body + "\n" + "\n".join([line] * (100 + 20 * i))))
+    rows += [(100, prose(90, 60) + ("\n" + line) * 300), (101, prose(91, 60) + ("\n" + line) * 300), (102, prose(92, 90)), (103, prose(92, 90) + ("\n" + prose(92, 90)) * 2)]
+    got = near_text.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((True, r.doc_id, r.class_id) for r in got) == brute_classes(rows)
+
+
 def test_alignment():
     a = np.arange(100, dtype=np.uint64)
     assert near_text.aligned(a, a) and near_text.aligned(a, np.r_[a[:95], a[:5] + 500])
