@@ -1,9 +1,9 @@
-"""Near-duplicate texts by Order MinHash and banded alignment.
+"""Near-duplicate texts by banded MinHash and banded alignment.
 
-A text's k-mers are its distinct runs of five words, where they first occur: a repeated passage counts once, as in the SQL.  A band of the sketch samples the few
-k-mers with the least hash under the band's own permutation and keeps them in text order, so two texts agree in a band
-with a probability that follows their edit similarity, not just the overlap of their sets.  Texts that agree in a
-band are candidates.
+A text's k-mers are its distinct runs of five words, where they first occur: a repeated passage counts once, as in the SQL.  A band
+of the sketch samples the few k-mers with the least hash under the band's own permutation, whatever their places: texts that
+agree in order and texts whose paragraphs moved share a band with the same probability, and whatever pair would agree with
+the sample kept in text order agrees without.  Texts that agree in a band are candidates.
 
 A candidate pair is verified by a banded alignment of the two k-mer sequences.  The k-mers are unique, so the
 alignment is a longest increasing run of matching places inside the band that the similarity allows; M matches give
@@ -59,13 +59,13 @@ def kmers(words: Words, k: int = K) -> list[np.ndarray]:
 
 
 def sketch(own: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np.ndarray:
-    """Per band a hash of the ``rows`` least k-mers under the band's permutation, in text order."""
+    """Per band a hash of the ``rows`` least k-mers under the band's permutation, in the permutation's order."""
     out = np.empty(bands, np.uint64)
     for b in range(bands):
         h = mix(own ^ np.uint64((b + 1) * 0xD6E8FEB86659FD93 & 0xFFFFFFFFFFFFFFFF))
-        least = np.sort(np.argpartition(h, rows)[:rows]) if len(h) > rows else np.arange(len(h))
+        least = np.sort(np.partition(h, rows)[:rows]) if len(h) > rows else np.sort(h)
         acc = b + 1
-        for x in own[least].tolist():
+        for x in least.tolist():
             acc = (acc * 0x100000001B3 ^ x) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF
         out[b] = acc ^ acc >> 29
     return out

@@ -101,6 +101,18 @@ def test_repeated_lines_count_once(spark):
     assert sorted((True, r.doc_id, r.class_id) for r in got) == brute_classes(rows)
 
 
+def test_moved_parts_are_candidates():
+    rng = np.random.default_rng(4)
+    for parts in (2, 6):
+        lost = 0
+        for _ in range(400):
+            a, fresh = rng.integers(0, 1 << 63, 180, dtype=np.uint64), rng.integers(0, 1 << 63, 20, dtype=np.uint64)
+            b = np.concatenate(np.array_split(np.r_[a[:160], fresh], parts)[::-1])
+            assert near_text.aligned(a, b)
+            lost += not (near_text.sketch(a) == near_text.sketch(b)).any()
+        assert lost <= 1
+
+
 def test_alignment():
     a = np.arange(100, dtype=np.uint64)
     assert near_text.aligned(a, a) and near_text.aligned(a, np.r_[a[:95], a[:5] + 500])
