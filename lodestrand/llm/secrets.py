@@ -8,6 +8,8 @@ found inside is reported at that span.
 
 Base matches are leftmost and non-overlapping per kind, judged on the original text; deeper findings are only added.
 
+Base64 runs are read line by line and over line breaks, from each of four places on; what they give need not be clean text.
+
 Compressed data is read as a stream, whatever it gives, all its members after each other; what it gives is scanned in windows
 that overlap, as all of it stands for one span of the text.  So memory is bounded by the windows of the layers in hand.
 
@@ -20,15 +22,15 @@ Defined results: a null text is empty; an empty text has no spans; repeated rows
 from __future__ import annotations
 
 import base64
-import binascii
 import bz2
 import codecs
 import hashlib
 import html
 import re
 import zlib
+from bisect import bisect_right
 from collections.abc import Callable, Iterator
-from itertools import chain
+from itertools import accumulate, chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -50,6 +52,12 @@ _KEYWORD = re.compile(r"password|passwd|secret|token|api_?key", re.IGNORECASE |
 URL = re.compile(r"%[0-9A-Fa-f]{2}")
 ESCAPE = re.compile(r"\\u\{[0-9A-Fa-f]{1,6}\}|\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8}|\\x[0-9A-Fa-f]{2}|&#[xX][0-9A-Fa-f]{1,6};|&#[0-9]{1,7};|&(?:quot|amp|apos|lt|gt|equals|colon);")
 BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}")
+#: The same over several lines; each goes on to the end of its line or of the data.
+WRAPPED = re.compile(r"""(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}+(?:[\t ]*\r?\n[\t >]*[A-Za-z0-9+/_-]++(?==|[\t ]*(?:[\r\n"'`<,;)\]}]|\Z)))++={0,2}""")
+_LINE = re.compile(r"[A-Za-z0-9+/_-]+")
+#: Bytes that may hold a finding: as they are, or two to a character.
+_WIDE = re.compile(rb"(?:[\x20-\x7e]\0){12}|(?:\0[\x20-\x7e]){12}")
+_LIKELY = re.compile(rb"[\t\r\n\x20-\x7e]{12}|" + _WIDE.pattern)
 #: What every finding needs, and base64 text of compressed data.
 _ENOUGH = re.compile(r"[\t\r\n\x20-\x7e]{12}")
 _PACKED = re.compile(r"H4sI|Qlpo|eJ[w-z]|eAE|eF4|eN[o-r]")
@@ -265,19 +273,54 @@ def _read(raw: bytes, span: tuple[int, int]) -> Iterator[Layer]:
 
 
 def _views(parts: Callable[[], Iterator[bytes]], span: tuple[int, int]) -> Iterator[Layer]:
-    yield from _windows(parts(), span)
+    """The bytes as UTF-8 and, if some are two to a character (in either order, from any place on), every second byte."""
+    wide = False
+
+    def watched() -> Iterator[bytes]:
+        nonlocal wide
+        tail = b""
+        for p in parts():
+            wide = wide or _WIDE.search(tail + p) is not None
+            tail = (tail + p)[-24:]
+            yield p
+
+    yield from _windows(watched(), span)
+    for k in (0, 1) if wide else ():
+        yield from _windows(_strided(parts(), k), span, "latin-1")
+
+
+def _strided(parts: Iterator[bytes], k: int) -> Iterator[bytes]:
+    for p in parts:
+        yield p[k::2]
+        k = (k - len(p)) % 2
+
+
+def _decoded(run: str, lines: list[int] = ()) -> Iterator[tuple[int, bytes]]:
+    """(place, bytes) of what base64 text may stand for: from each of its first four places, as other characters may have
+    joined it in front, and from where compressed data may begin."""
+    run = run.rstrip("=")
+    plain = run.replace("-", "+").replace("_", "/")
+    places = {0, 1, 2, 3} | {m.start() for m in _PACKED.finditer(run) if m[0] in ("H4sI", "Qlpo") or run[m.start() - 1 : m.start()] in ("/", "_", "-", "+")}
+    places |= {k for k in lines if _PACKED.match(run, k)}
+    for k in sorted(places):
+        n = len(plain) - k
+        raw = base64.b64decode(plain[k : len(plain) - (n % 4 == 1)] + "=" * (-n % 4 if n % 4 != 1 else 0))
+        if _opener(raw) or _LIKELY.search(raw):
+            yield k, raw
 
 
 def _base64_layers(layer: Layer) -> Iterator[Layer]:
     for m in BASE64.finditer(layer.text):
-        run = m.group().rstrip("=").replace("-", "+").replace("_", "/")
-        if len(run) % 4 == 1:
-            continue
-        try:
-            raw = base64.b64decode(run + "=" * (-len(run) % 4))
-        except (binascii.Error, ValueError):
-            continue
-        yield from _read(raw, layer.mapped(m.start(), m.end()))
+        for k, raw in _decoded(m.group()):
+            yield from _read(raw, layer.mapped(m.start() + k, m.end()))
+    if "\n" not in layer.text:
+        return
+    for m in WRAPPED.finditer(layer.text):
+        lines = [(x.start() + m.start(), x[0]) for x in _LINE.finditer(m[0])]
+        run, starts = "".join(x for _, x in lines), list(accumulate((len(x) for _, x in lines), initial=0))
+        for k, raw in _decoded(run, starts[1:-1]):
+            i = bisect_right(starts, k) - 1
+            yield from _read(raw, layer.mapped(lines[i][0] + k - starts[i], m.end()))
 
 
 def unwrap(layer: Layer) -> Iterator[Layer]:

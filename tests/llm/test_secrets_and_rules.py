@@ -94,6 +94,21 @@ def test_compressed_layers_are_read_to_the_end(pack):
     assert found(base64.b64encode(nested).decode())
 
 
+def test_base64_as_it_occurs():
+    body, log = f"some log line, {SECRET}, and more of it", "".join(f"line {i * i}\n" for i in range(900))
+    plain, packed = base64.b64encode(body.encode()).decode(), base64.b64encode(gzip.compress((log + SECRET).encode())).decode()
+    texts = {f"{name}{data}" for name in ("path/", "key_", "ab/", "a-longer-name/", "x") for data in (plain, packed if "/" in name or "_" in name else plain)}
+    for width in (20, 64, 76):
+        for end in ("\n", "\r\n", "\n  "):
+            texts |= {end.join(data[i : i + width] for i in range(0, len(data), width)) for data in (plain, packed, base64.b64encode(bz2.compress(SECRET.encode())).decode())}
+    for raw in (b"\x1b[1m" + body.encode(), body.encode() + b"\0\xff\xfe", body.encode("utf-16"), body.encode("utf-16-be"), b"\x01" + body.encode("utf-16-le")):
+        texts |= {base64.b64encode(raw).decode(), base64.b64encode(gzip.compress(raw)).decode()}
+    for text in texts:
+        spans = secrets.scan(f"before\n{text}\nafter all")[1]
+        assert any(k == "assign" for k, _, _ in spans), text
+        assert all(7 <= a < b <= 7 + len(text) for _, a, b in spans), (text, spans)
+
+
 @given(st.text(alphabet="%\\u0043&#;ab=Zm9v+/ \n", max_size=80))
 @settings(max_examples=200, deadline=None)
 def test_scan_never_loses_base(text):
