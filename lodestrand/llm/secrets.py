@@ -87,6 +87,7 @@ class Layer:
     __slots__ = ("ends", "span", "starts", "text")
 
     def __init__(self, text: str, starts=None, ends=None, span: tuple[int, int] | None = None):
+        assert span or len(text) == len(starts) == len(ends)
         self.text, self.starts, self.ends, self.span = text, starts, ends, span
 
     def mapped(self, start: int, end: int) -> tuple[int, int]:
@@ -138,7 +139,8 @@ def _url_units(units: list[str]):
     while i < len(raw):
         n = 1 if raw[i] < 0x80 else 2 if raw[i] >> 5 == 6 else 3 if raw[i] >> 4 == 14 else 4 if raw[i] >> 3 == 30 else 0
         try:
-            yield raw[i : i + n].decode() if n else "", i, i + max(n, 1)
+            if n:
+                yield raw[i : i + n].decode(), i, i + n
         except UnicodeDecodeError:
             n = 0
         if not n:

@@ -109,6 +109,15 @@ def test_base64_as_it_occurs():
         assert all(7 <= a < b <= 7 + len(text) for _, a, b in spans), (text, spans)
 
 
+def test_percent_bytes_that_are_no_utf8_move_no_span():
+    hidden = "p%61ssword%3Dabcdefgh"
+    for front in ("%A0" * 5, "%F8x%80 ", "%E4%BD ", "%C3%28%FF", "caf%E9 "):
+        text = f"{front}{hidden} after"
+        lo = len(front)
+        assert ("assign", lo, lo + len(hidden)) in secrets.scan(text)[1]
+        assert secrets.redact(text, secrets.scan(text)[1]) == f"{front}[SECRET] after"
+
+
 @given(st.text(alphabet="%\\u0043&#;ab=Zm9v+/ \n", max_size=80))
 @settings(max_examples=200, deadline=None)
 def test_scan_never_loses_base(text):
