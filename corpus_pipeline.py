@@ -53,9 +53,9 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all documents with their places in the training sequences."""
+    """Pieces of all documents with their places in the training sequences, ids included."""
     ship(spark)
-    return packing.pack_documents(docs, tokenizer_path(), memo=MEMO)
+    return packing.pack_documents(docs, tokenizer_path(), with_ids=True, memo=MEMO)
 
 
 STAGES = [
@@ -74,4 +74,4 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _store.table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = _store.materialize(stage(spark, docs, sf_dir), name)
-    return docs
+    return docs.drop("ids")

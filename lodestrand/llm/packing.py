@@ -161,8 +161,16 @@ def pack(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = 1, with_ids: bool = False, memo: int | None = None) -> DataFrame:
-    """Every piece of every document with its place.  Texts are encoded once; their pieces are a written table."""
-    return pack(_store.materialize(pieces(docs, tokenizer, capacity, end_id, with_ids, memo), "pieces"), capacity)
+    """Every piece of every document with its place.  Texts are encoded once; their pieces are a written table.
+
+    Ids stay in that table while places are found, and join them at the end, so that no batch holds many of them.
+    """
+    cut = pieces(docs, tokenizer, capacity, end_id, with_ids, memo)
+    if not with_ids:
+        return pack(_store.materialize(cut, "pieces"), capacity)
+    cut = _store.materialize(cut.withColumn("_row", F.monotonically_increasing_id()), "pieces")
+    placed = pack(cut.drop("ids"), capacity).join(cut.select("_row", "ids"), "_row")
+    return placed.select(*(c for c in cut.columns if c != "_row"), "sequence_id", "offset")
 
 
 def sequences(packed: DataFrame) -> DataFrame:

@@ -62,6 +62,20 @@ def test_packing_holds_every_document(stages):
     assert {r.doc_id for r in before} == {r.doc_id for r in after}
 
 
+def test_packing_writes_the_ids_of_the_clean_texts(stages, tokenizer):
+    from zlib import crc32
+
+    from lodestrand.llm.tokenizer import encoder
+
+    _, before, after, columns = stages[4]
+    assert "ids" in columns and all(len(r.ids) == 4 * r.length and crc32(r.ids) == r.ids_crc32 for r in after)
+    whole = {}
+    for r in sorted(after, key=lambda r: (r.doc_id, r.piece)):
+        whole[r.doc_id] = whole.get(r.doc_id, b"") + bytes(r.ids)
+    texts = encoder(tokenizer, None).encode([r.text for r in before])
+    assert whole == {r.doc_id: bytes(t) + b"\1\0\0\0" for r, t in zip(before, texts, strict=True)}
+
+
 def test_stages_take_awkward_rows(spark, docs, clashing, empty, sf_dir):
     for frame in (docs, clashing, empty):
         for name, stage in corpus_pipeline.STAGES:
