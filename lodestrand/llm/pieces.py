@@ -50,10 +50,9 @@ class Lattice:
         #: Characters that stand side by side in some piece.
         self.pairs = {p[i : i + 2] for p in scores for i in range(len(p) - 1)}
         self.raw = {i: p.encode("utf-8", "surrogatepass") for p, (i, _) in scores.items()} | {i: bytes([b]) for b, i in enumerate(byte_ids)}
-        #: Word -> (ids of the best path, its score, what the second best costs more).
-        self.memo: dict[str, tuple[bytes, float, float]] = {}
+        #: Word -> (ids of the best path, its score, what the second best costs more, whether the ids spell the word).
+        self.memo: dict[str, tuple[bytes, float, float, bool]] = {}
         self.searched: dict[str, list[Path]] = {}
-        self.exact = True
 
     @classmethod
     def load(cls, path: str, n_best: int = 5) -> Lattice:
@@ -102,8 +101,8 @@ class Lattice:
             into[e[1]].append(e)
         return into
 
-    def best(self, word: str) -> tuple[bytes, float, float]:
-        """(ids, score, loss of the second best) of one word.
+    def best(self, word: str) -> tuple[bytes, float, float, bool]:
+        """(ids, score, loss of the second best, whether the ids spell the word) of one word.
 
         No edge crosses a place whose two characters stand side by side in no piece, so a word is cut there; its second
         best path changes one cut alone.
@@ -119,9 +118,9 @@ class Lattice:
             if got is None:
                 got = self.memo[f"{MARK}{part}"] = self._best(part)
             parts.append(got)
-        return b"".join([p[0] for p in parts]), sum([p[1] for p in parts]), min([p[2] for p in parts])
+        return b"".join([p[0] for p in parts]), sum([p[1] for p in parts]), min([p[2] for p in parts]), all([p[3] for p in parts])
 
-    def _best(self, word: str) -> tuple[bytes, float, float]:
+    def _best(self, word: str) -> tuple[bytes, float, float, bool]:
         """By the forward pass and its mirror."""
         n, get, low = len(word), self.prefixes.get, float("-inf")
         front, back, by, edges = [low] * (n + 1), [low] * (n + 1), [None] * (n + 1), []
@@ -163,9 +162,8 @@ class Lattice:
         ids: list[int] = []
         for e in path:
             ids += (e[2],) if e[2] >= 0 else self._bytes(word[e[0]])
-        if b"".join([self.raw[i] for i in ids]) != word.encode("utf-8", "surrogatepass"):
-            self.exact = False
-        return struct.pack(f"<{len(ids)}I", *ids), front[n], front[n] - second
+        same = b"".join([self.raw[i] for i in ids]) == word.encode("utf-8", "surrogatepass")
+        return struct.pack(f"<{len(ids)}I", *ids), front[n], front[n] - second, same
 
     def search(self, word: str) -> list[Path]:
         """The n_best paths of one word, best first: (score, ids)."""
@@ -200,9 +198,8 @@ class Lattice:
         return got
 
     def segment(self, text: str) -> tuple[list[float], list[bytes], bool]:
-        """(scores, packed ids) of the n_best segmentations of a whole text, best first; whether they spell the text."""
+        """(scores, packed ids) of the n_best segmentations of a whole text, best first; whether the best one spells the text: each of its words does."""
         words, memo = split_words(text), self.memo
-        self.exact = True  # of the words that are new to the memo: a word is checked when it enters
         if len(memo) > MEMO:
             memo.clear()
         for w in set(words).difference(memo):
@@ -210,11 +207,12 @@ class Lattice:
         held = [memo[w] for w in words]
         parts = [h[0] for h in held]
         loss = [h[2] for h in held]
+        exact = all([h[3] for h in held])
         total, first = math.fsum([h[1] for h in held]), b"".join(parts)
         # Only the n_best cheapest single changes can take part in the n_best paths.
         order = [w for w in heapq.nsmallest(self.n_best, range(len(words)), key=loss.__getitem__) if loss[w] < math.inf]
         if not order or self.n_best < 2:
-            return [total], [first], self.exact
+            return [total], [first], exact
         ends = list(accumulate(map(len, parts)))
         lists = [self.paths(MARK + words[w]) for w in order]
         agenda, seen, scores, packed = [(0.0, (0,) * len(order))], set(), [], []
@@ -233,7 +231,7 @@ class Lattice:
             for k, own_paths in enumerate(lists):
                 if pick[k] + 1 < len(own_paths):
                     heapq.heappush(agenda, (cost + own_paths[pick[k]][0] - own_paths[pick[k] + 1][0], (*pick[:k], pick[k] + 1, *pick[k + 1 :])))
-        return scores, packed, self.exact
+        return scores, packed, exact
 
     def encode(self, text: str) -> list[tuple[float, list[int]]]:
         """The n_best segmentations of a whole text, best first."""
@@ -276,7 +274,10 @@ def _get(path: str, n_best: int) -> tuple[Lattice, Decoder]:
 
 
 def encode_pieces(docs: DataFrame, model: str, n_best: int = 5, with_ids: bool = False) -> DataFrame:
-    """doc_id, n_pieces, ids_crc32, score, scores (of the n_best), round_trip and, if asked, ids (of the n_best)."""
+    """doc_id, n_pieces, ids_crc32, score, scores (of the n_best), round_trip and, if asked, ids (of the n_best).
+
+    round_trip: the best path's ids give the normalised text; checked for every distinct word, whose ids are joined unchanged.
+    """
     fields = [("doc_id", pa.int64()), ("n_pieces", pa.int64()), ("ids_crc32", pa.int64()), ("score", pa.float64()), ("scores", pa.list_(pa.float64())), ("paths_crc32", pa.int64()), ("round_trip", pa.bool_())]
     schema = pa.schema(fields + ([("ids", pa.list_(pa.list_(pa.int32())))] if with_ids else []))
 

@@ -251,3 +251,11 @@ def test_piece_query(docs, clashing, empty):
         want = sorted(pieces.normalised(r.text or "") for r in docs.collect())
         assert sorted(r.text for r in back.collect()) == want
     assert pieces.encode_pieces(empty, model).count() == 0
+
+
+def test_round_trip_is_told_of_every_text():
+    lattice = pieces.Lattice({pieces.MARK: (300, -1.0), "ab": (301, -1.0), "c": (302, -1.0)}, list(range(256)))
+    lattice.raw[301] = b"?"
+    assert [lattice.segment(t)[2] for t in ("c", "ab c", "ab c", "c ab", "c", "cab")] == [True, False, False, False, True, False]
+    lattice.memo.clear()
+    assert [lattice.segment(t)[2] for t in ("ab", "ab", "")] == [False, False, True]
