@@ -130,27 +130,37 @@ def detect_language(text: Column, declared: Column | None = None) -> Column:
 
 
 def personal_data(text: Column) -> Column:
-    return text.rlike(EMAIL) | text.rlike(IDENTITY_NUMBER) | text.rlike(HOME_ADDRESS)
-
-
-def quality_flags(text: Column, headings_first: Column | None = None, article: Column | None = None) -> Column:
-    """Extraction flags of a canonical text, as an array."""
-    n = F.size(tokens(text))
-    lines = F.filter(F.transform(F.split(text, r"\r\n|[\n\r\x0B\x0C\x1C-\x1E\x85  ]", -1), _strip), lambda x: x != "")
-    listed = F.size(F.filter(lines, lambda x: x.rlike(r"^-\s+")))
-    long = F.filter(lines, lambda x: F.length(x) >= LONG_LINE)
-    flags = [
-        F.when(n > OVERSIZED, "oversized_document"),
-        F.when((n > LIST_HEAVY_TOKENS) & (listed / F.greatest(F.size(lines), F.lit(1)) > LIST_HEAVY_SHARE), "list_heavy_document"),
-        F.when((F.size(long) >= LONG_LINES) & (1 - F.size(F.array_distinct(long)) / F.size(long) > DUPLICATE_SHARE), "excessive_duplicate_lines"),
-        F.when(n < VERY_SHORT, "very_short"),
-        F.when(_letters(text, "�") / F.greatest(F.length(text), F.lit(1)) > REPLACEMENT_SHARE, "encoding_replacement_noise"),
-    ]
-    if headings_first is not None:
-        flags.append(F.when(headings_first > HEADING_RUN, "detached_heading_run"))
-    if article is not None:
-        flags.append(F.when(article & text.rlike(BOILERPLATE), "html_boilerplate_remaining"))
-    return F.array_compact(F.array(*flags))
+    return (text.contains("@") & text.rlike(EMAIL)) | text.rlike(IDENTITY_NUMBER) | text.rlike(HOME_ADDRESS)
+
+
+def quality_flags(text: Column, headings_first: Column | None = None, article: Column | None = None, n: Column | None = None) -> Column:
+    """Extraction flags of a canonical text, as an array; n: its number of words, where it is known.
+
+    The lines and the long ones among them are bound once; what tells an unlikely flag early is asked first.
+    """
+    size = F.length(text)
+    lines = F.filter(F.transform(F.split(text, r"\r\n|[\n\r\x0B\x0C\x1C-\x1E\x85\u2028\u2029]", -1), _strip), lambda x: x != "")
+    listed = lambda x: F.size(F.filter(x, lambda y: y.startswith("-") & y.rlike(r"^-\s+")))
+
+    def repeated(x: Column) -> Column:
+        return let(F.filter(x, lambda y: F.length(y) >= LONG_LINE), lambda long: F.when((F.size(long) >= LONG_LINES) & (1 - F.size(F.array_distinct(long)) / F.size(long) > DUPLICATE_SHARE), "excessive_duplicate_lines"))
+
+    def of(v: Column) -> Column:
+        words, rows = v["n"], v["lines"]
+        found = [
+            F.when(words > OVERSIZED, "oversized_document"),
+            F.when((words > LIST_HEAVY_TOKENS) & (listed(rows) / F.greatest(F.size(rows), F.lit(1)) > LIST_HEAVY_SHARE), "list_heavy_document"),
+            repeated(rows),
+            F.when(words < VERY_SHORT, "very_short"),
+            F.when((size > 0) & text.contains("\ufffd") & (_letters(text, "\ufffd") / size > REPLACEMENT_SHARE), "encoding_replacement_noise"),
+        ]
+        if headings_first is not None:
+            found.append(F.when(headings_first > HEADING_RUN, "detached_heading_run"))
+        if article is not None:
+            found.append(F.when(article & text.rlike(BOILERPLATE), "html_boilerplate_remaining"))
+        return F.array_compact(F.array(*found))
+
+    return let(F.struct((F.size(tokens(text)) if n is None else n).alias("n"), lines.alias("lines")), of)
 
 
 def safe_shard(name: Column) -> Column:
@@ -159,12 +169,6 @@ def safe_shard(name: Column) -> Column:
     return F.when(kept == "", "unknown").otherwise(kept)
 
 
-def decode(content: Column) -> Column:
-    """Bytes as UTF-8 (a mark in front dropped), else Latin-1."""
-    text = F.when(F.is_valid_utf8(content.cast("string")), F.decode(content, "UTF-8")).otherwise(F.decode(content, "ISO-8859-1"))
-    return F.regexp_replace(text, "^﻿", "")
-
-
 def detect_mime(content: Column, path: Column, declared: Column | None = None) -> Column:
     """A content type: spreadsheet by name and magic, then what was declared, magic bytes, looks, and the name's ending."""
     head = F.lower(F.trim(F.decode(F.substring(content, 1, 256), "ISO-8859-1")))

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import uuid
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -11,19 +13,37 @@ from ..functions import text as T
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """``checkpoint`` to the folder of spark.checkpoint.dir; one of our own is set only where the session names none."""
+    """``checkpoint`` to the folder of spark.checkpoint.dir; a local session that names none gets one of its own."""
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        import tempfile
-
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.gettempdir()}/lodestrand-{uuid.uuid4().hex}")
+        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not folder:
+            if not sc.master.startswith("local"):
+                raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+            import tempfile
+
+            folder = f"file://{tempfile.gettempdir()}/lodestrand-{uuid.uuid4().hex}"
+        sc.setCheckpointDir(folder)
     return df.checkpoint()
 
 
-def signature(shingles: Column, size: int = 32) -> Column:
-    """``size`` minima of seeded 64-bit hashes; an empty set has zeros."""
-    seeds = F.sequence(F.lit(0), F.lit(size - 1))
-    return T.let(shingles, lambda h: F.transform(seeds, lambda s: F.when(F.size(h) > 0, F.array_min(F.transform(h, lambda x: F.xxhash64(s, x)))).otherwise(F.lit(0))))
+def signature(hashes: Column, size: int = 32) -> Column:
+    """``size`` minima of an array of 64-bit hashes, each under a permutation of its own; an empty set has zeros."""
+
+    @F.pandas_udf("array<bigint>")
+    def minima(sets: pd.Series) -> pd.Series:
+        seeds = np.random.default_rng(20).integers(1, 1 << 63, (2, size), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+        def of(own) -> np.ndarray:
+            if own is None or not len(own):
+                return np.zeros(size, np.int64)
+            h = (np.asarray(own, np.int64).view(np.uint64)[:, None] ^ seeds[0]) * seeds[1]  # bijections
+            h = (h ^ (h >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
+            return (h ^ (h >> np.uint64(29))).min(axis=0).view(np.int64)
+
+        return sets.map(of)
+
+    return minima(hashes)
 
 
 def sha_signature(shingles: Column, size: int = 16) -> Column:
@@ -42,6 +62,15 @@ def band_buckets(signatures: DataFrame, key: str, sig: str, rows: int = 4) -> Da
     return signatures.select(key, F.explode(bands).alias("bucket"))
 
 
+def _met(rows: DataFrame, key: str, block: int = 512) -> DataFrame:
+    """x, y: the rows of each bucket with each other; large buckets are dealt over tasks in salted blocks."""
+    salts = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("bucket", F.ceil(F.col("_n") / block).cast("int").alias("_k"))
+    held = rows.join(salts, "bucket")
+    left = held.withColumn("_s", F.explode(F.sequence(F.lit(0), F.col("_k") - 1)))
+    right = held.withColumn("_s", F.pmod(F.xxhash64(key), F.col("_k")).cast("int"))
+    return left.alias("x").join(right.alias("y"), ["bucket", "_s"])
+
+
 def _linked(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     """a, b, similarity of the pairs that reach the threshold; sets: rep, set."""
     left, right = sets.select(F.col("rep").alias("a"), F.col("set").alias("sa")), sets.select(F.col("rep").alias("b"), F.col("set").alias("sb"))
@@ -57,7 +86,7 @@ def near_pairs(docs: DataFrame, key: str = "doc_id", text: str = "text", width:
     near copies costs one comparison a member.
     """
     sets = docs.select(F.col(key).alias("key"), F.sort_array(F.array_distinct(F.transform(T.shingles(T.normalized_tokens(F.col(text)), width), lambda x: F.xxhash64(x)))).alias("set"))
-    sets = sets.withColumn("h", F.sha2(F.array_join(F.transform("set", lambda x: F.hex(x)), ""), 256))
+    sets = cut(sets.withColumn("h", F.sha2(F.to_json("set"), 256)))
     reps = cut(sets.groupBy("h").agg(F.min("key").alias("rep"), F.first("set").alias("set")))
     members = sets.select("key", "h").join(reps.select("h", "rep"), "h").select("key", "rep")
     buckets = band_buckets(reps.select("rep", signature(F.col("set"), size).alias("sig")), "rep", "sig", rows)
@@ -69,7 +98,7 @@ def near_pairs(docs: DataFrame, key: str = "doc_id", text: str = "text", width:
     state = held.join(parts, "rep")
     mixed = state.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("bucket")
     state = state.join(mixed, "bucket")
-    rest = state.alias("x").join(state.alias("y"), "bucket").filter("x.rep < y.rep and x.component <> y.component and x.rep <> y.hub").select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
+    rest = _met(state, "rep").filter("x.rep < y.rep and x.component <> y.component and x.rep <> y.hub").select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
     return links.unionByName(_linked(rest, reps, threshold)), members
 
 
@@ -133,7 +162,7 @@ def question_filter(questions: DataFrame, key: str = "key", text: str = "text",
     first = base.groupBy("h").agg(F.min("k").alias("k"))
     held = base.join(first, ["h", "k"])
     buckets = band_buckets(held.select("k", sha_signature(F.col("s")).alias("sig")), "k", "sig")
-    pairs = buckets.alias("x").join(buckets.alias("y"), "bucket").filter("x.k < y.k").select(F.col("x.k").alias("a"), F.col("y.k").alias("b")).distinct()
+    pairs = _met(buckets, "k").filter("x.k < y.k").select(F.col("x.k").alias("a"), F.col("y.k").alias("b")).distinct()
     edges = pairs.join(held.select(F.col("k").alias("a"), F.col("s").alias("sa")), "a").join(held.select(F.col("k").alias("b"), F.col("s").alias("sb")), "b")
     edges = edges.filter(T.jaccard(F.col("sa"), F.col("sb")) >= threshold).select("a", "b")
     kept = ordered_filter(held, edges, "k")

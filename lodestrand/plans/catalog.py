@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import answers as A
 from ..functions import text as T
 from ..operators import curate, dedup, passages, planner, questions, records, registry, retrieval, sampling
-from ..session import ship
+from ..session import ship, spread
 from ..sources import extract
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -22,8 +22,13 @@ FOLD = "replace(lower({0}), 'ß', 'ss')"
 SHINGLES = "CASE WHEN len({0}) = 0 THEN [] WHEN len({0}) < {1} THEN [array_to_string({0}, ' ')] ELSE list_distinct(list_transform(range(1, len({0}) - {1} + 2), lambda i: array_to_string({0}[i:i + {1} - 1], ' '))) END"
 
 
+#: Tables of long texts, whose rows are worth a core each.
+TEXTS = ("documents", "pages", "conversations")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(rows) if name in TEXTS else rows
 
 
 def query(sql: str | None = None):

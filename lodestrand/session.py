@@ -7,7 +7,7 @@ import tempfile
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _HERE = Path(__file__).resolve().parent
 
@@ -36,3 +36,10 @@ def ship(spark: SparkSession) -> None:
             z.write(p, f"{_HERE.name}/{p.relative_to(_HERE)}")
     sc.addPyFile(path)
     sc._lodestrand_shipped = True
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """The rows over all cores, where a table comes in fewer splits than there are cores (a small file is one row group, which
+    one task reads); larger tables stay as they are read, without a shuffle."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df._jdf.queryExecution().toRdd().getNumPartitions() < cores else df
