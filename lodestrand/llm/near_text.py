@@ -10,18 +10,23 @@ alignment is a longest increasing run of matching places inside the band that th
 M / (n + m - M).  A pair that falls short only by its order (moved paragraphs) is linked by the exact Jaccard similarity of
 its k-mers instead.
 
-Equal texts are one node from the start.  A bucket of a few texts is compared in full.  In a large one (a group of copies, or
-texts that share a passage) most pairs are ruled out unseen, and exactly:
-
-* Only k-mers that occur in two or more texts of such buckets can match; a text whose matchable k-mers are too few for
-  any partner of the bucket leaves it; once more, counted among those that stay.
-* Every member is compared with a few pivots, the texts with the largest matchable share: the least edited ones, to which most others
-  are linked.  Texts that are in one component by then need no more comparisons.
-* Those left outside the first pivot's component are compared with all of the bucket that may reach the limit.  What two members can
-  have in common, inside the pivot and outside of it, is at most the smaller count of the two in either part.
+Equal texts are one node from the start, and a text is one row, with the list of its buckets.  Comparisons come in rounds, each on
+what the rounds before left apart, and a bucket whose texts are all in one component is done:
+
+* Every text is compared with one text of each of its buckets, the hub.  That links groups of copies, of any size.
+* A small bucket (``SMALL``) that still holds two components is compared in full, save for pairs of one component.
+* In a large one most pairs are ruled out unseen, and exactly.  Only k-mers that occur in two or more texts of such buckets can
+  match; a text whose matchable k-mers are too few for any partner of the bucket leaves it; once more, counted among those
+  that stay.  The others are compared with the bucket's pivot, the text whose k-mers are the commonest, on average: the least
+  edited one, to which most others are linked.
+* Those outside the pivot's component are compared, for each of their k-mers, with the text of the commonest k-mers that holds it:
+  copies of an edited copy meet that one.
+* Those still outside are compared with all of the bucket that may reach the limit, in salted blocks.  What two members can have
+  in common, inside the pivot and outside of it, is at most the smaller count of the two in either part.
 
 Defined results: a null text is empty; texts of under five words have one k-mer, all their words; texts without words are
-all alike; rows that repeat a doc_id are separate documents; an empty table gives no row; other columns are ignored.
+all alike; texts of any length are sketched and compared whole; rows that repeat a doc_id are separate documents; a null doc_id is the
+least where one row is kept, but names a class only if all of the class are null; an empty table gives no row; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -31,15 +36,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import _graph, _store
 from ._words import FIRST, Words, chunks, grams, mix
 
 K, BANDS, ROWS, SIMILARITY = 5, 14, 3, 0.8
-#: Buckets of up to this many texts are compared in full; of a larger one, so many pivots are compared with every member.
-SMALL, PIVOTS = 8, 4
+#: Buckets of up to this many texts are compared in full.
+SMALL = 8
+#: Members of a bucket that meet its outsiders in one task.
+SALTED = 1024
 
 
 def text_key(text: str = "text") -> Column:
@@ -166,84 +173,139 @@ def _exploded(kmer_table: DataFrame, keys: DataFrame) -> DataFrame:
     return kmer_table.join(keys, "key", "left_semi").mapInArrow(run, "key binary, n long, h long")
 
 
-def _peeled(members: DataFrame, kmer_table: DataFrame, similarity: float) -> DataFrame:
-    """bucket, key, n, c of the members that may have a partner in their bucket; c: matchable k-mers."""
-    held = members.select("bucket", "key")
-    each = _store.materialize(_exploded(kmer_table, held.select("key").distinct()), "kmer-rows")
-    alive = each
+def _peeled(texts: DataFrame, kmer_table: DataFrame, similarity: float) -> DataFrame:
+    """key, n, c, w, buckets: the texts that may have a partner, with the buckets where; c: matchable k-mers, w: how often they occur."""
+    each = _store.materialize(_exploded(kmer_table, texts.select("key")), "kmer-rows")
+    held, alive = texts.select("key", "buckets"), each
     for again in (True, False):
-        common = alive.groupBy("h").agg(F.count(F.lit(1)).alias("df")).filter("df > 1").select("h", F.lit(1).alias("one"))
-        c = alive.join(common, "h", "left").groupBy("key").agg(F.first("n").alias("n"), F.count("one").alias("c"))
-        sized = held.join(c, "key")
+        common = alive.groupBy("h").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
+        c = alive.join(common, "h", "left").groupBy("key").agg(F.first("n").alias("n"), F.count("df").alias("c"), F.coalesce(F.sum("df"), F.lit(0)).alias("w"))
+        rows = held.join(c, "key").select("key", "n", "c", "w", F.explode("buckets").alias("bucket"))
         # The shortest text of the bucket is the best partner for what a text has; a shorter one than the limit is none.
-        least = sized.groupBy("bucket").agg(F.min("n").alias("low"))
+        least = rows.groupBy("bucket").agg(F.min("n").alias("low"))
         able = F.col("c") >= _needed(F.col("n"), F.greatest(F.col("low").cast("double"), F.col("n") * similarity), similarity)
-        after = _store.materialize(sized.join(least, "bucket").filter(able).select("bucket", "key", "n", "c"), "peeled")
-        held = after.select("bucket", "key")
+        after = rows.join(least, "bucket").filter(able).groupBy("key", "n", "c", "w").agg(F.collect_list("bucket").alias("buckets"))  # at most one a band
+        after = _store.materialize(after, "peeled")
+        held = after.select("key", "buckets")
         if again:
-            alive = each.join(held.select("key").distinct(), "key", "left_semi")
+            alive = each.join(held.select("key"), "key", "left_semi")
+    _store.discard(each)
     return after
 
 
+def _rank() -> Column:
+    """The texts of the commonest k-mers, which are the least edited, are the greatest."""
+    return F.struct((F.col("w") / F.col("n")).alias("share"), "n", "key")
+
+
 def _pivoted(members: DataFrame, kmer_table: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame]:
-    """(members with m: k-mers in common with the bucket's pivot, and buckets: all of the member's; the comparisons made).
-
-    Pivots are the texts with the largest matchable share: of a group of edited copies, the least edited ones.
-    """
-    order = Window.partitionBy("bucket").orderBy(F.desc(F.col("c") / F.col("n")), F.desc("n"), "key")
-    ranked = members.withColumn("r", F.row_number().over(order))
-    heads = _store.materialize(ranked.filter(F.col("r") <= PIVOTS).select("bucket", F.col("key").alias("pivot"), "r"), "pivots")
-    held = members.join(heads, "bucket")
-    pairs = held.filter("key <> pivot").select(F.least("key", "pivot").alias("a"), F.greatest("key", "pivot").alias("b")).distinct()
+    """(bucket, key, n, c, buckets, pivot, m: k-mers in common with the bucket's pivot; the comparisons made)."""
+    rows = members.select("key", "n", "c", "w", "buckets", F.explode("buckets").alias("bucket"))
+    heads = _store.materialize(rows.groupBy("bucket").agg(F.max(_rank()).alias("best")).select("bucket", F.col("best.key").alias("pivot")), "pivots")
+    held = rows.join(heads, "bucket")
+    pairs = held.select(F.col("key").alias("a"), F.col("pivot").alias("b")).filter("a <> b").distinct()
     checked = _store.materialize(_verified(pairs, kmer_table, similarity), "verified")
-    first = held.filter("r = 1").join(checked, (F.least("key", "pivot") == F.col("a")) & (F.greatest("key", "pivot") == F.col("b")), "left")
-    lists = members.groupBy("key").agg(F.collect_set("bucket").alias("buckets"))  # at most one a band
-    common = F.when(F.col("key") == F.col("pivot"), F.col("n")).otherwise(F.col("common"))
-    out = first.select("bucket", "key", "n", "c", "pivot", common.alias("m")).join(lists, "key")
+    known = checked.groupBy("a").agg(F.map_from_entries(F.collect_list(F.struct("b", "common"))).alias("common"))  # at most one a bucket of the text
+    common = F.when(F.col("a") == F.col("pivot"), F.col("n")).otherwise(F.col("common")[F.col("pivot")])
+    out = held.withColumnRenamed("key", "a").join(known, "a", "left").select("bucket", F.col("a").alias("key"), "n", "c", "buckets", "pivot", common.alias("m"))
     return _store.materialize(out, "pivoted"), checked
 
 
-def _linked(members: DataFrame, links: DataFrame) -> DataFrame:
-    """key, component of every distinct key."""
-    parts = _graph.components(links).withColumnRenamed("node", "key")
-    return members.select("key").distinct().join(parts, "key", "left").select("key", F.coalesce("component", "key").alias("component"))
+def _by_kmers(members: DataFrame, outside: DataFrame, kmer_table: DataFrame) -> DataFrame:
+    """Pairs a, b: each text outside with the least edited member that holds it, for every one of its k-mers."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([("rank", batch_rank), ("h", pa.int64())])
+        for batch in batches:
+            for c in chunks(batch, "kmers", 1 << 20):
+                raw = c.column("kmers").to_pylist()
+                at = np.repeat(np.arange(len(raw)), [len(r) // 8 for r in raw])
+                yield pa.RecordBatch.from_arrays([c.column("rank").take(pa.array(at)), pa.array(np.frombuffer(b"".join(raw), np.int64))], schema=schema)
+
+    batch_rank = pa.struct([("share", pa.float64()), ("n", pa.int64()), ("key", pa.binary())])
+    kind = "rank struct<share: double, n: bigint, key: binary>, h long"
+    ranked = members.select("key", _rank().alias("rank"))
+    own = ranked.join(kmer_table, "key").select("rank", "kmers").mapInArrow(run, kind)
+    hubs = own.groupBy("h").agg(F.max("rank").alias("hub"), F.count(F.lit(1)).alias("df")).filter("df > 1").select("h", F.col("hub.key").alias("b"))
+    asked = ranked.join(outside.select("key").distinct(), "key", "left_semi").join(kmer_table, "key").select("rank", "kmers").mapInArrow(run, kind)
+    return asked.select(F.col("rank.key").alias("a"), "h").join(hubs, "h").filter("a <> b").select("a", "b").distinct()
+
+
+def _linked(links: DataFrame) -> DataFrame:
+    """node, component of every linked key."""
+    return _store.materialize(_graph.components(links), "labels")
 
-def classes(docs: DataFrame, k: int = K, bands: int = BANDS, rows: int = ROWS, similarity: float = SIMILARITY, small: int = SMALL) -> DataFrame:
-    """doc_id, key, class_id (the least doc_id of the class), kept (one row of each class)."""
-    made = _store.materialize(sketches(docs, k, bands, rows), "sketches")
-    nodes = made.groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"))
-    buckets = nodes.select("key", "doc_id", F.posexplode("bands").alias("band", "sig")).select("key", "doc_id", F.xxhash64("band", "sig").alias("bucket"))
-    shared = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
-    members = _store.materialize(buckets.join(shared, "bucket"), "buckets")
-    table = _store.materialize(_shingled(docs, members.select("key", "doc_id").distinct(), k), "kmers")
-
-    few = members.filter(F.col("size") <= small)
-    left, right = few.select("bucket", F.col("key").alias("a")), few.select("bucket", F.col("key").alias("b"))
-    pairs = left.join(right, "bucket").filter("a < b").select("a", "b").distinct()
-    seen = _store.materialize(_verified(pairs, table, similarity), "verified")
 
-    many, pivoted = _pivoted(_peeled(members.filter(F.col("size") > small), table, similarity), table, similarity)
-    seen = seen.unionByName(pivoted)
-    label = _store.materialize(_linked(members, seen.filter("linked")), "labels")
-    state = many.join(label, "key")
-    # Whoever is not linked to its bucket's pivot is compared with all of the bucket that may reach it, once a pair: in the
-    # first of the buckets that the two share.
-    home = label.select(F.col("key").alias("pivot"), F.col("component").alias("home"))
-    out = state.join(home, "pivot").filter("component <> home")
-    other = state.select("bucket", *(F.col(x).alias(f"o_{x}") for x in ("key", "component", "n", "c", "m", "buckets")))
-    other = other.join(out.select("bucket").distinct(), "bucket", "left_semi")
+def _labelled(rows: DataFrame, label: DataFrame, key: str = "key", name: str = "component") -> DataFrame:
+    """The rows with their key's component; a key without a link is one of its own."""
+    own = label.select(F.col("node").alias(key), F.col("component").alias(name))
+    return rows.join(own, key, "left").withColumn(name, F.coalesce(name, key))
+
+
+def _undone(texts: DataFrame, label: DataFrame) -> DataFrame:
+    """key, buckets (bucket, size) of the texts of buckets that hold two components."""
+    rows = _labelled(texts, label).select("key", "component", F.inline("buckets"))
+    mixed = rows.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high")
+    rows = rows.join(mixed.select("bucket"), "bucket", "left_semi")
+    return rows.groupBy("key", "component").agg(F.collect_list(F.struct("bucket", "size")).alias("buckets"))  # at most one a band
+
+
+def _outside(rows: DataFrame, label: DataFrame) -> DataFrame:
+    """Rows of ``_pivoted`` whose text is not in its pivot's component."""
+    return _labelled(_labelled(rows, label), label, "pivot", "home").filter("component <> home")
+
+
+def _residual(rows: DataFrame, label: DataFrame, similarity: float) -> DataFrame:
+    """Pairs a, b of a bucket that the rounds before left apart and that may reach the limit; rows: see ``_pivoted``."""
+    state = _labelled(_labelled(rows, label), label, "pivot", "home")
+    outside = F.count_if(F.col("component") != F.col("home"))
+    # Salted blocks of at most SALTED of the bucket's texts.
+    size = state.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), outside.alias("outside")).filter("outside > 0")
+    state = state.join(size.select("bucket", F.ceil(F.col("size") / SALTED).cast("int").alias("salts")), "bucket")
+    out = state.filter("component <> home").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
+    other = state.withColumn("salt", F.pmod(F.xxhash64("key"), F.col("salts")).cast("int"))
+    other = other.select("bucket", "salt", *(F.col(x).alias(f"o_{x}") for x in ("key", "component", "n", "c", "m", "buckets")))
     # Common k-mers lie in the pivot or outside of it; either part is at most the smaller of the two texts'.
     able = F.least("m", "o_m") + F.least(F.col("c") - F.col("m"), F.col("o_c") - F.col("o_m")) >= _needed(F.col("n"), F.col("o_n"), similarity)
     once = F.array_min(F.array_intersect("buckets", "o_buckets")) == out["bucket"]
     # Two outsiders meet twice; the lesser key's row makes the pair.
     ordered = (F.col("o_component") == F.col("home")) | (F.col("key") < F.col("o_key"))
-    met = (out["bucket"] == other["bucket"]) & (F.col("component") != F.col("o_component")) & able & ordered & once
-    pairs = out.join(other, met).select(F.least("key", "o_key").alias("a"), F.greatest("key", "o_key").alias("b")).distinct()
-    checked = _store.materialize(_verified(pairs.join(seen, ["a", "b"], "left_anti"), table, similarity), "verified")
-    if checked.filter("linked").limit(1).count():
-        label = _store.materialize(_linked(members, seen.unionByName(checked).filter("linked")), "labels")
-    rows_ = made.select("doc_id", "key").join(label, "key", "left").withColumn("component", F.coalesce("component", "key"))
+    met = (out["bucket"] == other["bucket"]) & (out["salt"] == other["salt"]) & (F.col("component") != F.col("o_component")) & able & ordered & once
+    return out.join(other, met).select(F.least("key", "o_key").alias("a"), F.greatest("key", "o_key").alias("b")).distinct()
+
+
+def classes(docs: DataFrame, k: int = K, bands: int = BANDS, rows: int = ROWS, similarity: float = SIMILARITY, small: int = SMALL) -> DataFrame:
+    """doc_id, key, class_id (the least doc_id of the class), kept (one row of each class)."""
+    made = _store.materialize(sketches(docs, k, bands, rows), "sketches")
+    nodes = made.groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"))
+    each = nodes.select("key", "doc_id", F.posexplode("bands").alias("band", "sig")).select("key", "doc_id", F.xxhash64("band", "sig").alias("bucket"))
+    hubs = each.groupBy("bucket").agg(F.min("key").alias("hub"), F.count(F.lit(1)).alias("size")).filter("size > 1")
+    held = each.join(hubs, "bucket").groupBy("key", "doc_id").agg(F.collect_list(F.struct("bucket", "size")).alias("buckets"), F.collect_set("hub").alias("hubs"))  # at most one a band
+    texts = _store.materialize(held, "buckets")
+    table = _store.materialize(_shingled(docs, texts.select("key", "doc_id"), k), "kmers")
+
+    pairs = texts.select(F.col("key").alias("a"), F.explode("hubs").alias("b")).filter("a <> b")
+    seen = _store.materialize(_verified(pairs, table, similarity), "verified")
+    label = _linked(seen.filter("linked"))
+
+    rest = _store.materialize(_undone(texts, label), "undone")
+    if rest.limit(1).count():
+        some = rest.select("key", "component", F.inline("buckets"))
+        few = some.filter(F.col("size") <= small)
+        left, right = few.select("bucket", F.col("key").alias("a"), "component"), few.select("bucket", F.col("key").alias("b"), F.col("component").alias("other"))
+        pairs = left.join(right, "bucket").filter("a < b and component <> other").select("a", "b").distinct()
+        seen = seen.unionByName(_store.materialize(_verified(pairs, table, similarity), "verified"))
+        large = rest.select("key", F.transform(F.filter("buckets", lambda x: x["size"] > small), lambda x: x["bucket"]).alias("buckets"))
+        peeled = _peeled(large.filter(F.size("buckets") > 0), table, similarity)
+        many, pivoted = _pivoted(peeled, table, similarity)
+        seen = seen.unionByName(pivoted)
+        label = _linked(seen.filter("linked"))
+        for pairs in (lambda: _by_kmers(peeled, _outside(many, label), table), lambda: _residual(many, label, similarity)):
+            checked = _store.materialize(_verified(pairs(), table, similarity), "verified")
+            seen = seen.unionByName(checked)
+            if checked.filter("linked").limit(1).count():
+                label = _linked(seen.filter("linked"))
+    rows_ = _labelled(made.select("doc_id", "key"), label)
     least = rows_.groupBy("component").agg(F.min("doc_id").alias("class_id"), F.min(F.struct("doc_id", "key")).alias("_first"))
     out = rows_.join(least, "component")
     return out.select("doc_id", "key", "class_id", F.struct("doc_id", "key").eqNullSafe(F.col("_first")).alias("kept"))
