@@ -6,17 +6,17 @@ import uuid
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """``checkpoint`` to the folder of spark.checkpoint.dir; a local session that names none gets one of its own."""
-    sc = df.sparkSession.sparkContext
+def shared(spark: SparkSession) -> None:
+    """Sees to a checkpoint folder: that of spark.checkpoint.dir; a local session that names none gets one of its own."""
+    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        folder = spark.conf.get("spark.checkpoint.dir", None)
         if not folder:
             if not sc.master.startswith("local"):
                 raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
@@ -24,6 +24,11 @@ def cut(df: DataFrame) -> DataFrame:
 
             folder = f"file://{tempfile.gettempdir()}/lodestrand-{uuid.uuid4().hex}"
         sc.setCheckpointDir(folder)
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """``checkpoint`` to the shared folder."""
+    shared(df.sparkSession)
     return df.checkpoint()
 
 

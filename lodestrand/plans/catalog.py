@@ -161,12 +161,6 @@ def question_signatures(spark, sf_dir):
     return rows.select("conv_id", "turn", F.array_join(dedup.sha_signature(T.shingles(T.normalized_tokens(F.col("text")), 3)), ",").alias("signature"))
 
 
-@query()
-def question_duplicates(spark, sf_dir):
-    rows = table(spark, sf_dir, "conversations").filter("role = 'user'").select((F.col("conv_id") * 1000 + F.col("turn")).alias("key"), "text")
-    return dedup.question_filter(rows)
-
-
 @query("SELECT doc_id, CASE WHEN b < 70 THEN 'train' WHEN b < 85 THEN 'validation' ELSE 'test' END AS split FROM (SELECT doc_id, CAST('0x' || sha256('doc-' || doc_id)[1:8] AS BIGINT) % 100 AS b FROM documents)")
 def split_assignment(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", dedup.assign_split(F.concat(F.lit("doc-"), F.col("doc_id").cast("string"))).alias("split"))
@@ -177,13 +171,6 @@ def distinct_sets(spark, sf_dir):
     return table(spark, sf_dir, "supplier").groupBy("s_suppkey").agg(F.countDistinct(F.col("s_nationkey") % 5).alias("groups"), F.min(F.col("s_nationkey") % 5).alias("least"))
 
 
-@query()
-def split_components(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("document_id"), F.concat("lang", F.lit("-"), F.col("doc_id").cast("string")).alias("variant_group_id"), F.lit(None).cast("string").alias("entity_group_id"))
-    cited = table(spark, sf_dir, "labels").select(F.concat(F.lit("q"), (F.floor(F.col("doc_id") / 3)).cast("string")).alias("qa_id"), F.col("doc_id").cast("string").alias("document_id"), F.col("doc_id").alias("position"))
-    return dedup.split_components(docs, cited)
-
-
 _BM25 = rf"""WITH d AS (SELECT doc_id, {TOK.format(FOLD.format('text'))} AS w FROM documents), st AS (SELECT count(*) AS n, greatest(avg(len(w)), 1.0) AS mean FROM d),
 q AS (SELECT item_id, word, count(*) AS times FROM (SELECT item_id, unnest({TOK.format(FOLD.format('text'))}) AS word FROM benchmark) GROUP BY ALL),
 h AS (SELECT doc_id, len, word, count(*) AS tf FROM (SELECT doc_id, len(w) AS len, unnest(w) AS word FROM d) WHERE word IN (SELECT word FROM q) GROUP BY ALL),
@@ -313,17 +300,6 @@ def round_robin_candidates(spark, sf_dir):
     return dedup.round_robin(table(spark, sf_dir, "part"), "p_brand", ["p_retailprice", "p_partkey"]).filter("turn <= 5").select("p_partkey", "p_brand", "turn")
 
 
-@query("SELECT doc_id, source, CAST(total AS BIGINT) AS total FROM (SELECT doc_id, source, sum(n_chars) OVER (PARTITION BY source ORDER BY doc_id) AS total FROM documents) WHERE total <= 20000")
-def byte_capped_documents(spark, sf_dir):
-    total = F.sum("n_chars").over(Window.partitionBy("source").orderBy("doc_id").rowsBetween(Window.unboundedPreceding, 0))
-    return table(spark, sf_dir, "documents").select("doc_id", "source", total.alias("total")).filter("total <= 20000")
-
-
-@query("SELECT user_id, array_to_string(list_sort(list_distinct(list(event_type))), ',') AS types, bool_or(value > 99) AS explicit FROM events GROUP BY user_id")
-def merged_pages(spark, sf_dir):
-    return table(spark, sf_dir, "events").groupBy("user_id").agg(F.array_join(F.sort_array(F.collect_set("event_type")), ",").alias("types"), F.bool_or(F.col("value") > 99).alias("explicit"))
-
-
 @query("SELECT page_id, sha256(html) AS sha256, CASE WHEN starts_with(lower(ltrim(html)), '<!doctype html') OR starts_with(lower(ltrim(html)), '<html') THEN 'text/html' ELSE 'application/octet-stream' END AS mime FROM pages")
 def page_checksums(spark, sf_dir):
     content = F.col("html").cast("binary")
@@ -430,13 +406,6 @@ def release_gates(spark, sf_dir):
     return sampling.gates(rows).select("gate", "actual", "threshold", "status")
 
 
-@query()
-def registry_audit(spark, sf_dir):
-    open_ = ("open", "CC", "l", "t", "a", True, True, True)
-    rows = [("good", "file", True, ["x"], False, None, open_), ("none", "ftp", True, [], False, None, ("blocked", "", "", "t", "a", False, False, True)), ("wiki", "mediawiki_api", True, ["a", "b"], False, None, open_), ("glob", "local_glob", True, ["../x", "/y"], True, None, open_)]
-    return registry.audit(spark.createDataFrame(rows, registry.SOURCE), "replace-with@me")
-
-
 @query()
 def rejections(spark, sf_dir):
     docs, rows, found = _candidates(spark, sf_dir)

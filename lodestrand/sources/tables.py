@@ -34,6 +34,15 @@ def write_records(df: DataFrame, path: str, kind: str = "json", mode: str = "ove
         df.write.mode(mode).json(path)
 
 
+# Columns of the question export, in order.
+QA_CSV = ("qa_id", "question", "answer", "reference_answer", "question_language", "answerability", "primary_type", "split", "source_document_ids")
+
+
+def write_qa_csv(df: DataFrame, path: str) -> None:
+    """The nine columns of the question export, whatever else the records hold; several documents are joined by ``|``."""
+    write_records(df.select(*QA_CSV), path, "csv")
+
+
 def write_shards(df: DataFrame, path: str, by: str) -> None:
     """One folder for each license (or other name)."""
     df.withColumn("shard", safe_shard(F.col(by))).write.mode("overwrite").partitionBy("shard").parquet(path)
