@@ -239,7 +239,36 @@ def turn_token_f1(spark, sf_dir):
     return rows.select("conv_id", "turn", F.round(A.token_f1(F.col("text"), F.col("reference")), 9).alias("f1"))
 
 
-@query()
+_BEFORE, _AFTER = r"(^|[^\p{L}\p{N}_])", r"($|[^\p{L}\p{N}_])"
+
+
+def _between(x: str, words: str, by: str) -> str:
+    """Whole words replaced, twice, as two of them may share the blank between."""
+    for _ in range(2):
+        x = f"regexp_replace({x}, '{_BEFORE}({words}){_AFTER}', '\\1{by}\\3', 'g')"
+    return x
+
+
+def _normal(x: str) -> str:
+    """An answer as it is compared."""
+    bare = f"regexp_replace({FOLD.format(x)}, '[^\\p{{L}}\\p{{N}}_\\s.,/-]', ' ', 'g')"
+    return f"trim(regexp_replace({_between(bare, 'a|an|the|bir', ' ')}, '\\s+', ' ', 'g'))"
+
+
+def _items(x: str) -> str:
+    return f"list_distinct(list_filter(list_transform(regexp_split_to_array({_between(x, 'and|ve', ';')}, '[,;]'), lambda y: {_normal('y')}), lambda z: z <> ''))"
+
+
+def _numbers(x: str) -> str:
+    return f"list_transform(regexp_extract_all({x}, '\\b\\d+(?:[.,]\\d+)?\\b'), lambda y: replace(y, ',', '.'))"
+
+
+@query(rf"""{_PAIRS}, w AS (SELECT conv_id, turn, prediction AS a, reference AS b, {TOK.format(FOLD.format('prediction'))} AS p, {TOK.format(FOLD.format('reference'))} AS r FROM p WHERE reference IS NOT NULL),
+e AS (SELECT conv_id, turn, 'p' AS side, unnest(p) AS x FROM w UNION ALL SELECT conv_id, turn, 'r', unnest(r) FROM w), m AS (SELECT conv_id, turn, x, least(count_if(side = 'p'), count_if(side = 'r')) AS k FROM e GROUP BY ALL), o AS (SELECT conv_id, turn, sum(k) AS o FROM m GROUP BY ALL),
+f AS (SELECT turn, {_normal('a')} = {_normal('b')} AS same, CASE WHEN len(p) = 0 OR len(r) = 0 THEN CAST(len(p) = len(r) AS DOUBLE) ELSE 2 * coalesce(o, 0) / (len(p) + len(r)) END AS f1, {_numbers('a')} AS na, {_numbers('b')} AS nb, {_items('a')} AS ia, {_items('b')} AS ib FROM w LEFT JOIN o USING (conv_id, turn)),
+s AS (SELECT unnest(['exact_match', 'token_f1', 'numeric_date_equivalence', 'list_set_f1']) AS metric, unnest([CAST(same AS DOUBLE), f1, CASE WHEN len(nb) > 0 THEN CAST(na = nb AS DOUBLE) END,
+  CASE WHEN turn % 2 = 0 THEN CASE WHEN len(ia) + len(ib) = 0 THEN 0 ELSE 2 * len(list_intersect(ia, ib)) / (len(ia) + len(ib)) END END]) AS v FROM f)
+SELECT metric, round(coalesce(avg(v), 0), 6) AS score, count(v) AS items FROM s GROUP BY 1""")
 def answer_metrics(spark, sf_dir):
     rows = table(spark, sf_dir, "conversations").withColumn("reference", F.lead("text").over(Window.partitionBy("conv_id").orderBy("turn"))).filter("reference is not null")
     scores = A.answer_scores(F.col("text"), F.array("reference"), F.col("turn") % 2 == 0)
@@ -281,7 +310,7 @@ def segment_quotas(spark, sf_dir):
 
 @query()
 def quota_plan(spark, sf_dir):
-    return sampling.quota_table(spark, 1500)
+    return sampling.quota_table(spark, _target(table(spark, sf_dir, "documents")))
 
 
 @query("SELECT o_orderkey, o_orderstatus FROM (SELECT o_orderkey, o_orderstatus, row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_orderdate, o_orderkey) AS r FROM orders) WHERE r <= CASE o_orderstatus WHEN 'F' THEN 300 WHEN 'O' THEN 200 ELSE 50 END AND o_orderstatus IN ('F', 'O', 'P')")
@@ -313,16 +342,34 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(key.alias("document_id"), F.lit("1").alias("document_version"), key.alias("variant_group_id"), F.when(F.col("lang") == "en", "en").otherwise("tr").alias("language"), "text", F.lit("open").alias("rights_state"), F.lit(True).alias("release_qa"), F.lit(True).alias("release_derived_text"))
 
 
-@query()
+#: The documents of the tables have no blank lines, so each is one block; word places are running sums of words and what is between.
+_CUT = rf"""WITH d AS (SELECT doc_id, lang, text, {TOK.format('text')} AS w, string_split_regex(text, '[\p{{L}}\p{{N}}_]+(?:[''’.-][\p{{L}}\p{{N}}_]+)*') AS g, list_filter(list_transform(string_split(text, chr(10)), lambda x: trim(x)), lambda x: x <> '') AS lines FROM documents),
+t AS (SELECT doc_id, unnest(range(0, len(w))) AS i, unnest(w) AS tok, unnest(g[1:len(w)]) AS gap FROM d),
+p AS (SELECT doc_id, i, sum(length(gap) + length(tok)) OVER (PARTITION BY doc_id ORDER BY i) AS b, length(tok) AS n FROM t),
+e AS (SELECT doc_id, lang, text, len(w) AS n, length(text) - length(ltrim(text, ' ' || chr(9) || chr(10) || chr(13))) AS lo, length(rtrim(text, ' ' || chr(9) || chr(10) || chr(13))) AS hi, len(lines) > 1 AND len(list_filter(lines, lambda x: NOT (starts_with(x, '|') AND ends_with(x, '|')))) = 0 AS piped FROM d WHERE len(lines) > 0),
+s AS (SELECT *, CASE WHEN piped THEN 1200 ELSE 900 END AS size FROM e), k AS (SELECT *, 1 + greatest(0, CAST(ceil((n - size) / (size - 80)) AS BIGINT)) AS m FROM s),
+c AS (SELECT *, unnest(range(0, m)) AS k FROM k),
+r AS (SELECT c.*, CAST(CASE WHEN k = 0 THEN lo ELSE x.b - x.n END AS INTEGER) AS a, CAST(CASE WHEN k = m - 1 THEN hi ELSE y.b END AS INTEGER) AS b, CASE WHEN k = m - 1 THEN c.n - k * (size - 80) ELSE size END AS words
+  FROM c LEFT JOIN p x ON x.doc_id = c.doc_id AND x.i = k * (size - 80) LEFT JOIN p y ON y.doc_id = c.doc_id AND y.i = k * (size - 80) + size - 1),
+passage AS (SELECT *, sha256(substr(text, a + 1, b - a)) AS checksum FROM r)"""
+
+
+@query(_CUT + """ SELECT 'passage_' || substr(sha256('["' || doc_id || '","1",' || a || ',' || b || ',"' || checksum || '"]'), 1, 32) AS passage_id, CAST(doc_id AS VARCHAR) AS document_id, '1' AS document_version, CAST(doc_id AS VARCHAR) AS variant_group_id,
+CASE WHEN lang = 'en' THEN 'en' ELSE 'tr' END AS language, CAST(NULL AS INTEGER) AS page_number, CASE WHEN piped THEN 'table-1' END AS table_id, a AS canonical_char_start, b AS canonical_char_end, CAST(words AS INTEGER) AS token_count, checksum FROM passage""")
 def passage_table(spark, sf_dir):
     return passages.passages(passages.releasable(_documents(spark, sf_dir))).drop("text", "section_path")
 
 
-@query()
+@query(_CUT + " SELECT count(*) AS passages, round(coalesce(avg(words), 0), 2) AS average_tokens, CAST(coalesce(max(words), 0) AS INTEGER) AS maximum_tokens, count(CASE WHEN piped THEN 1 END) AS table_passages FROM passage")
 def passage_stats(spark, sf_dir):
     return passages.passage_stats(passages.passages(passages.releasable(_documents(spark, sf_dir))))
 
 
+def _target(docs: DataFrame) -> int:
+    """Questions to plan: sixty, and one more for each hundred documents."""
+    return 60 + docs.count() // 100
+
+
 def _candidates(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     docs = passages.releasable(_documents(spark, sf_dir))
     rows = dedup.cut(passages.passages(docs))
@@ -341,21 +388,22 @@ def candidate_capacity(spark, sf_dir):
 
 @query()
 def planned_tasks(spark, sf_dir):
-    return planner.plan_tasks(_candidates(spark, sf_dir)[2], 60, 7, strict=False)[0]
+    docs, _, found = _candidates(spark, sf_dir)
+    return planner.plan_tasks(found, _target(docs), 7, strict=False)[0]
 
 
 @query()
 def validated_questions(spark, sf_dir):
     docs, rows, found = _candidates(spark, sf_dir)
-    tasks = planner.plan_tasks(found, 60, 7, strict=False)[0]
+    tasks = planner.plan_tasks(found, _target(docs), 7, strict=False)[0]
     held = questions.validate(questions.generate(tasks, found), rows, docs, found)
     return held.select("qa_id", "question", "primary_type", "question_language", F.array_join("reasons", ",").alias("reasons"))
 
 
 @query()
 def unanswerable_questions(spark, sf_dir):
-    _, rows, found = _candidates(spark, sf_dir)
-    tasks = planner.plan_tasks(found, 60, 7, strict=False)[0]
+    docs, rows, found = _candidates(spark, sf_dir)
+    tasks = planner.plan_tasks(found, _target(docs), 7, strict=False)[0]
     made = questions.mutate(tasks, questions.generate(tasks, found), found)
     return made.join(questions.joint_support(made.filter("error is null"), rows), "qa_id", "left").select("qa_id", "question", "mutation_kind", "source_value", "replacement_value", "error", F.array_join("reasons", ",").alias("reasons"))
 
@@ -409,7 +457,7 @@ def release_gates(spark, sf_dir):
 @query()
 def rejections(spark, sf_dir):
     docs, rows, found = _candidates(spark, sf_dir)
-    tasks = planner.plan_tasks(found, 60, 7, strict=False)[0]
+    tasks = planner.plan_tasks(found, _target(docs), 7, strict=False)[0]
     held = questions.validate(questions.generate(tasks, found), rows, docs, found)
     return questions.rejection_breakdown(held.filter(F.size("reasons") > 0))
 
@@ -424,6 +472,14 @@ def judge_agreement(spark, sf_dir):
     return sampling.judge_report(judged, votes, "doc_id", "score", "vote")
 
 
-@query()
-def passage_violations(spark, sf_dir):
-    return records.check(passages.passages(passages.releasable(_documents(spark, sf_dir))), "passage", "passage_id").filter(F.size("violations") > 0).select("passage_id", F.array_join("violations", ",").alias("violations"))
+@query("""WITH d AS (SELECT doc_id AS k, lang, text, length(text) AS n FROM documents WHERE text IS NOT NULL)
+SELECT k AS doc_id, array_to_string(list_filter([CASE WHEN lang NOT IN ('en', 'tr', 'mul', 'und') THEN 'unknown_language' END, CASE WHEN k % 6 = 5 THEN 'unknown_rights' END, CASE WHEN k % 7 = 0 THEN 'negative_count' END,
+  CASE WHEN k % 5 = 0 THEN 'checksum_mismatch' END, CASE WHEN k % 4 = 0 THEN 'char_count_mismatch' END, CASE WHEN k % 9 = 0 THEN 'duplicate_key' END], lambda x: x IS NOT NULL), ',') AS violations, CASE WHEN k % 9 = 0 THEN 2 ELSE 1 END AS times FROM d""")
+def document_violations(spark, sf_dir):
+    k = F.col("doc_id")
+    rows = table(spark, sf_dir, "documents").filter("text is not null").select(
+        k.cast("string").alias("document_id"), F.col("lang").alias("language"), F.when(k % 6 == 5, "unclear").otherwise("open").alias("rights_state"), "text", (F.length("text") + F.when(k % 4 == 0, 1).otherwise(0)).cast("long").alias("canonical_char_count"),
+        F.when(k % 7 == 0, -1).otherwise(1).cast("long").alias("canonical_token_count"), F.when(k % 5 == 0, "x").otherwise(F.sha2("text", 256)).alias("canonical_sha256"),
+    )
+    rows = rows.unionByName(rows.filter("cast(document_id as long) % 9 = 0"))
+    return records.check(rows, "document", "document_id").groupBy(F.col("document_id").cast("long").alias("doc_id"), F.array_join("violations", ",").alias("violations")).agg(F.count(F.lit(1)).cast("int").alias("times"))

@@ -18,6 +18,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import pdf
+
 # What is removed, what makes a block, and section names that end an article.
 DROPPED = {"script", "style", "nav", "footer", "aside", "form", "noscript"}
 BLOCKS = {"blockquote", "dd", "dt", "figcaption", "h1", "h2", "h3", "h4", "h5", "h6", "li", "p", "pre", "table"}
@@ -126,14 +128,71 @@ def _block(n: Node, root: Node) -> tuple[str, str] | None:
     return shapes.get(n.tag, ("paragraph", value))
 
 
-def html_blocks(html: str, article: bool = False, title: str | None = None) -> list[tuple[str, str]]:
-    """(kind, markdown) of the blocks of a page's main part, in document order."""
+_SIMPLE = re.compile(r"""([.#])?([\w-]+)|\[\s*([\w-]+)\s*(?:=\s*["']?([^"'\]]*)["']?\s*)?\]|(\*)""")
+
+
+def selects(selector: str, n: Node) -> bool:
+    """Whether a node fits one of the comma-separated selectors: tag, .class, #id and [attribute=value], also together and below others."""
+
+    def simple(part: str, x: Node) -> bool:
+        for mark, name, attribute, value, _ in _SIMPLE.findall(part):
+            if attribute:
+                ok = attribute in x.attrs and (not value or x.attrs[attribute] == value)
+            elif mark == ".":
+                ok = name in x.attrs.get("class", "").split()
+            elif mark == "#":
+                ok = x.attrs.get("id") == name
+            else:
+                ok = not name or x.tag == name.lower()
+            if not ok:
+                return False
+        return True
+
+    def chain(parts: list[str], x: Node) -> bool:
+        if not simple(parts[-1], x):
+            return False
+        rest, up = parts[:-1], x.above()
+        while rest:
+            if not any(simple(rest[-1], a) for a in up):  # the ancestors go on where the last one was found
+                return False
+            rest = rest[:-1]
+        return True
+
+    return any(chain(one.split(), n) for one in selector.split(",") if one.strip())
+
+
+def _spell_math(root: Node) -> None:
+    """Formulas as $text$, those of a block of their own as $$text$$."""
+    for n in list(root.walk()):
+        if n.tag == "math":
+            said = " ".join((n.attrs.get("alttext") or n.text()).split())
+            said = re.sub(r"^\{\\(?:display|text)style\s*(.*)\}$", r"\1", said).strip()
+            mark = "$$" if n.attrs.get("display") == "block" else "$"
+            n.kids = [f" {mark}{said}{mark} "] if said else []
+        elif n.tag == "img" and any(a.tag == "span" and "mwe-math-element" in a.attrs.get("class", "").split() for a in n.above()):
+            n.kids = []
+
+
+def html_blocks(html: str, article: bool = False, title: str | None = None, content: str | None = None, remove: tuple[str, ...] = ()) -> list[tuple[str, str]]:
+    """(kind, markdown) of the blocks of a page's main part, in document order.
+
+    content: a selector of the main part, an error if nothing fits; remove: selectors of what goes.
+    """
     tree = _Tree()
     tree.feed(html)
     tree.close()
     every = list(tree.root.walk())
-    root = next((n for tag in ("main", "article", "body") for n in every if n.tag == tag), tree.root)
+    if content:
+        root = next((n for n in every if n is not tree.root and selects(content, n)), None)
+        if root is None:
+            raise ValueError(f"nothing fits the content selector {content}")
+    else:
+        root = next((n for tag in ("main", "article", "body") for n in every if n.tag == tag), tree.root)
+    for n in list(root.walk()):
+        if n is not root and n.parent is not None and any(selects(r, n) for r in remove):
+            n.parent.kids.remove(n)
     _drop(root, article)
+    _spell_math(root)
     out = [("title", f"# {' '.join(title.split())}")] if article and title and title.split() else []
     skipping = False
     for n in root.walk():
@@ -219,42 +278,66 @@ def docx_markdown(content: bytes) -> str:
     return "\n\n".join(out)
 
 
-def xlsx_markdown(content: bytes) -> str:
-    """Every sheet's rows that have a value."""
+def _cell(reference: str) -> tuple[int, int]:
+    """(row, column) of a name such as AB12, from 1."""
+    letters, digits = re.match(r"([A-Z]*)(\d*)", reference).groups()
+    column = 0
+    for x in letters:
+        column = 26 * column + ord(x) - 64
+    return int(digits or 0), column
+
+
+def worksheets(content: bytes) -> list[tuple[str, dict[tuple[int, int], object], list[tuple[int, int, int, int]]]]:
+    """(name, cells, merged ranges) of every sheet of a workbook: numbers as numbers, formulas as their cached values."""
     with zipfile.ZipFile(io.BytesIO(content)) as z:
         names = set(z.namelist())
         shared = ["".join(t.text or "" for t in si.iter(f"{_S}t")) for si in ET.fromstring(z.read("xl/sharedStrings.xml"))] if "xl/sharedStrings.xml" in names else []
-        sheets = [s.get("name") for s in ET.fromstring(z.read("xl/workbook.xml")).iter(f"{_S}sheet")]
         out = []
-        for i, name in enumerate(sheets, 1):
-            rows = []
-            for r in ET.fromstring(z.read(f"xl/worksheets/sheet{i}.xml")).iter(f"{_S}row"):
-                cells: dict[int, str] = {}
-                for c in r.iter(f"{_S}c"):
-                    column = 0
-                    for x in re.match(r"[A-Z]*", c.get("r", ""))[0]:
-                        column = 26 * column + ord(x) - 64
-                    v = c.find(f"{_S}v")
-                    raw = "".join(t.text or "" for t in c.iter(f"{_S}t")) if c.get("t") == "inlineStr" else (v.text or "" if v is not None else "")
-                    cells[column or len(cells) + 1] = shared[int(raw)] if c.get("t") == "s" and raw else raw
-                if any(cells.values()):
-                    rows.append([cells.get(k, "") for k in range(1, max(cells) + 1)])
-            if rows:
-                out += [f"# {name}", pipe_table(rows)]
+        for i, sheet in enumerate(ET.fromstring(z.read("xl/workbook.xml")).iter(f"{_S}sheet"), 1):
+            root = ET.fromstring(z.read(f"xl/worksheets/sheet{i}.xml"))
+            cells: dict[tuple[int, int], object] = {}
+            for n, r in enumerate(root.iter(f"{_S}row"), 1):
+                row = int(r.get("r", n))
+                for k, c in enumerate(r.iter(f"{_S}c"), 1):
+                    v, kind = c.find(f"{_S}v"), c.get("t", "n")
+                    raw = "".join(t.text or "" for t in c.iter(f"{_S}t")) if kind == "inlineStr" else (v.text or "" if v is not None else "")
+                    number = kind == "n" and re.fullmatch(r"-?\d+(?:\.\d+)?(?:[eE][+-]?\d+)?", raw)
+                    value = shared[int(raw)] if kind == "s" and raw else float(raw) if number and not raw.lstrip("-").isdigit() else int(raw) if number else raw or None
+                    cells[row, _cell(c.get("r", ""))[1] or k] = value
+            merged = [(*_cell(a), *_cell(b)) for m in root.iter(f"{_S}mergeCell") for a, _, b in [m.get("ref", "").partition(":")] if b]
+            out.append((sheet.get("name"), cells, merged))
+    return out
+
+
+def grid(cells: dict[tuple[int, int], object]) -> list[list]:
+    """Cells as rows of equal length."""
+    rows, columns = (max((k[i] for k in cells), default=0) for i in (0, 1))
+    return [[cells.get((r, c)) for c in range(1, columns + 1)] for r in range(1, rows + 1)]
+
+
+def xlsx_markdown(content: bytes) -> str:
+    """Every sheet's rows that have a value."""
+    out = []
+    for name, cells, _ in worksheets(content):
+        rows = [["" if v is None else str(v) for v in row] for row in grid(cells) if any(v is not None for v in row)]
+        if rows:
+            out += [f"# {name}", pipe_table(rows)]
     if not out:
         raise ValueError("no cell has a value")
     return "\n\n".join(out)
 
 
-def to_markdown(content: bytes, mime: str, article: bool = False, title: str | None = None) -> tuple[str, list[str]]:
+def to_markdown(content: bytes, mime: str, article: bool = False, title: str | None = None, main: str | None = None, remove: tuple[str, ...] = ()) -> tuple[str, list[str]]:
     """(markdown, block kinds) of one document."""
+    if mime == "application/pdf":
+        return pdf.markdown(content), []
     if "wordprocessingml" in mime:
         return docx_markdown(content), []
     if "spreadsheetml" in mime:
         return xlsx_markdown(content), []
     text = decode(content)
     if mime == "text/html":
-        found = html_blocks(text, article, title)
+        found = html_blocks(text, article, title, main, remove)
         return "\n\n".join(b for _, b in found), [k for k, _ in found]
     if mime == "application/json":
         rows = [[k.replace("|", "\\|"), v.replace("|", "\\|")] for k, v in flatten(json.loads(text))]
@@ -278,20 +361,21 @@ def decode(content: bytes) -> str:
 
 
 def extract(files: DataFrame, article: bool = False) -> DataFrame:
-    """path, markdown, kinds, headings_first, error of files (path, mime, content)."""
+    """path, markdown, kinds, headings_first, error of files (path, mime, content, and if there title, main and remove: a page's title and selectors)."""
+    more = [c for c in ("title", "main", "remove") if c in files.columns]
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             rows = []
             for x in f.itertuples(index=False):
                 try:
-                    text, kinds = to_markdown(bytes(x.content), x.mime, article)
+                    text, kinds = to_markdown(bytes(x.content), x.mime, article, **{c: tuple(v) if c == "remove" else v for c in more if (v := getattr(x, c)) is not None})
                     rows.append((x.path, text, kinds, heading_run(kinds), None))
                 except Exception as e:  # noqa: BLE001  one document's fault is its own row
                     rows.append((x.path, None, [], 0, f"{type(e).__name__}: {e}"[:500]))
             yield pd.DataFrame(rows, columns=["path", "markdown", "kinds", "headings_first", "error"])
 
-    return files.select("path", "mime", "content").mapInPandas(run, "path string, markdown string, kinds array<string>, headings_first int, error string")
+    return files.select("path", "mime", "content", *more).mapInPandas(run, "path string, markdown string, kinds array<string>, headings_first int, error string")
 
 
 def json_leaves(json_text: Column) -> Column:
