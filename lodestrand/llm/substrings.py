@@ -4,20 +4,27 @@ Every text is parsed against the whole corpus as reference.  The corpus is cut i
 words whose 20-word windows share one anchor, the least-hashed k-gram of the window (leftmost of ties).  Equal windows
 choose equal anchors, so a block's factors can only begin in blocks that are filed under the same anchor.
 
-Parsing is greedy: a block that equals an earlier one is one factor, whole, and needs no look at its words; runs of such
-blocks are the long factors.  Where a text's block meets its anchor in the index but differs from the blocks filed there, a
-factor begins or ends inside it: these boundary blocks, and only they, are read again and looked up window by window.
-A window found earlier makes its words a duplicate span.  The outcome is exact: a word is removed if and only if a
-window that covers it starts earlier too.
+A block that equals an earlier one is matched whole and needs no look at its words: it has a source, the place of the earlier
+block.  Where a text's block meets its anchor in the index but differs from the blocks filed there, a factor begins or ends inside it:
+these boundary blocks, and only they, are read again and looked up window by window, which gives each window its source.
+
+Then every text is parsed from left to right.  Matched stretches that go on in the same source are joined; from the leftmost matched
+word not yet in a factor, the source that reaches furthest is taken, greedily, and its words are one factor: start, length,
+and the source's document and start.  Words outside are literals.  A factor has at least a window's words and lies, as it stands, at an earlier
+place; as windows over the boundary of two factors are matched too, a factor may begin inside the one before.  The factors
+are the duplicate spans.  The outcome is exact: a word is removed if and only if a window that covers it starts earlier too.
 
 Inside a task equal blocks (and windows) are settled before the shuffle: only the first goes on, so a passage held by
-a third of all texts sends one row a task, not one a copy.
+a third of all texts sends one row a task, not one a copy.  An anchor under which a task has met two different blocks is mixed: from
+then on the task sends its blocks to the window look-up without filing them, so a phrase of a third of all texts sends a few rows a
+task, not one a text.
 
 "Earlier" is a smaller doc_id, or an earlier start in the same document, on the texts as they came.
 
 Defined results: a null text has no words; rows that repeat doc_id and text are one document, and treated alike; rows that repeat a doc_id
-with another text are ordered by a hash of the text; texts of under ``window`` words are kept whole; an empty table
-gives no row; other columns are ignored.
+with another text are ordered by a hash of the text; a null doc_id is before all others; texts of under ``window`` words are kept whole;
+a text of any length is parsed whole, and is a run of its own in memory; an empty table gives no row; other columns are ignored,
+whatever their names.
 """
 
 from __future__ import annotations
@@ -34,8 +41,13 @@ from . import _store
 from ._words import FIRST, SECOND, Words, chunks, grams, mix
 
 WINDOW, GRAM = 20, 6
-BLOCK = "anchor long, h1 long, h2 long, doc_id long, tie long, lo int, hi int, settled boolean"
-_BLOCK = pa.schema([("anchor", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64()), ("doc_id", pa.int64()), ("tie", pa.int64()), ("lo", pa.int32()), ("hi", pa.int32()), ("settled", pa.bool_())])
+#: at: the block's own place; source: an earlier block equal to it in the task, if there is one; mixed: to be looked up window by window.
+PLACE = "struct<doc_id: bigint, tie: bigint, lo: int>"
+BLOCK = f"anchor long, h1 long, h2 long, at {PLACE}, hi int, source {PLACE}, mixed boolean"
+_PLACE = pa.struct([("doc_id", pa.int64()), ("tie", pa.int64()), ("lo", pa.int32())])
+_BLOCK = pa.schema([("anchor", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64()), ("at", _PLACE), ("hi", pa.int32()), ("source", _PLACE), ("mixed", pa.bool_())])
+#: A matched stretch of a text and its source: window starts lo..hi there, the first of them at src_lo.
+SPANS = ("lo", "hi", "src_doc", "src_tie", "src_lo")
 
 
 def _tie(text: str = "text") -> Column:
@@ -49,11 +61,15 @@ def _ids(batch: pa.RecordBatch, name: str) -> np.ndarray:
     return pc.fill_null(batch.column(name), -(1 << 63)).to_numpy(zero_copy_only=False)
 
 
-def _rows(anchor, h1, h2, doc, tie, text_of, lo, hi, nulls) -> pa.RecordBatch:
-    """Blocks (or windows) with all but the first of equal ones settled.  A settled row gets an anchor of its own, so
-    that it rides along with the others and meets nobody."""
+def _rows(anchor, h1, h2, doc, tie, text_of, lo, hi, nulls, known: np.ndarray | None = None) -> tuple[pa.RecordBatch, np.ndarray]:
+    """Blocks (or windows), all but the first of equal ones with their source; then the anchors found to be mixed, those ``known`` included.
+
+    A row that has its source, or whose anchor was known to be mixed, gets an anchor of its own, so that it rides along and
+    meets nobody.  Of an anchor found to be mixed the first blocks are filed, so that other tasks see it.
+    """
     order = np.lexsort((lo, tie[text_of], doc[text_of], h2, h1))
-    same = np.zeros(len(order), bool)
+    first = np.arange(len(order))
+    copy = np.zeros(len(order), bool)
     if len(order) > 1:
         p, q = order[:-1], order[1:]
         equal = (h1[p] == h1[q]) & (h2[p] == h2[q])
@@ -61,15 +77,33 @@ def _rows(anchor, h1, h2, doc, tie, text_of, lo, hi, nulls) -> pa.RecordBatch:
         place = (doc[text_of[p]] == doc[text_of[q]]) & (tie[text_of[p]] == tie[text_of[q]]) & (lo[p] == lo[q])
         run = np.r_[True, ~equal]
         first_of_run = np.maximum.accumulate(np.where(run, np.arange(len(order)), 0))
-        fresh = np.r_[True, ~(equal & place)]
-        step = np.cumsum(fresh)
-        same = step > step[first_of_run]
-    settled = np.zeros(len(order), bool)
-    settled[order] = same
+        step = np.cumsum(np.r_[True, ~(equal & place)])
+        copy[order] = step > step[first_of_run]
+        first[order] = order[first_of_run]
+    mixed = np.zeros(len(order), bool)
+    if known is not None:
+        mixed = ~copy & np.isin(anchor, known)
+        filed = np.flatnonzero(~copy & ~mixed)
+        by = filed[np.lexsort((h2[filed], h1[filed], anchor[filed]))]
+        if len(by) > 1:
+            same = anchor[by[1:]] == anchor[by[:-1]]
+            other = same & ((h1[by[1:]] != h1[by[:-1]]) | (h2[by[1:]] != h2[by[:-1]]))
+            fresh = np.unique(anchor[by[1:]][other])
+            # How many different blocks of its anchor come before each: two are filed, the others looked up.
+            ahead = np.cumsum(np.r_[0, other])
+            start = np.maximum.accumulate(np.where(np.r_[True, ~same], np.arange(len(by)), 0))
+            mixed[by[ahead - ahead[start] > 1]] = True
+            known = np.union1d(known, fresh)
     own = mix((doc[text_of].view(np.uint64) * np.uint64(31) + lo.astype(np.uint64)) ^ tie[text_of].view(np.uint64))
-    anchor = np.where(settled, own, anchor)
-    d = pa.array(doc[text_of], mask=nulls[text_of] if nulls.any() else None)
-    return pa.RecordBatch.from_arrays([pa.array(anchor.view(np.int64)), pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64)), d, pa.array(tie[text_of]), pa.array(lo.astype(np.int32)), pa.array(hi.astype(np.int32)), pa.array(settled)], schema=_BLOCK)
+    anchor = np.where(copy | mixed, own, anchor)
+
+    def places(at: np.ndarray, there: np.ndarray | None = None) -> pa.StructArray:
+        t = text_of[at]
+        d = pa.array(doc[t], mask=nulls[t] if nulls.any() else None)
+        return pa.StructArray.from_arrays([d, pa.array(tie[t]), pa.array(lo[at].astype(np.int32))], fields=list(_PLACE), mask=None if there is None else pa.array(~there))
+
+    cols = [pa.array(anchor.view(np.int64)), pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64)), places(np.arange(len(order))), pa.array(hi.astype(np.int32)), places(first, copy), pa.array(mixed)]
+    return pa.RecordBatch.from_arrays(cols, schema=_BLOCK), known
 
 
 def blocks_of(words: Words, window: int = WINDOW, k: int = GRAM):
@@ -99,12 +133,14 @@ def blocks_of(words: Words, window: int = WINDOW, k: int = GRAM):
 
 def _index(docs: DataFrame, window: int, k: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        mixed = np.empty(0, np.uint64)
         for batch in batches:
             for c in chunks(batch, size=1 << 22):
                 found = blocks_of(Words(c.column("text")), window, k)
                 if found:
                     anchor, h1, h2, text_of, lo, hi = found
-                    yield _rows(anchor, h1, h2, _ids(c, "doc_id"), _ids(c, "tie"), text_of, lo, hi, c.column("doc_id").is_null().to_numpy(zero_copy_only=False))
+                    rows, mixed = _rows(anchor, h1, h2, _ids(c, "doc_id"), _ids(c, "tie"), text_of, lo, hi, c.column("doc_id").is_null().to_numpy(zero_copy_only=False), mixed)
+                    yield rows
 
     return docs.mapInArrow(run, BLOCK)
 
@@ -127,7 +163,7 @@ def _windows(docs: DataFrame, window: int) -> DataFrame:
                     continue
                 text_of, lo = np.concatenate(text_of), np.concatenate(lo)
                 at = words.bounds[text_of] + lo
-                yield _rows(g1[at], g1[at], g2[at], _ids(c, "doc_id"), _ids(c, "tie"), text_of, lo, lo, c.column("doc_id").is_null().to_numpy(zero_copy_only=False))
+                yield _rows(g1[at], g1[at], g2[at], _ids(c, "doc_id"), _ids(c, "tie"), text_of, lo, lo, c.column("doc_id").is_null().to_numpy(zero_copy_only=False))[0]
 
     return docs.mapInArrow(run, BLOCK)
 
@@ -153,21 +189,68 @@ def _strip(docs: DataFrame, window: int) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, tie long, n_words long, n_removed long, kept string, kept_sha256 string")
 
 
-def duplicate_spans(docs: DataFrame, window: int = WINDOW, k: int = GRAM) -> DataFrame:
-    """doc_id, tie, spans: runs of window starts that begin duplicate windows.  docs: doc_id, text, tie."""
+def matches(docs: DataFrame, window: int = WINDOW, k: int = GRAM) -> DataFrame:
+    """doc_id, tie, spans: each text's matched stretches with their sources (``SPANS``).  docs: doc_id, text, tie."""
+
+    def sourced(rows: DataFrame) -> DataFrame:
+        # The first of equal blocks is the others' source.  Rows that repeat doc_id and text have one place, which is no earlier one.
+        first = F.first("at").over(Window.partitionBy("anchor", "h1", "h2").orderBy("at"))
+        return rows.withColumn("source", F.coalesce("source", F.when(F.col("at") != first, first)))
+
     group = Window.partitionBy("anchor")
-    # Rows that repeat doc_id and text rank alike, so that neither is the other's copy.
-    first = F.rank().over(Window.partitionBy("anchor", "h1", "h2").orderBy("doc_id", "tie", "lo"))
-    filed = _index(docs, window, k).withColumn("rank", first)
-    filed = filed.withColumn("mixed", (F.min("h1").over(group) != F.max("h1").over(group)) | (F.min("h2").over(group) != F.max("h2").over(group)))
-    filed = filed.withColumn("copy", F.col("settled") | (F.col("rank") > 1))
-    told = _store.materialize(filed.filter("copy or mixed").select("doc_id", "tie", "lo", "hi", "copy"), "blocks")
-    open_ = told.filter(~F.col("copy")).groupBy("doc_id", "tie").agg(F.collect_set(F.struct("lo", "hi")).alias("blocks"))  # at most a text's own words
+    filed = sourced(_index(docs, window, k))
+    differ = (F.min("h1").over(group) != F.max("h1").over(group)) | (F.min("h2").over(group) != F.max("h2").over(group))
+    filed = filed.withColumn("mixed", F.col("mixed") | differ)
+    told = _store.materialize(filed.filter("source is not null or mixed").select("at.*", "hi", "source"), "blocks")
+    open_ = told.filter("source is null").groupBy("doc_id", "tie").agg(F.collect_set(F.struct("lo", "hi")).alias("blocks"))  # at most a text's own words
     again = docs.join(_renamed(open_), _same_document()).select("doc_id", "tie", "text", "blocks")
-    earlier = F.rank().over(Window.partitionBy("anchor", "h1", "h2").orderBy("doc_id", "tie", "lo"))
-    late = _windows(again, window).withColumn("rank", earlier).filter(F.col("settled") | (F.col("rank") > 1))
-    spans = told.filter("copy").select("doc_id", "tie", "lo", "hi").unionByName(late.select("doc_id", "tie", "lo", "hi"))
-    return spans.groupBy("doc_id", "tie").agg(F.collect_set(F.struct("lo", "hi")).alias("spans"))
+    late = sourced(_windows(again, window)).filter("source is not null").select("at.*", "hi", "source")
+    found = told.filter("source is not null").unionByName(late)
+    span = F.struct("lo", "hi", F.col("source.doc_id").alias("src_doc"), F.col("source.tie").alias("src_tie"), F.col("source.lo").alias("src_lo"))
+    return found.groupBy("doc_id", "tie").agg(F.collect_set(span).alias("spans"))  # at most a text's own words
+
+
+def parse(spans: list[dict], window: int = WINDOW) -> list[tuple[int, int, int | None, int, int]]:
+    """A text's factors (start, words, source's doc_id, tie and start) by its matched stretches, in order of their starts."""
+    rows = sorted((s["src_doc"] is not None, s["src_doc"] or 0, s["src_tie"], s["src_lo"] - s["lo"], s["lo"], s["hi"]) for s in spans)
+    runs: list[list] = []
+    for *source, lo, hi in rows:
+        if runs and runs[-1][2] == source and lo <= runs[-1][1] + 1:
+            runs[-1][1] = max(runs[-1][1], hi)
+        else:
+            runs.append([lo, hi, source])
+    runs.sort(key=lambda r: (r[0], -r[1]))
+    out, at, i, best = [], -1, 0, None  # at: the last window start that a factor holds
+    while True:
+        while i < len(runs) and runs[i][0] <= at + 1:
+            if best is None or runs[i][1] > best[1]:
+                best = runs[i]
+            i += 1
+        if best is None or best[1] <= at:
+            if i == len(runs):
+                return out
+            at, best = runs[i][0] - 1, None  # literals in between
+            continue
+        lo, hi, (known, doc, tie, shift) = at + 1, best[1], best[2]
+        out.append((lo, hi - lo + window, doc if known else None, tie, lo + shift))
+        at = hi
+
+
+def factors(docs: DataFrame, window: int = WINDOW, k: int = GRAM) -> DataFrame:
+    """doc_id, tie, start, length, source_id, source_tie, source_start: the factors of every text, in words."""
+    names = ("start", "length", "source_id", "source_tie", "source_start")
+    kinds = (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32())
+    schema = pa.schema([("doc_id", pa.int64()), ("tie", pa.int64()), *zip(names, kinds, strict=True)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for c in batches:
+            made = [parse(s, window) for s in c.column("spans").to_pylist()]
+            at = pa.array([i for i, m in enumerate(made) for _ in m], pa.int64())
+            cols = list(zip(*(f for m in made for f in m), strict=True)) or [()] * len(names)
+            yield pa.RecordBatch.from_arrays([c.column("doc_id").take(at), c.column("tie").take(at), *(pa.array(x, t) for x, t in zip(cols, kinds, strict=True))], schema=schema)
+
+    rows = _store.id_text(docs).withColumn("tie", _tie())
+    return matches(rows, window, k).mapInArrow(run, "doc_id long, tie long, start int, length int, source_id long, source_tie long, source_start int")
 
 
 def _renamed(rows: DataFrame) -> DataFrame:
@@ -184,7 +267,7 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, k: int = GRAM) -> Dat
     from pyspark.sql.pandas.types import to_arrow_schema
 
     rows = docs.select(F.struct("*").alias("row"), "doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("tie", _tie())
-    spans = duplicate_spans(rows.select("doc_id", "text", "tie"), window, k)
+    spans = matches(rows.select("doc_id", "text", "tie"), window, k)
     (name,) = _store.fresh(docs, "spans")
     held = rows.join(_renamed(spans), _same_document(), "left").select(*(F.col("row")[c].alias(c) for c in docs.columns), F.col("spans").alias(name))
     at = docs.columns.index("text")
@@ -208,15 +291,16 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, k: int = GRAM) -> Dat
 
 
 def _left(words: list[bytes], spans: list[dict], window: int) -> list[bytes]:
-    """The words that no span's windows cover."""
-    cover = np.zeros(len(words) + 1, np.int32)
-    np.add.at(cover, [s["lo"] for s in spans], 1)
-    np.add.at(cover, [s["hi"] + window for s in spans], -1)
-    return [w for w, c in zip(words, np.cumsum(cover[:-1]).tolist(), strict=True) if not c]
+    """The words outside of the text's factors."""
+    out, at = [], 0
+    for start, length, *_ in parse(spans, window):
+        out += words[at:start]
+        at = max(at, start + length)
+    return out + words[at:]
 
 
 def strip_repeats(docs: DataFrame, window: int = WINDOW, k: int = GRAM) -> DataFrame:
     """doc_id, tie (hash of the text), n_words, n_removed, kept, kept_sha256 of every row."""
     rows = _store.id_text(docs).withColumn("tie", _tie())
-    spans = duplicate_spans(rows, window, k)
+    spans = matches(rows, window, k)
     return _strip(rows.join(_renamed(spans), _same_document(), "left").select("doc_id", "tie", "text", "spans"), window)

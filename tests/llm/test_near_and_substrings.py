@@ -91,6 +91,27 @@ def test_chains_and_hot_groups(spark):
     assert sorted((True, r.doc_id, r.class_id) for r in got) == brute_classes(rows)
 
 
+def test_hot_groups_make_few_comparisons(spark, monkeypatch):
+    rng, base, boiler = random.Random(6), prose(60, 200), prose(61, 40)
+    rows = [(i, edited(base, [rng.randrange(200) for _ in range(rng.randint(0, 5))])) for i in range(2000)]
+    rows += [(10_000 + i, boiler + " " + prose(2000 + i, 45)) for i in range(2000)]
+    made, verified = [], near_text._verified
+
+    def counted(pairs, *more):
+        made.append(pairs.count())
+        return verified(pairs, *more)
+
+    monkeypatch.setattr(near_text, "_verified", counted)
+    got = {r.doc_id: r.class_id for r in near_text.classes(spark.createDataFrame(rows, "doc_id long, text string").repartition(16)).collect()}
+    assert sum(made) <= 10 * len(rows), made
+    sets = [shingles(t) for _, t in rows[:2000]]
+    reached, last = {0}, [0]  # by links, from the first copy on
+    while last:
+        last = [j for j in range(2000) if j not in reached and any(len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]) for i in last[:40])]
+        reached.update(last)
+    assert all(got[i] == 0 for i in reached) and len(reached) > 1500 and all(got[10_000 + i] == 10_000 + i for i in range(2000))
+
+
 def test_repeated_lines_count_once(spark):
     line, rows = prose(80, 9), []
     for i in range(30):  # in small and large buckets
@@ -171,11 +192,64 @@ def test_random_repeats(spark, seed):
     assert spelled(substrings.strip_repeats(frame).collect()) == brute_repeats(rows)
 
 
+def brute_factors(frame):
+    """Checks every factor of the frame's texts against the words themselves; returns the words they cover."""
+    words = {(r.doc_id, r.tie): WORD.findall(r.text) for r in frame.select("doc_id", "text", substrings._tie().alias("tie")).collect()}
+    covered = {}
+    by_text = {}
+    for f in substrings.factors(frame).collect():
+        own, source = words[f.doc_id, f.tie], words[f.source_id, f.source_tie]
+        assert f.length >= 20 and own[f.start : f.start + f.length] == source[f.source_start : f.source_start + f.length]
+        assert (f.source_id, f.source_tie, f.source_start) < (f.doc_id, f.tie, f.start)
+        covered.setdefault(f.doc_id, set()).update(range(f.start, f.start + f.length))
+        by_text.setdefault((f.doc_id, f.tie), []).append((f.start, f.length))
+    for parts in by_text.values():  # left to right, each begins behind the windows of the one before
+        parts.sort()
+        assert all(b[0] >= a[0] + a[1] - 19 for a, b in zip(parts, parts[1:], strict=False))
+    return covered
+
+
+def test_factors_are_places_of_equal_words(spark):
+    rng = random.Random(9)
+    passages = [[f"w{rng.randrange(3000)}" for _ in range(rng.randint(40, 120))] for _ in range(5)]
+    rows = []
+    for d in range(50):
+        words = []
+        for _ in range(4):
+            p = rng.choice(passages)
+            lo = rng.randrange(len(p) - 25)
+            words += p[lo : lo + rng.randint(15, 120)] + [f"own{rng.randrange(9999)}" for _ in range(rng.randint(0, 30))]
+        rows.append((d, " ".join(words)))
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    covered = brute_factors(frame)
+    want = {d: removed for _, d, _, removed, _ in brute_repeats(rows)}
+    assert {d: len(covered.get(d, ())) for d, _ in rows} == want
+
+
+def test_parse_is_greedy():
+    span = lambda lo, hi, doc, src: {"lo": lo, "hi": hi, "src_doc": doc, "src_tie": 0, "src_lo": src}
+    assert substrings.parse([]) == []
+    # stretches that go on in their source are one factor
+    assert substrings.parse([span(5, 9, 1, 50), span(10, 30, 1, 55)]) == [(5, 45, 1, 0, 50)]
+    # of two sources the one that reaches further; then the rest of the other
+    assert substrings.parse([span(0, 10, 1, 0), span(0, 30, 2, 7), span(25, 40, 3, 100)]) == [(0, 50, 2, 0, 7), (31, 29, 3, 0, 106)]
+    assert substrings.parse([span(0, 4, None, 3), span(60, 61, 4, 0)]) == [(0, 24, None, 0, 3), (60, 21, 4, 0, 0)]
+
+
+def test_common_phrase_sends_few_rows(spark):
+    phrase = "the of and mo lin re"
+    rows = [(i, prose(i, 30) + " " + phrase + " " + prose(5000 + i, 30)) for i in range(4000)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").coalesce(4)
+    sent = substrings._index(frame.withColumn("tie", substrings._tie()), 20, 6)
+    assert sent.groupBy("anchor").count().agg(F.max("count")).first()[0] <= 4 * 4
+    assert spelled(substrings.strip_repeats(frame).collect()) == brute_repeats(rows)
+
+
 def test_common_passage_sends_few_rows(spark):
     shared = prose(77, 50)
     frame = spark.range(2000).select(F.col("id").alias("doc_id"), F.concat(F.lit(shared), F.lit(" end "), F.col("id").cast("string")).alias("text")).coalesce(4)
     rows = frame.withColumn("tie", substrings._tie())
-    sent = substrings._index(rows, 20, 6).filter("not settled")
+    sent = substrings._index(rows, 20, 6).filter("source is null and not mixed")
     assert sent.count() < 4 * 60 + 2000 * 8
     got = {r.doc_id: r.n_removed for r in substrings.strip_repeats(frame).collect()}
     assert got == {i: 0 if i == 0 else 51 for i in range(2000)}
