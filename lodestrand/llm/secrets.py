@@ -8,6 +8,11 @@ found inside is reported at that span.
 
 Base matches are leftmost and non-overlapping per kind, judged on the original text; deeper findings are only added.
 
+Escapes are unwrapped where they are: a layer holds the stretch around them up to the next characters that no finding, no
+escape and no base64 line can hold, not a copy of the text, and its span map is a list of evenly spaced stretches.  An escape of the
+sign that begins escapes of its own kind (%2541, &amp;lt;, \\u005cu0041) is a layer like others; from eight in a row on all are unwrapped
+in one step, so such nesting takes time in proportion to its length.
+
 Base64 runs are read line by line and over line breaks, from each of four places on; what they give need not be clean text.
 
 Compressed data is read as a stream, whatever it gives, all its members after each other; what it gives is scanned in windows
@@ -16,7 +21,8 @@ that overlap, as all of it stands for one span of the text.  So memory is bounde
 Nesting ends by itself as every decoding is shorter than its source, save for decompression: compressed data inside compressed
 data is opened until it is no longer new, or ``STREAMS`` deep where it is too large (``SMALL``) to be known again.
 
-Defined results: a null text is empty; an empty text has no spans; repeated rows are scanned each; other columns are ignored.
+Defined results: a null text is empty; an empty text has no spans; texts of any length are scanned whole, one at a time; repeated rows
+and rows without a doc_id are scanned each; an empty table gives no row; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -28,6 +34,7 @@ import hashlib
 import html
 import re
 import zlib
+from array import array
 from bisect import bisect_right
 from collections.abc import Callable, Iterator
 from itertools import accumulate, chain
@@ -49,15 +56,20 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{24,}")
 _KEYWORD = re.compile(r"password|passwd|secret|token|api_?key", re.IGNORECASE | re.ASCII)
 
-URL = re.compile(r"%[0-9A-Fa-f]{2}")
-ESCAPE = re.compile(r"\\u\{[0-9A-Fa-f]{1,6}\}|\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8}|\\x[0-9A-Fa-f]{2}|&#[xX][0-9A-Fa-f]{1,6};|&#[0-9]{1,7};|&(?:quot|amp|apos|lt|gt|equals|colon);")
+#: Escapes; from eight escapes of their own first sign in between on, with these.
+URL = re.compile(r"%(?:(?:25){8,})?[0-9A-Fa-f]{2}")
+ESCAPE = re.compile(
+    r"\\(?:(?:u005[cC]|x5[cC]){8,})?(?:u\{[0-9A-Fa-f]{1,6}\}|u[0-9A-Fa-f]{4}|U[0-9A-Fa-f]{8}|x[0-9A-Fa-f]{2})"
+    r"|&(?:(?:amp;){8,})?(?:#[xX][0-9A-Fa-f]{1,6};|#[0-9]{1,7};|(?:quot|amp|apos|lt|gt|equals|colon);)"
+)
+#: What findings, escapes and base64 lines are made of.
+_STRETCH = re.compile(r"""[A-Za-z0-9+/_.=\-"' :\r\n\t>\\&;#{}%]+""")
 BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}")
 #: The same over several lines; each goes on to the end of its line or of the data.
 WRAPPED = re.compile(r"""(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}+(?:[\t ]*\r?\n[\t >]*[A-Za-z0-9+/_-]++(?==|[\t ]*(?:[\r\n"'`<,;)\]}]|\Z)))++={0,2}""")
 _LINE = re.compile(r"[A-Za-z0-9+/_-]+")
-#: Bytes that may hold a finding: as they are, or two to a character.
-_WIDE = re.compile(rb"(?:[\x20-\x7e]\0){12}|(?:\0[\x20-\x7e]){12}")
-_LIKELY = re.compile(rb"[\t\r\n\x20-\x7e]{12}|" + _WIDE.pattern)
+#: Bytes that findings are made of, zero, and others.
+_MADE_OF = bytes(1 if x in b"\t\r\n" or 0x20 <= x < 0x7F else 0 if x == 0 else 2 for x in range(256))
 #: What every finding needs, and base64 text of compressed data.
 _ENOUGH = re.compile(r"[\t\r\n\x20-\x7e]{12}")
 _PACKED = re.compile(r"H4sI|Qlpo|eJ[w-z]|eAE|eF4|eN[o-r]")
@@ -66,6 +78,16 @@ _OPEN = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-=\r\n
 Span = tuple[str, int, int]
 
 
+def _wide(raw: bytes) -> bool:
+    """Whether bytes may hold a finding in two bytes a character."""
+    made = raw.translate(_MADE_OF)
+    return b"\1\0" * 12 in made or b"\0\1" * 12 in made
+
+
+def _likely(raw: bytes) -> bool:
+    return b"\1" * 12 in raw.translate(_MADE_OF) or _wide(raw)
+
+
 def base_spans(text: str) -> list[Span]:
     """The base findings of one text, by start, then kind as listed."""
     out = []
@@ -82,87 +104,160 @@ def ordered(spans) -> list[Span]:
 
 
 class Layer:
-    """A text and, for each of its characters, the span of the original text; without starts and ends, one span for all."""
+    """A text and, for each of its characters, the span of the original text that it came from.
+
+    ``span``: one for all.  Else stretches in order: from place ``at[i]`` on, each character came from ``width[i]`` characters of
+    the original, the first of them at ``source[i]``.
+    """
 
-    __slots__ = ("ends", "span", "starts", "text")
+    __slots__ = ("at", "source", "span", "text", "width")
 
-    def __init__(self, text: str, starts=None, ends=None, span: tuple[int, int] | None = None):
-        assert span or len(text) == len(starts) == len(ends)
-        self.text, self.starts, self.ends, self.span = text, starts, ends, span
+    def __init__(self, text: str, at=(0,), source=(0,), width=(1,), span: tuple[int, int] | None = None):
+        self.text, self.at, self.source, self.width, self.span = text, at, source, width, span
+
+    def char(self, k: int) -> tuple[int, int]:
+        i = bisect_right(self.at, k) - 1
+        start = self.source[i] + (k - self.at[i]) * self.width[i]
+        return start, start + self.width[i]
 
     def mapped(self, start: int, end: int) -> tuple[int, int]:
-        if self.span:
-            return self.span
-        return self.starts[start], max(self.ends[start:end], default=self.starts[start]) if not isinstance(self.ends, range) else self.ends[end - 1]
+        return self.span or (self.char(start)[0], self.char(end - 1)[1])
 
     def place(self) -> tuple[int, int]:
-        return self.span or (self.starts[0] if self.starts else 0, self.ends[-1] if self.ends else 0)
-
-
-def _replace(layer: Layer, pattern: re.Pattern, decode) -> Layer | None:
-    """A layer with every match run replaced by what it stands for; characters outside keep their own spans."""
-    text, pieces, starts, ends, at, changed = layer.text, [], [], [], 0, False
-    matches = list(pattern.finditer(text))
-    k = 0
-    while k < len(matches):
-        j = k
-        while j + 1 < len(matches) and matches[j + 1].start() == matches[j].end():
-            j += 1
-        lo, hi = matches[k].start(), matches[j].end()
-        units = [text[m.start() : m.end()] for m in matches[k : j + 1]]
-        bounds = [m.start() for m in matches[k : j + 1]] + [hi]
-        pieces.append(text[at:lo])
-        if not layer.span:
-            starts.extend(layer.starts[at:lo])
-            ends.extend(layer.ends[at:lo])
-        for char, first, last in decode(units):
-            pieces.append(char)
-            if not layer.span:
-                a, b = layer.mapped(bounds[first], bounds[last])
-                starts.append(a)
-                ends.append(b)
-            changed = changed or char != text[bounds[first] : bounds[last]]
-        at, k = hi, j + 1
-    if not changed:
-        return None
-    pieces.append(text[at:])
-    if layer.span:
-        return Layer("".join(pieces), span=layer.span)
-    starts.extend(layer.starts[at:])
-    ends.extend(layer.ends[at:])
-    return Layer("".join(pieces), starts, ends)
-
-
-def _url_units(units: list[str]):
-    """Percent bytes as UTF-8: (character, first unit, end unit); bytes that are no UTF-8 stay as they are."""
-    raw, i = bytes(int(u[1:], 16) for u in units), 0
-    while i < len(raw):
-        n = 1 if raw[i] < 0x80 else 2 if raw[i] >> 5 == 6 else 3 if raw[i] >> 4 == 14 else 4 if raw[i] >> 3 == 30 else 0
-        try:
-            if n:
-                yield raw[i : i + n].decode(), i, i + n
-        except UnicodeDecodeError:
-            n = 0
-        if not n:
-            for c in units[i]:
-                yield c, i, i + 1
-        i += max(n, 1)
-
-
-def _escape_units(units: list[str]):
-    i = 0
-    while i < len(units):
-        u, n = units[i], 1
-        if u[0] == "&":
-            char = html.unescape(u)
+        return self.mapped(0, len(self.text)) if self.text else (0, 0)
+
+
+class _Copy:
+    """A layer in the making: stretches of another one, as they are or replaced."""
+
+    def __init__(self, layer: Layer):
+        self.layer, self.pieces, self.n, self.changed = layer, [], 0, False
+        self.at, self.source, self.width = array("q"), array("q"), array("q")
+
+    def _add(self, start: int, width: int, n: int) -> None:
+        """``n`` more characters, each of ``width`` of the original."""
+        at, source, widths = self.at, self.source, self.width
+        if not (at and widths[-1] == width and source[-1] + (self.n - at[-1]) * width == start):
+            at.append(self.n)
+            source.append(start)
+            widths.append(width)
+        self.n += n
+
+    def keep(self, lo: int, hi: int) -> None:
+        if lo >= hi:
+            return
+        own = self.layer
+        self.pieces.append(own.text[lo:hi])
+        i = 0 if own.span else bisect_right(own.at, lo) - 1
+        while not own.span and lo < hi:
+            end = min(hi, own.at[i + 1]) if i + 1 < len(own.at) else hi
+            self._add(own.source[i] + (lo - own.at[i]) * own.width[i], own.width[i], end - lo)
+            lo, i = end, i + 1
+
+    def put(self, char: str, lo: int, hi: int) -> None:
+        """One character instead of those of lo..hi."""
+        self.pieces.append(char)
+        self.changed = True
+        if not self.layer.span:
+            a, b = self.layer.mapped(lo, hi)
+            self._add(a, b - a, 1)
+
+    def done(self) -> Layer | None:
+        if not self.changed:
+            return None
+        text = "".join(self.pieces)
+        return Layer(text, span=self.layer.span) if self.layer.span else Layer(text, self.at, self.source, self.width)
+
+
+def _decode_urls(text: str, lo: int, hi: int, out: _Copy) -> None:
+    """Percent bytes as UTF-8; bytes that are no UTF-8 stay, but for the outermost sign of nested ones."""
+    held: list[tuple[int, int, int]] = []  # byte, start, end of units that may be one character
+
+    def settle(end: bool) -> None:
+        while held:
+            x = held[0][0]
+            n = 1 if x < 0x80 else 2 if x >> 5 == 6 else 3 if x >> 4 == 14 else 4 if x >> 3 == 30 else 0
+            if n > len(held) and not end and all(y >> 6 == 2 for y, _, _ in held[1:]):
+                return
+            try:
+                char = bytes(y for y, _, _ in held[:n]).decode() if 0 < n <= len(held) else ""
+            except UnicodeDecodeError:
+                char = ""
+            _, a, b = held[0]
+            if char:
+                out.put(char, a, held[n - 1][2])
+                del held[:n]
+                continue
+            if b - a > 3:
+                out.put("%", a, a + 3)
+                a += 3
+            out.keep(a, b)
+            del held[0]
+
+    at = lo
+    for m in URL.finditer(text, lo, hi):
+        if m.start() != at:
+            settle(True)
+            out.keep(at, m.start())
+        at = m.end()
+        held.append((int(text[at - 2 : at], 16), m.start(), at))
+        settle(False)
+    settle(True)
+    out.keep(at, hi)
+
+
+def _decode_escapes(text: str, lo: int, hi: int, out: _Copy) -> None:
+    """Unicode and character-entity escapes; those that stand for no character stay, but for the outermost sign of nested ones."""
+    at, high = lo, None  # high: (code, start, end) of a first surrogate
+
+    def literal(a: int, b: int, unit: str) -> None:
+        first = re.match(r"\\(?:u005[cC]|x5[cC])|&amp;", unit)
+        if first and first.end() < len(unit):
+            out.put(unit[0], a, a + first.end())
+            a += first.end()
+        out.keep(a, b)
+
+    for m in ESCAPE.finditer(text, lo, hi):
+        a, b, unit = m.start(), m.end(), m[0]
+        if high and (a != at or unit[1] != "u"):
+            literal(*high[1:])
+            high = None
+        out.keep(at, a)
+        at = b
+        if unit[0] == "&":
+            char = html.unescape("&" + unit[1:-1].rpartition(";")[2] + ";")
+            if len(char) == 1:
+                out.put(char, a, b)
+            else:
+                literal(a, b, unit)
+            continue
+        code = int(re.search(r"(?:u\{([0-9A-Fa-f]{1,6})\}|u([0-9A-Fa-f]{4})|U([0-9A-Fa-f]{8})|x([0-9A-Fa-f]{2}))\Z", unit)[0].strip("uUx{}"), 16)
+        if high and 0xDC00 <= code < 0xE000:
+            out.put(chr(0x10000 + ((high[0] - 0xD800) << 10) + (code - 0xDC00)), high[1], b)
+            high = None
+            continue
+        if high:
+            literal(*high[1:])
+            high = None
+        if 0xD800 <= code < 0xDC00:
+            high = (code, a, b, unit)
+        elif code < 0x110000 and not 0xDC00 <= code < 0xE000:
+            out.put(chr(code), a, b)
         else:
-            code = int(u.strip("\\uUx{}"), 16)
-            if 0xD800 <= code < 0xDC00 and i + 1 < len(units) and units[i + 1][:2] == "\\u" and 0xDC00 <= (low := int(units[i + 1].strip("\\u{}"), 16)) < 0xE000:
-                code, n = 0x10000 + ((code - 0xD800) << 10) + (low - 0xDC00), 2
-            char = chr(code) if code < 0x110000 and not 0xD800 <= code < 0xE000 else u
-        for c in char:
-            yield c, i, i + n
-        i += n
+            literal(a, b, unit)
+    if high:
+        literal(*high[1:])
+    out.keep(at, hi)
+
+
+def _unescaped(layer: Layer, sign: re.Pattern, decode: Callable[[str, int, int, _Copy], None]) -> Iterator[Layer]:
+    """The stretches of a layer that hold such escapes, unwrapped."""
+    for m in _STRETCH.finditer(layer.text):
+        if sign.search(layer.text, m.start(), m.end()):
+            made = _Copy(layer)
+            decode(layer.text, m.start(), m.end(), made)
+            if more := made.done():
+                yield more
 
 
 class _Plain(Exception):
@@ -282,7 +377,7 @@ def _views(parts: Callable[[], Iterator[bytes]], span: tuple[int, int]) -> Itera
         nonlocal wide
         tail = b""
         for p in parts():
-            wide = wide or _WIDE.search(tail + p) is not None
+            wide = wide or _wide(tail + p)
             tail = (tail + p)[-24:]
             yield p
 
@@ -307,7 +402,7 @@ def _decoded(run: str, lines: list[int] = ()) -> Iterator[tuple[int, bytes]]:
     for k in sorted(places):
         n = len(plain) - k
         raw = base64.b64decode(plain[k : len(plain) - (n % 4 == 1)] + "=" * (-n % 4 if n % 4 != 1 else 0))
-        if _opener(raw) or _LIKELY.search(raw):
+        if _opener(raw) or _likely(raw):
             yield k, raw
 
 
@@ -327,10 +422,10 @@ def _base64_layers(layer: Layer) -> Iterator[Layer]:
 
 def unwrap(layer: Layer) -> Iterator[Layer]:
     text = layer.text
-    if "%" in text and (more := _replace(layer, URL, _url_units)):
-        yield more
-    if ("\\" in text or "&" in text) and (more := _replace(layer, ESCAPE, _escape_units)):
-        yield more
+    if "%" in text:
+        yield from _unescaped(layer, URL, _decode_urls)
+    if "\\" in text or "&" in text:
+        yield from _unescaped(layer, ESCAPE, _decode_escapes)
     yield from _base64_layers(layer)
 
 
@@ -338,8 +433,8 @@ def scan(text: str) -> tuple[list[Span], list[Span]]:
     """(base spans, all spans) of a whole text."""
     base = base_spans(text)
     found = set(base)
-    seen = {hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=16).digest()}
-    work = [unwrap(Layer(text, range(len(text)), range(1, len(text) + 1)))]
+    seen: set[bytes] = set()
+    work = [unwrap(Layer(text))]
     while work:
         more = next(work[-1], None)
         if more is None:
