@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..sources.tables import record_version
 from .dedup import cut
+from .ordered import numbered, running_sum
 
 RESPONSE = "source_id string, url string, status int, version string, source_header string, etag string, last_modified string, content binary, retrieved_at timestamp, error string"
 RECORD = ("source_id", "url", "source_version", "sha256", "byte_size", "etag", "last_modified", "retrieved_at")
@@ -86,21 +87,6 @@ def discovered(found: DataFrame, excluded: Column, limit: int, category: str = "
     return best.drop("_turn").orderBy(F.lower(title), page)
 
 
-def running_sum(rows: DataFrame, by: str, order: list[str], value: str, name: str = "total") -> DataFrame:
-    """rows with the running sum of ``value`` in each group, in order.
-
-    Rows are dealt by range of (group, order), so a group of any size is spread over tasks: each task sums its own stretch, and the
-    sums of the stretches before it, one row a task and group, are added.
-    """
-    dealt = cut(rows.repartitionByRange(by, *order).withColumn("_part", F.spark_partition_id()))
-    sums = dealt.groupBy(by, "_part").agg(F.sum(value).alias("_sum"))
-    before = F.coalesce(F.sum("_sum").over(Window.partitionBy(by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    offsets = sums.select(F.col(by).alias("_by"), F.col("_part").alias("_p"), before.alias("_before"))
-    own = F.sum(value).over(Window.partitionBy(by, "_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
-    out = dealt.withColumn("_own", own).join(offsets, F.col(by).eqNullSafe(F.col("_by")) & (F.col("_part") == F.col("_p")))
-    return out.withColumn(name, F.col("_own") + F.col("_before")).drop("_part", "_own", "_by", "_p", "_before")
-
-
 def capped(rows: DataFrame, by: str, order: list[str], size: str, cap: int) -> DataFrame:
     """The rows of each group up to a total size."""
     return running_sum(rows, by, order, size).filter(F.col("total") <= cap)
@@ -108,8 +94,7 @@ def capped(rows: DataFrame, by: str, order: list[str], size: str, cap: int) -> D
 
 def batched(rows: DataFrame, order: list[str], size: int) -> DataFrame:
     """rows with ``batch``: runs of ``size`` rows in order, from 0."""
-    numbered = running_sum(rows.withColumn("_all", F.lit(0)).withColumn("_one", F.lit(1)), "_all", order, "_one", "_n")
-    return numbered.withColumn("batch", F.floor((F.col("_n") - 1) / size).cast("long")).drop("_all", "_one", "_n")
+    return numbered(rows, [], order, "_n").withColumn("batch", F.floor((F.col("_n") - 1) / size).cast("long")).drop("_n")
 
 
 def content_path(sha256: Column) -> Column:

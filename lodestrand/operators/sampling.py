@@ -7,6 +7,9 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..session import small
+from .ordered import numbered
+
 # The shares of question types, languages and answerability.
 TYPE_WEIGHTS = (("factual", 0.40), ("definition", 0.30), ("list_table", 0.15), ("comparison", 0.10), ("temporal", 0.05))
 LANGUAGES = ("en", "tr")
@@ -72,10 +75,10 @@ def quota_table(spark: SparkSession, target: int) -> DataFrame:
 
 
 def quota_select(valid: DataFrame, quotas: DataFrame, strata: list[str], order: list[str]) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(selected, overflow, deficits): the first ``count`` rows of each stratum in order.  Strata are disjoint, so one window does."""
-    ranked = valid.withColumn("_rn", F.row_number().over(Window.partitionBy(*strata).orderBy(*order)))
+    """(selected, overflow, deficits): the first ``count`` rows of each stratum in order.  Strata are disjoint, so numbering them does."""
+    ranked = numbered(valid, strata, order, "_rn")
     limits = quotas.select(*(F.col(c).alias(f"_q_{c}") for c in strata), F.col("count").alias("_q"))
-    joined = ranked.join(F.broadcast(limits), [F.col(c).eqNullSafe(F.col(f"_q_{c}")) for c in strata], "left")
+    joined = ranked.join(small(limits), [F.col(c).eqNullSafe(F.col(f"_q_{c}")) for c in strata], "left")
     held = joined.select(*valid.columns, (F.col("_rn") <= F.coalesce("_q", F.lit(0))).alias("_in"))
     counts = valid.groupBy(*strata).agg(F.count(F.lit(1)).alias("_n"))
     short = quotas.join(counts, [quotas[c].eqNullSafe(counts[c]) for c in strata], "left")
@@ -93,10 +96,11 @@ def sample_per_stratum(rows: DataFrame, strata: list[str], key: str, rate: float
     """At least one and ceil(n * rate) rows of every stratum, by hash order."""
     if not 0 < rate <= 1:
         raise ValueError("rate must be in (0, 1]")
-    n = F.count(F.lit(1)).over(Window.partitionBy(*strata))
-    rank = F.row_number().over(Window.partitionBy(*strata).orderBy(by_hash(prefix, key), key))
-    want = F.least(F.col("_n"), F.greatest(F.lit(1), F.ceil(F.col("_n") * rate)))
-    return rows.withColumn("_n", n).withColumn("_rank", rank).filter(F.col("_rank") <= want).drop("_n", "_rank")
+    sizes = rows.groupBy(*strata).agg(F.count(F.lit(1)).alias("_n"))  # one row a stratum
+    ranked = numbered(rows.withColumn("_hash", by_hash(prefix, key)), strata, ["_hash", key], "_rank")
+    want = F.greatest(F.lit(1), F.ceil(F.col("_n") * rate))
+    both = ranked.join(small(sizes), [ranked[c].eqNullSafe(sizes[c]) for c in strata])
+    return both.filter(F.col("_rank") <= want).select(*(ranked[c] for c in rows.columns))
 
 
 def review_sample(rows: DataFrame, strata: list[str], key: str, rate: float, slots: tuple[str, ...] = ("A", "B"), prefix: str = "review:") -> DataFrame:
@@ -109,8 +113,8 @@ def review_sample(rows: DataFrame, strata: list[str], key: str, rate: float, slo
     sizes = sizes.withColumn("_floor", F.floor(exact)).withColumn("_spare", total - F.sum(F.floor(exact)).over(Window.partitionBy(F.lit(0))))
     place = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(F.desc(exact - F.floor(exact)), *(F.asc_nulls_first(c) for c in strata)))
     sizes = sizes.withColumn("_take", F.col("_floor") + F.when(place <= F.col("_spare"), 1).otherwise(0)).select(*strata, "_take")
-    ranked = rows.withColumn("_rank", F.row_number().over(Window.partitionBy(*strata).orderBy(by_hash(prefix, key), key)))
-    both = ranked.join(sizes, [ranked[c].eqNullSafe(sizes[c]) for c in strata]).filter("_rank <= _take").select(*(ranked[c] for c in rows.columns))
+    ranked = numbered(rows.withColumn("_hash", by_hash(prefix, key)), strata, ["_hash", key], "_rank")
+    both = ranked.join(small(sizes), [ranked[c].eqNullSafe(sizes[c]) for c in strata]).filter("_rank <= _take").select(*(ranked[c] for c in rows.columns))
     return both.withColumn("reviewer_slot", F.explode(F.array(*map(F.lit, slots))))
 
 

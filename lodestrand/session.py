@@ -8,6 +8,7 @@ import zipfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _HERE = Path(__file__).resolve().parent
 
@@ -43,3 +44,8 @@ def spread(df: DataFrame) -> DataFrame:
     one task reads); larger tables stay as they are read, without a shuffle."""
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df._jdf.queryExecution().toRdd().getNumPartitions() < cores else df
+
+
+def small(df: DataFrame, rows: int = 50_000) -> DataFrame:
+    """The rows with a broadcast hint if they are few, by a count that stops there; else as they are."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
