@@ -2,15 +2,18 @@
 
 A text's statistics (rates of symbols, cases, repeats, word lengths ...) are standardised and mapped by random Fourier
 features, whose products approximate a Gaussian kernel.  Each partition of the training rows sums its normal equations
-and sends one small matrix; the sums are added up in two levels, solved by ridge regression, and the raw scores
-calibrated to probabilities by pool-adjacent-violators on counts of binned scores.  Only matrices whose size depends
-on the number of features, and bounded bins, reach the driver; the corpus is read twice and never shuffled as text.
+and sends a small matrix for each fold; the sums are added up in two levels and solved by ridge regression, once for all folds and
+once without each.  The raw scores are calibrated to probabilities by pool-adjacent-violators on counts of binned scores; a
+row's score there is by the weights that were fitted without its fold, so that no row calibrates what it was fitted on.  Only
+matrices whose size depends on the number of features, and bounded bins, reach the driver; the corpus is read once, its
+statistics are written, and no text is shuffled.
 
 Labels are read from the training rows only, and ``labels``, ``lang``, ``source`` and ``doc_id`` are no inputs.
 
-Defined results: a null text is empty; an empty text has statistics (all zero) and so a score; a document with several
-labels counts each; without any training label every score is 0.5; rows that repeat a doc_id are scored each; an empty
-table gives no row; other columns are ignored.
+Defined results: a null text is empty; an empty text has statistics (all zero) and so a score; texts of any length are read whole; a
+document with several labels counts each; labels other than 0 and 1 and labels without a doc_id are no labels; without any
+training label every score is 0.5; rows without a doc_id are scored and not held out; rows that repeat a doc_id are scored each;
+an empty table gives no row; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -29,6 +32,8 @@ from ._words import chunks
 
 #: Features, kernel width (in standard deviations of a statistic, times the root of their number), ridge, score bins.
 FEATURES, WIDTH, RIDGE, BINS, SEED = 192, 1.0, 1e-3, 1000, 7
+#: Parts of the training rows; each is calibrated with weights fitted on the others.
+PARTS = 3
 #: At most this many labelled documents train the model (a hash of doc_id draws them).
 TRAIN_ROWS = 2_000_000
 _SYMBOLS = b"#*$%&|<>{}[]()=+@^~\\/_"
@@ -105,6 +110,18 @@ def isotonic(x: np.ndarray, good: np.ndarray, total: np.ndarray) -> tuple[np.nda
     return np.array([b[0] / b[2] for b in blocks]), np.array([b[1] / b[2] for b in blocks])
 
 
+def normal_sums(design: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """What ridge regression needs of some rows, one after another: the weighted Gram matrix, the moment and the number of rows."""
+    held = (design * weight[:, None]).T
+    return np.concatenate([(held @ design).ravel(), held @ y, [len(y)]])
+
+
+def ridge(sums: np.ndarray, k: int, strength: float) -> np.ndarray:
+    """Weights by the sums of ``normal_sums`` over all rows; the last feature, the constant, is not shrunk."""
+    gram, moment, n = sums[: k * k].reshape(k, k), sums[k * k : -1], sums[-1]
+    return np.linalg.solve(gram + strength * n * np.diag([*np.ones(k - 1), 1e-9]), moment)
+
+
 def _rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
     for batch in batches:
         for b in chunks(batch, size=1 << 22):
@@ -140,18 +157,19 @@ def _summed(rows: DataFrame, function, groups: int = 16) -> np.ndarray | None:
 
 def fit(stats: DataFrame, labels: DataFrame, held_out: int = 2, folds: int = 4, train_rows: int = TRAIN_ROWS) -> Model:
     """Learn from the labelled rows whose crc32(doc_id) mod ``folds`` is not ``held_out``; stats: ``document_stats``."""
-    own = labels.filter("quality is not null and doc_id is not null").select("doc_id", F.col("quality").cast("double").alias("y"))
+    own = labels.filter("quality in (0, 1) and doc_id is not null").select("doc_id", F.col("quality").cast("double").alias("y"))
     own = own.filter(F.crc32(F.col("doc_id").cast("string")) % folds != held_out)
     n = own.count()
     if n > train_rows:
         own = own.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(1_000_000 * train_rows / n))
-    stats = _store.materialize(stats.join(own, "doc_id").select("y", "stats"), "train-stats")
+    part = F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(PARTS)).cast("int")
+    stats = _store.materialize(stats.join(own, "doc_id").select("y", "stats", part.alias("part")), "train-stats")
 
-    def matrix(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-        return np.array(b.column("stats").to_pylist(), np.float64).reshape(-1, N_STATS), b.column("y").to_numpy(zero_copy_only=False)
+    def matrix(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        return np.array(b.column("stats").to_pylist(), np.float64).reshape(-1, N_STATS), b.column("y").to_numpy(zero_copy_only=False), b.column("part").to_numpy(zero_copy_only=False)
 
     def moments(b: pa.RecordBatch) -> np.ndarray:
-        x, y = matrix(b)
+        x, y, _ = matrix(b)
         return np.concatenate([x.sum(0), (x * x).sum(0), [len(x), y.sum()]])
 
     m = _summed(stats, moments)
@@ -164,17 +182,18 @@ def fit(stats: DataFrame, labels: DataFrame, held_out: int = 2, folds: int = 4,
     balance = np.array([0.5 / max(1 - share, 1e-9), 0.5 / max(share, 1e-9)])  # either class weighs one half
 
     def normal(b: pa.RecordBatch) -> np.ndarray:
-        x, y = matrix(b)
-        a, w = model.design(x), balance[y.astype(int)]
-        return np.concatenate([((a * w[:, None]).T @ a).ravel(), (a * w[:, None]).T @ y])
+        x, y, parts = matrix(b)
+        design, weight = model.design(x), balance[y.astype(int)]
+        return np.concatenate([normal_sums(design[parts == p], y[parts == p], weight[parts == p]) for p in range(PARTS)])
 
-    s = _summed(stats, normal)
-    gram, moment = s[: k * k].reshape(k, k), s[k * k :]
-    model.weights = np.linalg.solve(gram + RIDGE * m[-2] * np.diag([*np.ones(k - 1), 1e-9]), moment)
+    sums = _summed(stats, normal).reshape(PARTS, -1)
+    model.weights = ridge(sums.sum(0), k, RIDGE)
+    without = [ridge(sums.sum(0) - own_part, k, RIDGE) if (sums.sum(0) - own_part)[-1] else model.weights for own_part in sums]
 
     def bins(b: pa.RecordBatch) -> np.ndarray:
-        x, y = matrix(b)
-        at = np.clip(np.floor((model.raw(x) + 1) / 3 * BINS), 0, BINS - 1).astype(int)
+        x, y, parts = matrix(b)
+        raw = np.einsum("ij,ij->i", model.design(x), np.array(without)[parts])
+        at = np.clip(np.floor((raw + 1) / 3 * BINS), 0, BINS - 1).astype(int)
         return np.concatenate([np.bincount(at, minlength=BINS), np.bincount(at, y, minlength=BINS)]).astype(np.float64)
 
     h = _summed(stats, bins)

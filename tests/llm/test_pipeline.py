@@ -1,3 +1,7 @@
+import random
+from itertools import combinations
+
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -110,5 +114,46 @@ def test_scores_have_no_leak_and_no_gap(spark, docs, clashing, empty):
     assert one == two
 
 
+def test_features_approximate_a_gaussian_kernel():
+    rng = np.random.default_rng(1)
+    model = classifier.Model(np.zeros(classifier.N_STATS), np.ones(classifier.N_STATS), features=20_000)
+    x = rng.standard_normal((12, classifier.N_STATS))
+    waves = model.design(x)[:, :20_000]
+    for i, j in combinations(range(12), 2):
+        exact = np.exp(-((x[i] - x[j]) ** 2).sum() / (2 * classifier.WIDTH**2 * classifier.N_STATS))
+        assert abs(waves[i] @ waves[j] - exact) < 0.04
+
+
+def test_normal_equations_equal_brute_force():
+    rng = np.random.default_rng(2)
+    x, y, w = rng.standard_normal((300, 9)), rng.integers(0, 2, 300).astype(float), rng.uniform(0.5, 2, 300)
+    x[:, -1] = 1
+    parts = [classifier.normal_sums(x[a:b], y[a:b], w[a:b]) for a, b in ((0, 10), (10, 10), (10, 200), (200, 300))]
+    got, shrink = classifier.ridge(sum(parts), 9, 0.01), np.sqrt(0.01 * 300) * np.diag([1.0] * 8 + [np.sqrt(1e-9)])
+    root = np.sqrt(w)[:, None]
+    want = np.linalg.lstsq(np.vstack([x * root, shrink]), np.r_[y * root[:, 0], np.zeros(9)], rcond=None)[0]
+    assert np.allclose(got, want)
+
+
+def test_isotonic_equals_brute_force():
+    rng = random.Random(3)
+    for _ in range(60):
+        n = rng.randint(1, 9)
+        total = np.array([rng.randint(1, 6) for _ in range(n)], float)
+        good = np.array([rng.randint(0, int(t)) for t in total], float)
+        x = np.arange(n, dtype=float)
+        edges, values = classifier.isotonic(x, good, total)
+        rate = lambda a, b: good[a : b + 1].sum() / total[a : b + 1].sum()
+        want = [max(min(rate(a, b) for b in range(i, n)) for a in range(i + 1)) for i in range(n)]  # the max-min formula
+        assert np.allclose(sorted(set(np.round(want, 12))), sorted(set(np.round(values, 12)))) and (np.diff(edges) > 0).all()
+
+
+def test_other_labels_are_none(spark, docs):
+    labels = spark.createDataFrame([(i, int(i < 12)) for i in range(19)], "doc_id long, quality int")
+    odd = labels.union(spark.createDataFrame([(1, 2), (2, -1), (3, None), (None, 1)], labels.schema))
+    one, two = (sorted((r.doc_id or -1, r.score) for r in classifier.quality_scores(docs, x).collect()) for x in (labels, odd))
+    assert one == two
+
+
 def test_modules_are_whole():
     assert near_text.SIMILARITY == 0.8 and near_text.K == 5 and substrings.WINDOW == 20 and corpus_pipeline.ORACLE_SQL is None
