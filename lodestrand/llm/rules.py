@@ -9,8 +9,9 @@ A stratum with too few labels gets no cutoff, and so no rejections beyond the ba
 The alpha of a stratum is shared by its rules, so that all rules together falsely reject at most ``alpha`` of its good
 documents, with confidence 1 - ``delta`` over all strata at once.
 
-Defined results: a null text has no words; null strata are one stratum; a document with several labels counts as good if
-any of them is; rows that repeat a doc_id are judged each; an empty table gives no row; other columns are ignored.
+Defined results: a null text has no words; texts of any length are counted whole, each as one row; null strata are one stratum; a
+document with several labels counts as good if any of them is; rows without a doc_id have no label and are judged; rows that
+repeat a doc_id are judged each; an empty table gives no row; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -35,20 +36,23 @@ GRID = {
 def _repeat_words(words: Column) -> Column:
     """Words inside ``WINDOW``-word windows whose words occur in two or more windows.
 
-    Windows are compared by a 64-bit hash of their words' hashes.  Most texts have no repeat, which a set of the hashes
-    tells; the others sort (hash, place) pairs, keep the places of equal neighbours and add up the covered words.
+    A set of hashes of the windows tells for most texts that there is no repeat.  The others sort (hash, second hash of the words
+    themselves, place), keep the places whose neighbours agree in both, 128 bits, and add up the covered words.
     """
     hashes = F.transform(words, lambda w: F.xxhash64(w))
     n = F.size(words)
     places = F.when(n >= WINDOW, F.sequence(F.lit(1), n - (WINDOW - 1))).otherwise(F.expr("cast(array() as array<int>)"))
 
     def covered(pairs: Column) -> Column:
-        equal = F.filter(pairs, lambda p, i: (F.get(pairs, i - 1)["h"] == p["h"]) | (F.get(pairs, i + 1)["h"] == p["h"]))
+        def same(p: Column, q: Column) -> Column:
+            return (p["h"] == q["h"]) & (p["g"] == q["g"])
+
+        equal = F.filter(pairs, lambda p, i: F.coalesce(same(F.get(pairs, i - 1), p), F.lit(False)) | F.coalesce(same(F.get(pairs, i + 1), p), F.lit(False)))
         at = F.sort_array(F.transform(equal, lambda p: p["i"]))
         return F.aggregate(at, F.struct(F.lit(0).cast("long").alias("sum"), F.lit(-WINDOW).alias("last")), lambda acc, i: F.struct((acc["sum"] + F.least(F.lit(WINDOW), i - acc["last"])).alias("sum"), i.alias("last")), lambda acc: acc["sum"])
 
     def of(wins: Column) -> Column:
-        pairs = F.sort_array(F.transform(wins, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+        pairs = F.sort_array(F.transform(wins, lambda h, i: F.struct(h.alias("h"), F.xxhash64(F.lit(7), F.slice(words, i + 1, WINDOW)).alias("g"), i.alias("i"))))
         return F.when(F.size(F.array_distinct(wins)) == F.size(wins), F.lit(0).cast("long")).otherwise(_let(pairs, covered))
 
     return _let(hashes, lambda hs: _let(F.transform(places, lambda i: F.xxhash64(F.slice(hs, i, WINDOW))), of))
@@ -86,20 +90,37 @@ def _scores() -> Column:
     return F.map_from_arrays(F.array(*map(F.lit, GRID)), F.array(*(F.expr(f"double({e})") for e, _ in GRID.values())))
 
 
+def _log_gamma(x: Column) -> Column:
+    """log of the gamma function from 1 on, to about twelve places: Stirling's series eight above, and back."""
+    import math
+
+    z = x + 8
+    series = 1 / (12 * z) - 1 / (360 * z * z * z) + 1 / (1260 * z * z * z * z * z) - 1 / (1680 * z * z * z * z * z * z * z)
+    back = F.log(x * (x + 1) * (x + 2) * (x + 3)) + F.log((x + 4) * (x + 5) * (x + 6) * (x + 7))
+    return (z - 0.5) * F.log(z) - z + F.lit(0.5 * math.log(2 * math.pi)) + series - back
+
+
 def _log_tail(k: Column, n: Column, rate: float) -> Column:
-    """log P(X <= k) for X ~ Binomial(n, rate), summed from the largest term's scale down so that nothing underflows."""
+    """log P(X <= k) for X ~ Binomial(n, rate).
+
+    The terms are summed from k down, relative to the first; up to the mean that is the largest.  They fall off as a normal density does, so those
+    more than 40 standard deviations away cannot show in a double: their number grows with the root of n only.
+    """
     import math
 
-    odds, log_q = math.log(rate) - math.log1p(-rate), math.log1p(-rate)
-    first = n.cast("double") * F.lit(log_q)
+    n, k = n.cast("double"), k.cast("double")
+    top = _log_gamma(n + 1) - _log_gamma(k + 1) - _log_gamma(n - k + 1) + k * F.lit(math.log(rate)) + (n - k) * F.lit(math.log1p(-rate))
+    odds = F.lit(math.log1p(-rate) - math.log(rate))
 
     def step(acc: Column, j: Column) -> Column:
-        term = acc["term"] + F.log(n - j + 1) - F.log(j.cast("double")) + F.lit(odds)
+        term = acc["term"] + F.log(j / (n - j + 1)) + odds
         high, low = F.greatest(acc["sum"], term), F.least(acc["sum"], term)
         return F.struct(term.alias("term"), (high + F.log1p(F.exp(low - high))).alias("sum"))
 
-    js = F.when(k >= 1, F.sequence(F.lit(1).cast("long"), k)).otherwise(F.expr("cast(array() as array<bigint>)"))
-    return F.aggregate(js, F.struct(first.alias("term"), first.alias("sum")), step, lambda acc: acc["sum"])
+    steps = F.least(k, F.ceil(40 * F.sqrt(n * rate) + F.greatest(k - n * rate, F.lit(0.0))) + 40).cast("long")
+    js = F.when(k >= 1, F.transform(F.sequence(F.lit(0).cast("long"), F.greatest(steps - 1, F.lit(0))), lambda i: k - i)).otherwise(F.expr("cast(array() as array<double>)"))
+    zero = F.lit(0.0)
+    return top + F.aggregate(js, F.struct(zero.alias("term"), zero.alias("sum")), step, lambda acc: acc["sum"])
 
 
 def cutoffs(stats: DataFrame, labels: DataFrame, stratum: str, alpha: float = 0.02, delta: float = 0.05) -> DataFrame:
