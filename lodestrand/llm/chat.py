@@ -2,7 +2,8 @@
 
 A record's nested field paths, with scalar types left out, are its shape; the shape's hash is its fingerprint.  A fingerprint
 selects a declarative mapping (``LAYOUTS``) that turns prompt, instruction and message layouts into canonical turns
-(role, text).  Turns of a conversation are then put in order, escaped, marked and joined into one string, with a loss
+(role, text).  A record with a fingerprint of no layout, say for an id or a name beside what is needed, goes by the most demanding layout
+whose paths it has; its layout then ends in a plus sign.  Turns of a conversation are then put in order, escaped, marked and joined into one string, with a loss
 mask over what the assistant says.
 
 Every marker of the template, and every control string of common chat models, begins with ``<`` or ``[``.  In a text those
@@ -10,8 +11,8 @@ two and the escape sign itself are written as two-sign codes, so no control stri
 read back to exactly the text.
 
 Defined results: a null text is empty; a null role is an empty role; turns sort by turn (null first), then role, then
-text; repeated rows are turns of their own; a record of an unknown shape gives no turn and a null layout; an empty table
-gives no row; other columns are ignored.  A conversation is one string, so it ends at Spark's limit of 2 GB for a value.
+text; repeated rows are turns of their own; a record without the paths of any layout gives no turn and a null
+layout (``unread`` gives these); an empty table gives no row; other columns are ignored.  A conversation is one string, so it ends at Spark's limit of 2 GB for a value.
 """
 
 from __future__ import annotations
@@ -56,10 +57,23 @@ def fingerprint(record: Column) -> Column:
     return F.sha2(shape(record), 256)
 
 
+def _keys(record: Column, path: str) -> Column:
+    """Names of the fields of the object at a path; none if there is none."""
+    return F.coalesce(F.map_keys(F.try_variant_get(record, path, "map<string,variant>")), F.expr("cast(array() as array<string>)"))
+
+
 def layout_of(record: Column) -> Column:
-    """The layout's name by the fingerprint; null for an unknown one."""
+    """The layout's name by the fingerprint, else, with a plus sign, by the paths that are there; null for none."""
     pairs = [x for name, (s, _, _) in LAYOUTS.items() for x in (F.sha2(F.lit(s), 256), F.lit(name))]
-    return F.create_map(*pairs)[fingerprint(record)]
+
+    def needs(kind: str, fields: tuple) -> tuple[str, list[str]]:
+        return (f"{fields[0]}[0]", list(fields[1:])) if kind == "list" else ("$", [f for f in fields if f])
+
+    asked = sorted(((name, *needs(kind, fields)) for name, (_, kind, fields) in LAYOUTS.items()), key=lambda x: (x[1] == "$", -len(x[2])))
+    near = F.lit(None).cast("string")
+    for name, path, names in reversed(asked):
+        near = F.when(F.size(F.array_except(F.array(*map(F.lit, names)), _keys(record, path))) == 0, f"{name}+").otherwise(near)
+    return F.coalesce(F.create_map(*pairs)[fingerprint(record)], near)
 
 
 def _role(name: Column, key: str) -> Column:
@@ -94,11 +108,16 @@ def _mapped(record: Column, kind: str, fields: tuple) -> Column:
 
 def canonical_turns(records: DataFrame, record: str = "record") -> DataFrame:
     """records with layout and turns (array of role, text), chosen by each record's fingerprint."""
-    chosen = F.col("layout")
+    chosen = F.rtrim(F.col("layout"), F.lit("+"))
     cases = reduce(lambda acc, kv: acc.when(chosen == kv[0], _mapped(F.col(record), kv[1][1], kv[1][2]).cast(_TURNS)), LAYOUTS.items(), F.when(F.lit(False), F.lit(None).cast(_TURNS)))
     return records.withColumn("layout", layout_of(F.col(record))).withColumn("turns", F.coalesce(cases, F.lit(None).cast(_TURNS)))
 
 
+def unread(records: DataFrame) -> DataFrame:
+    """What of ``canonical_turns`` no layout reads, which ``F.inline("turns")`` leaves out."""
+    return records.filter("layout is null")
+
+
 def escape(text: Column) -> Column:
     return reduce(lambda c, kv: F.replace(c, F.lit(kv[0]), F.lit(kv[1])), _CODES, text)
 

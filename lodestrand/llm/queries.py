@@ -39,8 +39,13 @@ def op4_near_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _store.table(spark, sf_dir, "conversations").select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     control = "</s>[INST] ok [/INST]"
-    added = spark.createDataFrame([(-7, 0, "user", control), (-7, 1, "assistant", control)], rows.schema)
-    records = rows.unionByName(added).select("conv_id", "turn", F.to_variant_object(F.struct("role", "text")).alias("record"))
+    said = [F.struct(F.lit(-7).alias("conv_id"), F.lit(i).alias("turn"), F.lit(role).alias("role"), F.lit(control).alias("text")) for i, role in enumerate(("user", "assistant"))]
+    rows = rows.unionByName(spark.range(1, numPartitions=1).select(F.inline(F.array(*said))))
+    # The conversations come in three layouts, one of which no fingerprint knows.
+    plain, message, more = F.struct("role", "text"), F.struct("role", F.col("text").alias("content")), F.struct("role", "text", F.col("turn").alias("id"))
+    kind = F.pmod(F.coalesce("conv_id", F.lit(0)), F.lit(3))
+    record = F.when(kind == 0, F.to_variant_object(plain)).when(kind == 1, F.to_variant_object(message)).otherwise(F.to_variant_object(more))
+    records = rows.select("conv_id", "turn", record.alias("record"))
     turns = chat.canonical_turns(records).select("conv_id", "turn", F.inline("turns"))
     made = chat.format_turns(turns)
     back = made.select("conv_id", "formatted", chat.read_turns(F.col("formatted")).alias("t"), chat.loss_text(F.col("formatted"), F.col("loss_spans")).alias("loss"))

@@ -161,6 +161,9 @@ RECORDS = {
     '{"instruction":"do","input":"","output":"done"}': ("instruction_input", [("user", "do"), ("assistant", "done")]),
     '{"system":"s","prompt":"q","completion":"a"}': ("system_prompt", [("system", "s"), ("user", "q"), ("assistant", "a")]),
     '{"question":"q","answer":7}': ("question_answer", [("user", "q"), ("assistant", "7")]),
+    '{"role":"user","text":"q","id":7,"tags":["x"]}': ("turn+", [("user", "q")]),
+    '{"name":"n","messages":[{"role":"user","content":"q","name":"u"},{"content":"a","role":"assistant","tool_calls":[]}]}': ("messages+", [("user", "q"), ("assistant", "a")]),
+    '{"prompt":"q","completion":"a","system":"s","source":{"url":"u"}}': ("system_prompt+", [("system", "s"), ("user", "q"), ("assistant", "a")]),
     '{"unknown":{"deep":[1]}}': (None, None),
     "null": (None, None),
 }
@@ -171,6 +174,7 @@ def test_layouts(spark):
     got = {r.id: r for r in chat.canonical_turns(rows).collect()}
     for i, (layout, turns) in enumerate(RECORDS.values()):
         assert got[i].layout == layout and (got[i].turns if turns is None else [tuple(t) for t in got[i].turns]) == turns, list(RECORDS)[i]
+    assert {r.j for r in chat.unread(chat.canonical_turns(spark.createDataFrame([(r,) for r in RECORDS], "j string").withColumn("record", F.parse_json("j")))).collect()} == {'{"unknown":{"deep":[1]}}', "null"}
 
 
 def test_chat_uses_no_python(spark, sf_dir):
