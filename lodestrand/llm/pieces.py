@@ -15,7 +15,8 @@ Words are kept in bounded memos.
 Ties are broken by the order of search, which depends on the text alone.
 
 Defined results: a null text is empty; an empty or white text has one segmentation, without pieces; texts of any length are encoded
-whole; repeated rows are encoded each; an empty table gives no row; other columns are ignored.
+whole; repeated rows and rows without a doc_id are encoded each; an empty table gives no row; other columns are ignored, whatever
+their names.
 """
 
 from __future__ import annotations
@@ -32,6 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from . import _store
+from ._words import chunks
 
 MARK = "▁"
 #: Words kept by a worker, and how far below the worst piece an uncovered character scores.
@@ -283,7 +285,7 @@ def encode_pieces(docs: DataFrame, model: str, n_best: int = 5, with_ids: bool =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice, _ = _get(model, n_best)
-        for b in batches:
+        for b in (c for batch in batches for c in chunks(batch, size=1 << 22)):
             rows = []
             for doc_id, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), strict=True):
                 scores, packed, same = lattice.segment(text)
