@@ -12,11 +12,15 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import spread
+
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by the session; a temporary one of our own only where the session names none (tests)."""
+    """The folder named by the session; a local session that names none (tests) gets a temporary one."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         found = "file://" + tempfile.mkdtemp(prefix="lodestrand-")
         spark.conf.set("spark.checkpoint.dir", found)
         spark.sparkContext.setCheckpointDir(found)
@@ -37,17 +41,19 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     return back
 
 
-def discard(df: DataFrame) -> None:
-    """Remove a table of ``materialize`` that no later plan reads."""
-    path = getattr(df, "_shared_path", None)
-    if path:
+def discard(*tables: DataFrame) -> None:
+    """Remove tables of ``materialize`` that no later plan reads."""
+    for df in tables:
+        path = getattr(df, "_shared_path", None)
+        if not path:
+            continue
         jvm, sc = df.sparkSession._jvm, df.sparkSession._jsc.sc()
         p = jvm.org.apache.hadoop.fs.Path(path)
         p.getFileSystem(sc.hadoopConfiguration()).delete(p, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def id_text(docs: DataFrame, *more: str) -> DataFrame:

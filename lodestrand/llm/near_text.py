@@ -305,6 +305,7 @@ def classes(docs: DataFrame, k: int = K, bands: int = BANDS, rows: int = ROWS, s
             seen = seen.unionByName(checked)
             if checked.filter("linked").limit(1).count():
                 label = _linked(seen.filter("linked"))
+    _store.discard(texts, table, rest)
     rows_ = _labelled(made.select("doc_id", "key"), label)
     least = rows_.groupBy("component").agg(F.min("doc_id").alias("class_id"), F.min(F.struct("doc_id", "key")).alias("_first"))
     out = rows_.join(least, "component")
