@@ -1,10 +1,12 @@
 """A corpus through the training-data operators: classify, remove near copies, remove repeated passages, redact, pack.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes each result as Parquet in the shared folder and
-reads it again as the next stage's documents.  All stages but the last return the columns of ``documents``.
+reads it again as the next stage's documents; the one before is removed then.  All stages but the last return the columns of ``documents``.
 
-Defined results: a null text is empty for every decision; rows that repeat a doc_id are separate documents, but rows that
-repeat doc_id and text are one from the near-duplicate stage on; a document whose every word is a repeat goes with them.
+Defined results: a null text is empty for every decision; texts of any length are taken whole; rows without a doc_id are documents, before
+all others in order; rows that repeat a doc_id are separate documents, but rows that repeat doc_id and text are one from
+the near-duplicate stage on; a document whose every word is a repeat goes with them; ties between near copies fall to the least
+doc_id; an empty table gives no row; further columns of documents pass through, whatever their names, as far as the last stage.
 """
 
 from __future__ import annotations
@@ -73,5 +75,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _store.table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = _store.materialize(stage(spark, docs, sf_dir), name)
+        after = _store.materialize(stage(spark, docs, sf_dir), name)
+        _store.discard(docs)
+        docs = after
     return docs.drop("ids")
