@@ -1,5 +1,6 @@
 import io
 import zipfile
+from decimal import Decimal
 
 import duckdb
 import pytest
@@ -142,7 +143,7 @@ def duck(sf_dir):
 
 def in_order(columns, rows):
     at = sorted(range(len(columns)), key=columns.__getitem__)
-    return sorted(columns), sorted(tuple(f"{v:.6g}" if isinstance(v, float) else str(v) for v in (r[i] for i in at)) for r in rows)
+    return sorted(columns), sorted(tuple(f"{float(v):.6g}" if isinstance(v, (float, Decimal)) else str(v) for v in (r[i] for i in at)) for r in rows)
 
 
 @pytest.mark.parametrize("name", sorted(k for k, f in entry.queries().items() if f.__module__.startswith("lodestrand.plans") and k in entry.oracle_sql()))
