@@ -1,7 +1,7 @@
 from hashlib import sha256
 
-import __spark_entry__ as entry
-from lodestrand.operators import records
+from lodestrand.operators import passages, records
+from lodestrand.plans import catalog
 from lodestrand.sources import extract, tables
 
 
@@ -27,4 +27,5 @@ def test_small_helpers(spark, sf_dir):
     assert extract.table_records([["a", "", "a"], ["1"], ["2", "3", "4", "5"]]) == [{"a": "1", "column_2": "", "a_2": "", "column_4": ""}, {"a": "2", "column_2": "3", "a_2": "4", "column_4": "5"}]
     df = spark.createDataFrame([(None, "", "e", None, "f" * 64), (None, None, None, "", "f" * 64)], "x string, h string, e string, m string, s string")
     assert [r[0] for r in df.select(tables.record_version("x", "h", "e", "m", "s")).collect()] == ["e", "f" * 16]
-    assert entry.queries()["passage_violations"](spark, sf_dir).count() == 0
+    made = passages.passages(catalog._documents(spark, sf_dir))
+    assert made.count() > 0 and records.check(made, "passage", "passage_id").filter("size(violations) > 0").count() == 0
