@@ -28,8 +28,8 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     """Fit on the labelled documents of the input; keep what scores at least ``QUALITY``."""
     ship(spark)
     model = classifier.fit(classifier.document_stats(docs), _store.table(spark, sf_dir, "labels"))
-    row = docs.select(F.struct("*").alias("row"), "text")
-    return classifier.score_texts(row, model).filter(F.col("score") >= QUALITY).select("row.*")
+    (score,) = _store.fresh(docs, "score")
+    return classifier.score_texts(docs, model, score).filter(F.col(score) >= QUALITY).drop(score)
 
 
 def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

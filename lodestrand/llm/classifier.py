@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from . import _store
 from ._words import chunks
+from ._workers import lean
 
 #: Features, kernel width (in standard deviations of a statistic, times the root of their number), ridge, score bins.
 FEATURES, WIDTH, RIDGE, BINS, SEED = 192, 1.0, 1e-3, 1000, 7
@@ -131,6 +132,7 @@ def _rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch
 def _summed(rows: DataFrame, function, groups: int = 16) -> np.ndarray | None:
     """The sum of one array a partition, by way of a few groups, so that the driver gets a bounded number of arrays."""
 
+    @lean()
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
@@ -141,6 +143,7 @@ def _summed(rows: DataFrame, function, groups: int = 16) -> np.ndarray | None:
         if total is not None:
             yield pa.RecordBatch.from_pydict({"g": pa.array([TaskContext.get().partitionId() % groups], pa.int32()), "m": pa.array([total.tobytes()], pa.binary())})
 
+    @lean()
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = None
         for b in batches:
@@ -208,6 +211,7 @@ def document_stats(docs: DataFrame) -> DataFrame:
     """doc_id and statistics of every document: a few numbers each, written once, so that each text is read once."""
     schema = pa.schema([("doc_id", pa.int64()), ("stats", pa.list_(pa.float64()))])
 
+    @lean()
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b, x in _rows_of(batches):
             flat = pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1, dtype=np.int32) * N_STATS), pa.array(x.ravel()))
@@ -222,6 +226,7 @@ def predict(rows: DataFrame, model: Model, stats: str = "stats") -> DataFrame:
     held = rows.select(*keep, stats)
     shared = rows.sparkSession.sparkContext.broadcast(model)
 
+    @lean()
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             x = np.array(b.column(b.num_columns - 1).to_pylist(), np.float64).reshape(-1, N_STATS)
@@ -230,19 +235,25 @@ def predict(rows: DataFrame, model: Model, stats: str = "stats") -> DataFrame:
     return held.mapInArrow(run, ", ".join(f"`{c}` {t}" for c, t in held.dtypes[:-1]) + ", score double")
 
 
-def score_texts(docs: DataFrame, model: Model) -> DataFrame:
-    """All columns of docs and score (replacing one of that name), in one pass over the texts and without a shuffle."""
+def score_texts(docs: DataFrame, model: Model, score: str = "score") -> DataFrame:
+    """All columns of docs and ``score`` (replacing one of that name), in one pass over the texts and without a shuffle.
+
+    A text crosses to the worker once, in its own column; a batch of a second copy would double the memory on both sides.
+    """
+    import pyarrow.compute as pc
     from pyspark.sql.types import StructType
 
-    shared, names = docs.sparkSession.sparkContext.broadcast(model), [c for c in docs.columns if c != "score"]
-    held = docs.select(*names, F.coalesce(F.col("text"), F.lit("")).alias(*_store.fresh(docs, "whole_text")))
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    held = docs.drop(score) if score in docs.columns else docs
+    names, at = [*held.columns, score], [c.lower() for c in held.columns].index("text")
 
+    @lean()
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in (c for batch in batches for c in chunks(batch, batch.num_columns - 1, 1 << 22)):
-            x = np.array([statistics(t) for t in b.column(b.num_columns - 1).to_pylist()], np.float64).reshape(-1, N_STATS)
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(shared.value.score(x))], names=[*names, "score"])
+        for b in (c for batch in batches for c in chunks(batch, at, 1 << 22)):
+            x = np.array([statistics(t) for t in pc.fill_null(b.column(at), "").to_pylist()], np.float64).reshape(-1, N_STATS)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(shared.value.score(x))], names=names)
 
-    return held.mapInArrow(run, StructType(list(held.schema.fields[:-1])).add("score", "double"))
+    return held.mapInArrow(run, StructType(list(held.schema.fields)).add(score, "double"))
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) -> DataFrame:

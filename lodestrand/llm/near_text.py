@@ -41,6 +41,7 @@ from pyspark.sql import functions as F
 
 from . import _graph, _store
 from ._words import FIRST, Words, chunks, grams, mix
+from ._workers import lean
 
 K, BANDS, ROWS, SIMILARITY = 5, 14, 3, 0.8
 #: Buckets of up to this many texts are compared in full.
@@ -112,6 +113,7 @@ def sketches(docs: DataFrame, k: int, bands: int, rows: int) -> DataFrame:
     """doc_id, key, bands of every document."""
     schema = pa.schema([("doc_id", pa.int64()), ("key", pa.binary()), ("bands", pa.list_(pa.int64()))])
 
+    @lean()
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for c in chunks(batch):
@@ -126,6 +128,7 @@ def _shingled(docs: DataFrame, keys: DataFrame, k: int) -> DataFrame:
     """key, kmers (64-bit integers) of one document of each key."""
     schema = pa.schema([("key", pa.binary()), ("kmers", pa.binary())])
 
+    @lean()
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for c in chunks(batch):
@@ -143,6 +146,7 @@ def _verified(pairs: DataFrame, kmer_table: DataFrame, similarity: float) -> Dat
     """a, b, common, linked for every pair."""
     schema = pa.schema([("a", pa.binary()), ("b", pa.binary()), ("common", pa.int64()), ("linked", pa.bool_())])
 
+    @lean()
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for c in batches:
             got = [compared(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), similarity) for x, y in zip(c.column("ka").to_pylist(), c.column("kb").to_pylist(), strict=True)]
@@ -161,6 +165,7 @@ def _needed(n, m, similarity: float):
 def _exploded(kmer_table: DataFrame, keys: DataFrame) -> DataFrame:
     """key, n, h: one row a k-mer of the texts of ``keys``."""
 
+    @lean()
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("key", pa.binary()), ("n", pa.int64()), ("h", pa.int64())])
         for batch in batches:
@@ -214,6 +219,7 @@ def _pivoted(members: DataFrame, kmer_table: DataFrame, similarity: float) -> tu
 def _by_kmers(members: DataFrame, outside: DataFrame, kmer_table: DataFrame) -> DataFrame:
     """Pairs a, b: each text outside with the least edited member that holds it, for every one of its k-mers."""
 
+    @lean()
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("rank", batch_rank), ("h", pa.int64())])
         for batch in batches:

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from . import _store
 from ._words import chunks
+from ._workers import lean
 from .tokenizer import encoder, in_slices
 
 CAPACITY = 4096
@@ -106,6 +107,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: in
     fields = [("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())]
     schema = pa.schema(fields + ([("ids", pa.binary())] if with_ids else []))
 
+    @lean("tokenizer")
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, tail, step = encoder(tokenizer, memo), np.array([end_id], "<u4").tobytes(), 4 * capacity
         for b in (c for batch in batches for c in chunks(batch, size=1 << 22)):
@@ -141,6 +143,7 @@ def pack(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
     names = cut.columns
 
+    @lean()
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         run = where.value
         lengths = np.searchsorted(run["length"], np.arange(capacity + 2))  # the first run of each length

@@ -44,6 +44,7 @@ from pyspark.sql import DataFrame
 
 from . import _store
 from ._words import chunks
+from ._workers import lean
 
 KINDS = ("assign", "access", "hex")
 #: Bytes of compressed data read at a time and of a layer known by its hash; streamed layers inside each other.
@@ -472,6 +473,7 @@ def find_secrets(docs: DataFrame) -> DataFrame:
     """Counts, digest and spans of every document; offsets are code points of the original text, ends exclusive."""
     schema = pa.schema([("doc_id", pa.int64()), *((f"n_{k}", pa.int64()) for k in KINDS), ("base_sha256", pa.string()), ("spans", pa.string()), ("n_added", pa.int64())])
 
+    @lean()
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in (c for batch in batches for c in chunks(batch, size=1 << 22)):
             rows = []
@@ -490,6 +492,7 @@ def redact_secrets(docs: DataFrame, text_col: str = "text", mark: str = "[SECRET
 
     schema = to_arrow_schema(docs.schema)
 
+    @lean()
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = schema.get_field_index(text_col)
         for b in (c for batch in batches for c in chunks(batch, at, 1 << 22)):

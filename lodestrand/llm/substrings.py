@@ -39,6 +39,7 @@ from pyspark.sql import functions as F
 
 from . import _store
 from ._words import FIRST, SECOND, Words, chunks, grams, mix
+from ._workers import lean
 
 WINDOW, GRAM = 20, 6
 #: at: the block's own place; source: an earlier block equal to it in the task, if there is one; mixed: to be looked up window by window.
@@ -132,6 +133,7 @@ def blocks_of(words: Words, window: int = WINDOW, k: int = GRAM):
 
 
 def _index(docs: DataFrame, window: int, k: int) -> DataFrame:
+    @lean()
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mixed = np.empty(0, np.uint64)
         for batch in batches:
@@ -148,6 +150,7 @@ def _index(docs: DataFrame, window: int, k: int) -> DataFrame:
 def _windows(docs: DataFrame, window: int) -> DataFrame:
     """The windows lo..hi (an array of pairs) of every text, one row each."""
 
+    @lean()
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for c in chunks(batch, size=1 << 22):
@@ -172,6 +175,7 @@ def _strip(docs: DataFrame, window: int) -> DataFrame:
     """doc_id, tie, n_words, n_removed, kept: the words left, joined by one space."""
     schema = pa.schema([("doc_id", pa.int64()), ("tie", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept", pa.string()), ("kept_sha256", pa.string())])
 
+    @lean()
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for c in (x for batch in batches for x in chunks(batch, size=1 << 22)):
             kept, n_words, n_removed = [], [], []
@@ -242,6 +246,7 @@ def factors(docs: DataFrame, window: int = WINDOW, k: int = GRAM) -> DataFrame:
     kinds = (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32())
     schema = pa.schema([("doc_id", pa.int64()), ("tie", pa.int64()), *zip(names, kinds, strict=True)])
 
+    @lean()
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for c in batches:
             made = [parse(s, window) for s in c.column("spans").to_pylist()]
@@ -272,6 +277,7 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, k: int = GRAM) -> Dat
     held = rows.join(_renamed(spans), _same_document(), "left").select(*(F.col("row")[c].alias(c) for c in docs.columns), F.col("spans").alias(name))
     at = docs.columns.index("text")
 
+    @lean()
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for c in (x for batch in batches for x in chunks(batch, at, 1 << 22)):
             texts, keep = c.column(at).to_pylist(), []

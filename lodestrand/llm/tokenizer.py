@@ -16,6 +16,8 @@ from itertools import chain
 
 import numpy as np
 
+from . import _workers
+
 #: A worker's memo is emptied beyond this many chunks (about 130 MB); results never depend on it.
 MEMO = 600_000
 _PUNCT = ".,!#$%&*|:;-\"'"
@@ -102,10 +104,11 @@ class ChunkEncoder:
 
 
 def encoder(path: str, limit: int | None = None) -> ChunkEncoder:
-    """One encoder a worker process, its memo bounded by ``limit`` from now on."""
+    """One encoder a worker process, its memo bounded by ``limit`` from now on; gone when another operator takes the worker."""
     if path not in _open:
         _open[path] = ChunkEncoder(path)
     _open[path].limit = limit or MEMO
+    _workers.hold("tokenizer", _open.clear)
     return _open[path]
 
 

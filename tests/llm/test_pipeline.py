@@ -157,3 +157,26 @@ def test_other_labels_are_none(spark, docs):
 
 def test_modules_are_whole():
     assert near_text.SIMILARITY == 0.8 and near_text.K == 5 and substrings.WINDOW == 20 and corpus_pipeline.ORACLE_SQL is None
+
+
+def test_a_text_goes_to_the_classifier_once(spark, docs, sf_dir):
+    """A worker's batch holds the columns of documents and no second copy of the text."""
+    out = classifier.score_texts(docs, classifier.Model(np.zeros(classifier.N_STATS), np.ones(classifier.N_STATS)), "own")
+    assert out.columns == [*docs.columns, "own"] and out.filter("own is null").count() == 0
+    for frame in (out, corpus_pipeline.quality_classifier(spark, docs, sf_dir)):
+        plan = frame._jdf.queryExecution().analyzed()
+        while "MapInArrow" not in plan.nodeName():
+            plan = plan.children().apply(0)
+        assert plan.children().apply(0).output().size() == len(docs.columns)
+
+
+def test_workers_drop_what_other_stages_left(tokenizer, monkeypatch):
+    from lodestrand.llm import _workers
+    from lodestrand.llm import tokenizer as module
+
+    trims = []
+    monkeypatch.setattr(_workers, "give_back", lambda: trims.append(len(module._open)))
+    module.encoder(tokenizer).encode(["some words"])
+    same, other = _workers.lean("tokenizer")(lambda batches: (len(module._open) for _ in batches)), _workers.lean()(lambda batches: (len(module._open) for _ in batches))
+    assert list(same(iter([1]))) == [1] and list(other(iter([1, 2]))) == [0, 0] and trims == [1, 0]
+    assert module.encoder(tokenizer).encode(["some words"])
