@@ -263,3 +263,34 @@ def test_round_trip_is_told_of_every_text():
     assert [lattice.segment(t)[2] for t in ("c", "ab c", "ab c", "c ab", "c", "cab")] == [True, False, False, False, True, False]
     lattice.memo.clear()
     assert [lattice.segment(t)[2] for t in ("ab", "ab", "")] == [False, False, True]
+
+
+def test_words_together_equal_one_at_a_time(monkeypatch):
+    rng = random.Random(5)
+    lattice, path = _lattice(), queries.tokenizer_path("piece_bpe_32k.model")
+    words = {"".join(rng.choices("theingasor.,%Zß日é0\x00\U0001f600", k=rng.randint(1, 14))) for _ in range(3000)} | {"a" * 200, "日" * 500, "x" * 41 + "日b", "the" * 30}
+    words |= {"".join(rng.choices(["the", "ing", "Wort", "é", "ata", "."], k=rng.randint(1, 4))) for _ in range(500)}
+    want = {w: lattice.best(pieces.MARK + w) for w in words}
+    for long, run in ((40, 1 << 17), (4, 300), (1, 50)):
+        monkeypatch.setattr(pieces, "LONG", long)
+        monkeypatch.setattr(pieces, "RUN", run)
+        own, alone = pieces.Lattice.load(path, 6), []
+        own._one_by_one = lambda w, own=own, alone=alone: (alone.extend(w), pieces.Lattice._one_by_one(own, w))
+        own.know([list(words)])
+        assert len(own.memo) == len(words) and (long < 40 or len(alone) <= 4)
+        for w, row in own.memo.items():
+            got = own.ids.held[own.ends.held[row] : own.ends.held[row + 1]].tobytes()
+            assert (got, own.score.held[row], own.loss.held[row], own.same.held[row]) == want[w], w
+    fresh = pieces.Lattice.load(path, 6)
+    texts = [" ".join(rng.choices(sorted(words), k=rng.randint(0, 30))) for _ in range(60)]
+    split = [pieces.split_words(t) for t in texts]
+    fresh.know(split)
+    assert list(fresh.chains(split)) == [lattice.segment(t) for t in texts]
+    assert all(len(b"".join(map(fresh.raw.__getitem__, np.frombuffer(p[0], "<u4").tolist()))) == len(" ".join(["", *w]).encode()) + 2 * len(w) for w, (_, p, _) in zip(split, fresh.chains(split), strict=True))
+
+
+def test_together_tells_what_is_not_spelt(monkeypatch):
+    monkeypatch.setattr(pieces, "FEW", 1)
+    lattice = pieces.Lattice({pieces.MARK: (300, -1.0), "ab": (301, -1.0), "c": (302, -1.0)}, list(range(256)))
+    lattice.raw[301] = b"??"
+    assert [lattice.segment(t)[2] for t in ("c", "ab c", "c ab", "c", "cab x", "x c", "")] == [True, False, False, True, False, True, True]
