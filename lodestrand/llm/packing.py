@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from . import _store
 from ._words import chunks
 from ._workers import lean
-from .tokenizer import encoder, in_slices
+from .tokenizer import encoder
 
 CAPACITY = 4096
 
@@ -112,15 +112,14 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: in
         enc, tail, step = encoder(tokenizer, memo), np.array([end_id], "<u4").tobytes(), 4 * capacity
         for b in (c for batch in batches for c in chunks(batch, size=1 << 22)):
             doc_ids = b.column("doc_id").to_pylist()
-            for i, texts in in_slices(b.column("text").to_pylist()):
-                rows = []
-                for k, ids in enumerate(enc.encode(texts)):
-                    ids += tail
-                    for p, at in enumerate(range(0, len(ids), step)):
-                        own = ids[at : at + step]
-                        rows.append((doc_ids[i + k], p, at // 4, len(own) // 4, zlib.crc32(own), own))
-                cols = list(zip(*rows, strict=True))[: len(schema)]
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema, strict=True)], schema=schema)
+            rows = []
+            for doc_id, ids in zip(doc_ids, enc.encode(b.column("text")), strict=True):
+                ids += tail
+                for p, at in enumerate(range(0, len(ids), step)):
+                    own = ids[at : at + step]
+                    rows.append((doc_id, p, at // 4, len(own) // 4, zlib.crc32(own), own))
+            cols = list(zip(*rows, strict=True))[: len(schema)]
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema, strict=True)], schema=schema)
 
     return _store.id_text(docs).mapInArrow(cut, PIECES + (", ids binary" if with_ids else ""))
 

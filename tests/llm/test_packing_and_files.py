@@ -3,6 +3,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -41,6 +42,29 @@ def test_memo_bound_changes_nothing(tokenizer, monkeypatch):
     assert [np.frombuffer(x, "<u4").tolist() for t in texts for x in enc.encode([t])] == [enc._ids(t) for t in texts]
 
 
+def test_arrow_texts_are_encoded_by_their_distinct_words(tokenizer):
+    enc = ChunkEncoder(tokenizer)
+    assert enc.plain is not enc.tokenizer  # words skip the normalizer and the splitting
+
+    class Counted(dict):
+        asked = 0
+
+        def get(self, k):
+            self.asked += 1
+            return super().get(k)
+
+        def __getitem__(self, k):
+            self.asked += 1
+            return super().__getitem__(k)
+
+    enc.memo = Counted(enc.memo)
+    texts = ["Some words, some\tWords. " * 2000, None, "", "  words;\x0bwords\x85x\r\n", "naïve ÀÉÎ, straße×", "ſ ǅ K ŉ", "日本 e\u0301té <|endoftext|>,", "don't stop'..", "x" * 5000 + ", words"]
+    for array in (pa.array(["skipped", *texts]).slice(1), pa.array(texts, pa.large_string())):
+        assert [np.frombuffer(x, "<u4").tolist() for x in enc.encode(array)] == [enc._ids(t or "") for t in texts]
+    assert enc.memo.asked < 200  # not once a word, of which there are 8,000
+    assert enc.encode(pa.array([], pa.string())) == enc.encode([]) == [] and enc.encode(["", ""]) == [b"", b""]
+
+
 @given(st.lists(st.integers(0, 2**32 - 1), min_size=1, max_size=300), st.sampled_from([0.0, 50.0, 95.0, 100.0]))
 @settings(max_examples=80, deadline=None)
 def test_block_round_trip(values, percentile):
