@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from . import _store
 from ._words import chunks
-from .tokenizer import encoder, in_slices
+from .tokenizer import encoder
 
 _HEAD = struct.Struct("<8sIIQQ")
 _BLOCK = struct.Struct("<IBI")
@@ -141,14 +141,12 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, block
             return pa.RecordBatch.from_pylist([{"part": part, "seq": seq, "file": f"{path}/{name}", "n_docs": len(held), "n_ids": size, "n_bytes": len(raw)}], schema=_MANIFEST)
 
         for b in (c for batch in batches for c in chunks(batch, size=1 << 22)):
-            ids = b.column("doc_id").to_pylist()
-            for i, texts in in_slices(b.column("text").to_pylist()):
-                for k, own in enumerate(enc.encode(texts)):
-                    held.append((ids[i + k], own + tail))
-                    size += len(own) // 4 + 1
-                    if size >= ids_a_file:
-                        yield flush()
-                        held, size, seq = [], 0, seq + 1
+            for doc_id, own in zip(b.column("doc_id").to_pylist(), enc.encode(b.column("text")), strict=True):
+                held.append((doc_id, own + tail))
+                size += len(own) // 4 + 1
+                if size >= ids_a_file:
+                    yield flush()
+                    held, size, seq = [], 0, seq + 1
         if held:
             yield flush()
 

@@ -186,8 +186,3 @@ def encoder(path: str, limit: int | None = None) -> ChunkEncoder:
     _open[path].limit = limit or MEMO
     _workers.hold("tokenizer", _open.clear)
     return _open[path]
-
-
-def in_slices(texts: list, size: int = 512):
-    for i in range(0, len(texts), size):
-        yield i, texts[i : i + size]
