@@ -39,6 +39,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import small as few_rows
 from . import _graph, _store
 from ._words import FIRST, Words, chunks, grams, mix
 from ._workers import lean
@@ -48,6 +49,10 @@ K, BANDS, ROWS, SIMILARITY = 5, 14, 3, 0.8
 SMALL = 8
 #: Members of a bucket that meet its outsiders in one task.
 SALTED = 1024
+#: Links of different texts up to which the driver joins components, and rows of texts, pairs and components that are broadcast (32 bytes a row and more).
+FEW = 100_000
+#: Pairs for which comparing has a further task; a task of Python costs as much as some hundred of them.
+PAIRS_A_TASK = 512
 
 
 def text_key(text: str = "text") -> Column:
@@ -135,8 +140,8 @@ def _shingled(docs: DataFrame, keys: DataFrame, k: int) -> DataFrame:
                 own = [x.tobytes() for x in kmers(Words(c.column("text")), k)]
                 yield pa.RecordBatch.from_arrays([c.column("key"), pa.array(own, pa.binary())], schema=schema)
 
-    # Only the document that stands for its key is asked for, so each text travels once.
-    asked = keys.select(F.col("doc_id").alias("asked_id"), "key")
+    # Only the document that stands for its key is asked for, so each text travels once, or not at all if few are asked for.
+    asked = few_rows(keys.select(F.col("doc_id").alias("asked_id"), "key"), FEW)
     own = _store.id_text(docs).withColumn("own_key", text_key())
     rows = own.join(asked, F.col("doc_id").eqNullSafe(F.col("asked_id")) & (F.col("own_key") == F.col("key"))).select("key", "text")
     return rows.mapInArrow(run, "key binary, kmers binary").dropDuplicates(["key"])
@@ -152,9 +157,12 @@ def _verified(pairs: DataFrame, kmer_table: DataFrame, similarity: float) -> Dat
             got = [compared(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), similarity) for x, y in zip(c.column("ka").to_pylist(), c.column("kb").to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([c.column("a"), c.column("b"), pa.array([g[0] for g in got], pa.int64()), pa.array([g[1] for g in got], pa.bool_())], schema=schema)
 
-    left = pairs.join(kmer_table.select(F.col("key").alias("a"), F.col("kmers").alias("ka")), "a")
+    pairs = _store.materialize(pairs, "pairs")
+    n = pairs.count()
+    tasks = 2 * pairs.sparkSession.sparkContext.defaultParallelism + n // PAIRS_A_TASK
+    left = (F.broadcast(pairs) if n <= FEW else pairs).join(kmer_table.select(F.col("key").alias("a"), F.col("kmers").alias("ka")), "a")
     both = left.join(kmer_table.select(F.col("key").alias("b"), F.col("kmers").alias("kb")), "b")
-    return both.select("a", "b", "ka", "kb").mapInArrow(run, "a binary, b binary, common long, linked boolean")
+    return both.select("a", "b", "ka", "kb").coalesce(tasks).mapInArrow(run, "a binary, b binary, common long, linked boolean")
 
 
 def _needed(n, m, similarity: float):
@@ -175,7 +183,7 @@ def _exploded(kmer_table: DataFrame, keys: DataFrame) -> DataFrame:
                 at = np.repeat(np.arange(len(raw)), n)
                 yield pa.RecordBatch.from_arrays([c.column("key").take(pa.array(at)), pa.array(n[at]), pa.array(np.frombuffer(b"".join(raw), np.int64))], schema=schema)
 
-    return kmer_table.join(keys, "key", "left_semi").mapInArrow(run, "key binary, n long, h long")
+    return kmer_table.join(few_rows(keys, FEW), "key", "left_semi").mapInArrow(run, "key binary, n long, h long")
 
 
 def _peeled(texts: DataFrame, kmer_table: DataFrame, similarity: float) -> DataFrame:
@@ -193,7 +201,7 @@ def _peeled(texts: DataFrame, kmer_table: DataFrame, similarity: float) -> DataF
         after = _store.materialize(after, "peeled")
         held = after.select("key", "buckets")
         if again:
-            alive = each.join(held.select("key"), "key", "left_semi")
+            alive = each.join(few_rows(held.select("key"), FEW), "key", "left_semi")
     _store.discard(each)
     return after
 
@@ -230,7 +238,7 @@ def _by_kmers(members: DataFrame, outside: DataFrame, kmer_table: DataFrame) ->
 
     batch_rank = pa.struct([("share", pa.float64()), ("n", pa.int64()), ("key", pa.binary())])
     kind = "rank struct<share: double, n: bigint, key: binary>, h long"
-    ranked = members.select("key", _rank().alias("rank"))
+    ranked = few_rows(members.select("key", _rank().alias("rank")), FEW)
     own = ranked.join(kmer_table, "key").select("rank", "kmers").mapInArrow(run, kind)
     hubs = own.groupBy("h").agg(F.max("rank").alias("hub"), F.count(F.lit(1)).alias("df")).filter("df > 1").select("h", F.col("hub.key").alias("b"))
     asked = ranked.join(outside.select("key").distinct(), "key", "left_semi").join(kmer_table, "key").select("rank", "kmers").mapInArrow(run, kind)
@@ -238,8 +246,8 @@ def _by_kmers(members: DataFrame, outside: DataFrame, kmer_table: DataFrame) ->
 
 
 def _linked(links: DataFrame) -> DataFrame:
-    """node, component of every linked key."""
-    return _store.materialize(_graph.components(links), "labels")
+    """node, component of every linked key; broadcast if they are few."""
+    return few_rows(_store.materialize(_graph.components(links, few=FEW), "labels"), FEW)
 
 
 def _labelled(rows: DataFrame, label: DataFrame, key: str = "key", name: str = "component") -> DataFrame:

@@ -48,6 +48,39 @@ def test_components(spark):
     assert _graph.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_few_edges_are_joined_by_the_driver(spark):
+    rng = random.Random(5)
+    edges = [(rng.randrange(-40, 40), rng.randrange(-40, 40)) for _ in range(60)] + [(90 + i, 91 + i) for i in range(30)] + [(7, 7), (None, 7), (200, 200)]
+    long = spark.createDataFrame(edges, "a long, b long")
+    for frame in (long, long.select(*(F.col(c).cast("string").alias(c) for c in "ab")), long.select(*(F.unhex(F.sha2(F.col(c).cast("string"), 256)).alias(c) for c in "ab"))):
+        by_driver, by_rounds = _graph.components(frame, few=1000), _graph.components(frame, few=10)
+        assert by_driver.dtypes == by_rounds.dtypes
+        assert sorted((str(x), str(y)) for x, y in by_driver.collect()) == sorted((str(x), str(y)) for x, y in by_rounds.collect())
+    assert _graph.components(long.filter("a = b"), few=10).count() == 0
+
+
+def test_few_pairs_are_few_tasks(spark):
+    """A task of Python costs as much as some hundred pairs, so tasks follow the pairs, not the partitions of a shuffle."""
+    texts = [(f"k{i}".encode(), np.arange(i, i + 40, dtype=np.uint64).tobytes()) for i in range(30)]
+    before = {k: spark.conf.get(k, None) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        for k, v in zip(before, ("64", "false", "-1"), strict=True):
+            spark.conf.set(k, v)
+        pairs = spark.createDataFrame([(texts[i][0], texts[j][0]) for i, j in combinations(range(30), 2)], "a binary, b binary")
+        made = near_text._verified(pairs, spark.createDataFrame(texts, "key binary, kmers binary"), 0.8)
+        assert made._jdf.queryExecution().toRdd().getNumPartitions() <= 2 * spark.sparkContext.defaultParallelism
+        assert {(int(r.a[1:]), int(r.b[1:]), r.common, r.linked) for r in made.collect()} == {(i, j, max(0, 40 + i - j), j - i <= 4) for i, j in combinations(range(30), 2)}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+
+
+def test_bound_of_few_changes_nothing(spark, docs, monkeypatch):
+    want = sorted(map(str, near_text.classes(docs).collect()))
+    monkeypatch.setattr(near_text, "FEW", 0)
+    assert sorted(map(str, near_text.classes(docs).collect())) == want
+
+
 def shingles(text):
     w = WORD.findall(text or "")
     return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))}
