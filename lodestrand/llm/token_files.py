@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 
 from . import _store
 from ._words import chunks
+from ._workers import lean
 from .tokenizer import encoder
 
 _HEAD = struct.Struct("<8sIIQQ")
@@ -125,6 +126,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, block
     rows = _store.id_text(docs).withColumn("_tie", F.xxhash64("text"))
     dealt = rows.repartitionByRange("doc_id", "_tie").sortWithinPartitions("doc_id", "_tie")
 
+    @lean("tokenizer")
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
