@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ship
-from . import _store, chat, classifier, near_text, packing, pieces, rules, secrets, substrings, token_files, url_filters, vectors
+from . import _store, alignment, chat, classifier, near_text, packing, pieces, rules, secrets, substrings, token_files, url_filters, vectors
 from .oracles import ORACLE_SQL  # noqa: F401
 
 
@@ -81,6 +81,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.array_join("failed_rules", ",").alias("failed_rules"))
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_tokens(_store.table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
+
+
 #: Host, path and verdict of the rules that ``op13_url_filters`` judges by.
 URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block")]
 
@@ -98,5 +102,5 @@ def _shipped(f):
     return run
 
 
-QUERIES = {f.__name__: _shipped(f) for f in (op1_best_fit_packing, op2_secret_scan, op3_token_files, op4_near_text, op5_chat_format, op6_quality_classifier, op7_near_vectors, op8_substring_dedup, op9_piece_encoding, op10_quality_rules, op13_url_filters)}
+QUERIES = {f.__name__: _shipped(f) for f in (op1_best_fit_packing, op2_secret_scan, op3_token_files, op4_near_text, op5_chat_format, op6_quality_classifier, op7_near_vectors, op8_substring_dedup, op9_piece_encoding, op10_quality_rules, op12_token_alignment, op13_url_filters)}
 
