@@ -124,7 +124,7 @@ def _descend(state: DataFrame, level: int, share: float, least: int) -> DataFram
     kids = _store.materialize(live.groupBy(*KEY, seg.alias("seg")).agg(*sums), "url-branches")
     whole = kids.groupBy(*KEY).agg(F.sum("n").alias("all"))
     stays = (F.col("n") >= least) & (F.col("n") >= share * F.col("all"))
-    named = kids.join(whole, [*KEY]).select(*KEY, F.when(stays, F.col("seg")).alias("seg"), F.when(stays, _literal(F.col("seg"))).otherwise(_form(F.col("seg"))).alias("branch"), "n", "labelled", "bad")
+    named = kids.join(small(whole), [*KEY]).select(*KEY, F.when(stays, F.col("seg")).alias("seg"), F.when(stays, _literal(F.col("seg"))).otherwise(_form(F.col("seg"))).alias("branch"), "n", "labelled", "bad")
     few = named.groupBy(*KEY, "seg", "branch").agg(*sums)
     lists = few.groupBy(*KEY).agg(F.collect_list(F.struct("branch", "labelled", "bad")).alias("b"))
     names = lists.select(*KEY, F.inline(_merged(F.col("b"))))
