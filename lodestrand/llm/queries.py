@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ship
-from . import _store, alignment, chat, classifier, near_text, packing, pieces, rules, secrets, substrings, token_files, url_filters, vectors
+from . import _store, alignment, chat, classifier, hard_negatives, near_text, packing, pieces, rules, secrets, substrings, token_files, url_filters, vectors
 from .oracles import ORACLE_SQL  # noqa: F401
 
 
@@ -81,6 +81,12 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.array_join("failed_rules", ",").alias("failed_rules"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _store.table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding")
+    rows = rows.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return hard_negatives.mine(rows, F.col("vec_id") % 100 == 0)
+
+
 def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.align_tokens(_store.table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
 
@@ -102,5 +108,5 @@ def _shipped(f):
     return run
 
 
-QUERIES = {f.__name__: _shipped(f) for f in (op1_best_fit_packing, op2_secret_scan, op3_token_files, op4_near_text, op5_chat_format, op6_quality_classifier, op7_near_vectors, op8_substring_dedup, op9_piece_encoding, op10_quality_rules, op12_token_alignment, op13_url_filters)}
+QUERIES = {f.__name__: _shipped(f) for f in (op1_best_fit_packing, op2_secret_scan, op3_token_files, op4_near_text, op5_chat_format, op6_quality_classifier, op7_near_vectors, op8_substring_dedup, op9_piece_encoding, op10_quality_rules, op11_hard_negatives, op12_token_alignment, op13_url_filters)}
 
