@@ -58,17 +58,17 @@ def normalize_text(text: Column, exact: bool = True) -> Column:
     """Compatibility form, Unix line ends, no trailing blanks, one newline at the end."""
     out = F.regexp_replace(nfkc(text) if exact else text, r"\r\n?", "\n")
     out = F.regexp_replace(out, r"(?U)[\s\x1C-\x1F&&[^\n]]+(?=\n|\z)", "")
-    return F.concat(_strip(out), F.lit("\n"))
+    return F.concat(strip(out), F.lit("\n"))
 
 
-def _strip(text: Column) -> Column:
+def strip(text: Column) -> Column:
     return F.regexp_replace(text, r"(?U)^[\s\x1C-\x1F]+|[\s\x1C-\x1F]+\z", "")
 
 
 def normalized_for_hash(text: Column, exact: bool = False) -> Column:
     """What equal texts have in common: folded, white space collapsed."""
     folded = nfkc_casefold(text) if exact else fold(text)
-    return _strip(F.regexp_replace(folded, r"(?U)[\s\x1C-\x1F]+", " "))
+    return strip(F.regexp_replace(folded, r"(?U)[\s\x1C-\x1F]+", " "))
 
 
 def content_hash(text: Column, exact: bool = False) -> Column:
@@ -139,7 +139,7 @@ def quality_flags(text: Column, headings_first: Column | None = None, article: C
     The lines and the long ones among them are bound once; what tells an unlikely flag early is asked first.
     """
     size = F.length(text)
-    lines = F.filter(F.transform(F.split(text, r"\r\n|[\n\r\x0B\x0C\x1C-\x1E\x85\u2028\u2029]", -1), _strip), lambda x: x != "")
+    lines = F.filter(F.transform(F.split(text, r"\r\n|[\n\r\x0B\x0C\x1C-\x1E\x85\u2028\u2029]", -1), strip), lambda x: x != "")
     listed = lambda x: F.size(F.filter(x, lambda y: y.startswith("-") & y.rlike(r"^-\s+")))
 
     def repeated(x: Column) -> Column:

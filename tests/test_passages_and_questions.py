@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from lodestrand.operators import passages as P
 from lodestrand.operators import planner, questions
 
+from . import plain_passages as plain
+
 TEXT = """# Airport facts
 
 <!-- page:1 -->
@@ -31,7 +33,7 @@ Beta Airport, whereas smaller, handled 3500 flights at 10:30 on 01.02.2020 with
 
 
 def test_blocks():
-    got = list(P.blocks(TEXT))
+    got = list(plain.blocks(TEXT))
     assert [(b.section, b.page, b.table) for b in got] == [
         (("Airport facts",), None, None), (("Airport facts",), 1, None), (("Airport facts", "Runways"), 1, None),
         (("Airport facts", "Runways"), 1, "table-1"), (("Airport facts", "Runways"), 2, None), (("Airport facts", "Runways"), 2, None),
@@ -39,7 +41,7 @@ def test_blocks():
 
 
 def test_short_heading_stays_with_its_table():
-    got = P.cut(TEXT, P.Sizes(5, 30, 4, 50))
+    got = plain.cut(TEXT, P.Sizes(5, 30, 4, 50))
     table = next(p for p in got if p[4])
     assert TEXT[table[0] : table[1]].startswith("## Runways") and TEXT[table[0] : table[1]].endswith("region |")
     assert all(TEXT[p[0] : p[1]].strip() == TEXT[p[0] : p[1]] and p[5] == len(P.WORD.findall(TEXT[p[0] : p[1]])) for p in got)
@@ -47,7 +49,7 @@ def test_short_heading_stays_with_its_table():
 
 def test_large_blocks_overlap():
     text = " ".join(f"w{i}" for i in range(100))
-    got = P.cut(text, P.Sizes(10, 30, 5, 50))
+    got = plain.cut(text, P.Sizes(10, 30, 5, 50))
     assert [p[5] for p in got] == [30, 30, 30, 25] and got[0][0] == 0 and got[-1][1] == len(text)
     assert text[got[1][0] : got[1][1]].startswith("w25 ")
 
@@ -57,14 +59,43 @@ def test_large_blocks_overlap():
 def test_packing_covers_every_block(parts, target, overlap):
     text = "\n\n".join(parts)
     sizes = P.Sizes(target, target + 10, overlap, target + 5)
-    got = P.cut(text, sizes)
+    got = plain.cut(text, sizes)
     covered = {i for a, b, *_ in got for i in range(a, b)}
-    for b in P.blocks(text):
+    for b in plain.blocks(text):
         assert all(i in covered for i in range(b.start, b.end) if not text[i].isspace())
     # A short heading adds at most its own words to a table; other passages keep their limit.
     assert all(p[5] <= max(sizes.maximum, sizes.table + 8) for p in got)
 
 
+ODD = ["# h", "## k t", "###  deep  ", "#### x", "word " * 12, "|a|b|\n|c|d|", "<!-- page:3 -->", "<!-- PAGE:4 -->", "w " * 50, "", " \t", "# head\rrest of it", "İi ß\x1c", "\x1f", "|a|\n \n|b|", "| one |", "a-b c.d 'e f’g", "\u3000wide\u3000", "<!-- page:99999999999 -->", "#no", "|x|\r\n| y z |"]
+
+
+@pytest.mark.parametrize("sizes", [P.Sizes(), P.Sizes(12, 20, 3, 15), P.Sizes(5, 6, 0, 4), P.Sizes(9, 9, 9, 3)])
+def test_passages_equal_a_plain_loop(spark, sf_dir, sizes):
+    rng = random.Random(sizes.target)
+    texts = [TEXT, "", "\n\n", "x", "\n\nx\n\n", None, *(("\n\n" if rng.random() < 0.7 else "\n \t\n\n").join(rng.choice(ODD) for _ in range(rng.randint(1, 30))) for _ in range(300))]
+    texts += [r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("text").limit(60).collect()]
+    docs = spark.createDataFrame([(str(i), "1", "v", "en", t) for i, t in enumerate(texts)], "document_id string, document_version string, variant_group_id string, language string, text string")
+    made = P.passages(docs, sizes)
+    got = {}
+    for r in made.collect():
+        got.setdefault(int(r.document_id), []).append((r.canonical_char_start, r.canonical_char_end, tuple(r.section_path), r.page_number, r.table_id, r.token_count))
+        assert r.text == texts[int(r.document_id)][r.canonical_char_start : r.canonical_char_end]
+        assert r.passage_id == P.stable_id("passage", r.document_id, "1", r.canonical_char_start, r.canonical_char_end, r.checksum, length=32)
+    for i, t in enumerate(texts):
+        want = [(*p[:3], p[3] if p[3] is None or p[3] < 1 << 31 else None, *p[4:]) for p in plain.cut(t or "", sizes)]
+        assert sorted(got.get(i, []), key=lambda p: p[:2]) == sorted(want, key=lambda p: p[:2]), (i, t)
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
+
+
+def test_passages_of_many_pieces(spark):
+    """Twenty thousand pieces are one fold, not a square of them."""
+    text = "\n\n".join(f"## part {i}\n\nfive words stand in here" for i in range(10_000))
+    docs = spark.createDataFrame([("d", "1", "v", "en", text)], "document_id string, document_version string, variant_group_id string, language string, text string")
+    assert P.passages(docs).count() == len(plain.cut(text, P.Sizes()))
+
+
 def test_candidates(spark):
     docs = spark.createDataFrame([("d", "1", "v", "en", TEXT), ("n", "1", "v", "en", None)], "document_id string, document_version string, variant_group_id string, language string, text string")
     rows = P.passages(docs, P.Sizes(5, 60, 4, 80))
