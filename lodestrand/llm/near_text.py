@@ -1,14 +1,13 @@
-"""Near-duplicate texts by banded MinHash and banded alignment.
+"""Near-duplicate texts by Order MinHash and banded alignment.
 
-A text's k-mers are its distinct runs of five words, where they first occur: a repeated passage counts once, as in the SQL.  A band
-of the sketch samples the few k-mers with the least hash under the band's own permutation, whatever their places: texts that
-agree in order and texts whose paragraphs moved share a band with the same probability, and whatever pair would agree with
-the sample kept in text order agrees without.  Texts that agree in a band are candidates.
+A text's k-mers are its runs of five words, each labelled by its occurrence: the second time that a run stands in a text is
+a k-mer of its own.  A band of the sketch samples the few k-mers with the least hash under the band's own permutation and keeps them
+in the order of the text, so that texts share a band as far as they agree in what they hold, how often and in which order: in edit
+similarity.  Texts that agree in a band are candidates.
 
-A candidate pair is verified by a banded alignment of the two k-mer sequences.  The k-mers are unique, so the
-alignment is a longest increasing run of matching places inside the band that the similarity allows; M matches give
-M / (n + m - M).  A pair that falls short only by its order (moved paragraphs) is linked by the exact Jaccard similarity of
-its k-mers instead.
+A candidate pair is decided by a banded alignment of the two k-mer sequences.  Labelled k-mers are unique, so the alignment
+is a longest increasing run of matching places inside the band that the similarity allows; M matches give M / (n + m - M).
+Texts that hold the same k-mers in another order are as similar as what stays in order.
 
 Equal texts are one node from the start, and a text is one row, with the list of its buckets.  Comparisons come in rounds, each on
 what the rounds before left apart, and a bucket whose texts are all in one component is done:
@@ -60,23 +59,38 @@ def text_key(text: str = "text") -> Column:
     return F.unhex(F.substring(F.sha2(F.coalesce(F.col(text), F.lit("")), 256), 1, 32))
 
 
+def _labelled_runs(own: np.ndarray) -> np.ndarray:
+    """The k-mers' hashes, from the second occurrence of one on mixed with its number."""
+    order = np.argsort(own, kind="stable")
+    again = np.flatnonzero(np.diff(own[order]) == 0) + 1
+    if not len(again):
+        return own
+    # The number of an occurrence: how far it stands from its run's first in the sorted order.
+    first = np.ones(len(own), bool)
+    first[again] = False
+    number = np.arange(len(own)) - np.maximum.accumulate(np.where(first, np.arange(len(own)), 0))
+    out = own.copy()
+    later = order[again]
+    out[later] = mix(own[later] ^ mix(number[again].astype(np.uint64)))
+    return out
+
+
 def kmers(words: Words, k: int = K) -> list[np.ndarray]:
-    """For each text the hashes of its distinct k-mers in the order in which they first occur."""
+    """For each text the hashes of its k-mers in order, labelled by occurrence."""
     hashes = words.hashes()
     all_grams, out = grams(hashes, k), []
     for a, b in zip(words.bounds[:-1], words.bounds[1:], strict=True):
         own = all_grams[a : b - k + 1] if b - a >= k else FIRST.ranges(hashes[a:b], np.array([0]), np.array([b - a]))
-        first = np.unique(own, return_index=True)[1]
-        out.append(own if len(first) == len(own) else own[np.sort(first)])
+        out.append(_labelled_runs(own))
     return out
 
 
 def sketch(own: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np.ndarray:
-    """Per band a hash of the ``rows`` least k-mers under the band's permutation, in the permutation's order."""
+    """Per band a hash of the ``rows`` least k-mers under the band's permutation, in the order of the text."""
     out = np.empty(bands, np.uint64)
     for b in range(bands):
         h = mix(own ^ np.uint64((b + 1) * 0xD6E8FEB86659FD93 & 0xFFFFFFFFFFFFFFFF))
-        least = np.sort(np.partition(h, rows)[:rows]) if len(h) > rows else np.sort(h)
+        least = h[np.sort(np.argpartition(h, rows)[:rows])] if len(h) > rows else h
         acc = b + 1
         for x in least.tolist():
             acc = (acc * 0x100000001B3 ^ x) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF
@@ -96,18 +110,18 @@ def _increasing(places: np.ndarray) -> int:
 
 
 def compared(a: np.ndarray, b: np.ndarray, similarity: float = SIMILARITY) -> tuple[int, bool]:
-    """(common k-mers, whether the two sequences reach the similarity by banded alignment or by their sets)."""
+    """(common k-mers, whether the two sequences reach the similarity by banded alignment)."""
     n, m = len(a), len(b)
     need = _needed(n, m, similarity)
     _, at_a, at_b = np.intersect1d(a, b, assume_unique=True, return_indices=True)
     common = len(at_a)
-    if common < need:
+    if common < need:  # an alignment has no more matches than that
         return common, False
     order = np.argsort(at_a)
     at_a, at_b = at_a[order], at_b[order]
     # Indels beyond the band would cost more than the limit allows.
     near = np.abs(at_a - at_b) <= n + m - 2 * need
-    return common, _increasing(at_b[near]) >= need or common >= need
+    return common, _increasing(at_b[near]) >= need
 
 
 def aligned(a: np.ndarray, b: np.ndarray, similarity: float = SIMILARITY) -> bool:

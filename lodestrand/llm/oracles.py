@@ -4,10 +4,14 @@ WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 OP4 = rf"""
 WITH RECURSIVE d AS (SELECT doc_id, coalesce(text, '') AS text, {WORDS} AS w FROM documents),
-s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) < 5 THEN [array_to_string(w, ' ')] ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS g FROM d),
+k AS (SELECT doc_id, unnest(CASE WHEN len(w) < 5 THEN [array_to_string(w, ' ')] ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS g, unnest(range(0, greatest(1, len(w) - 4))) AS i FROM d),
+s AS (SELECT *, row_number() OVER (PARTITION BY doc_id, g ORDER BY i) AS o FROM k),
 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
-c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
-e AS (SELECT a, b FROM c JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE c >= 0.8 * (x.n + y.n - c)),
+c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.o = b.o AND a.doc_id < b.doc_id GROUP BY 1, 2),
+p AS (SELECT a, b, x.n + y.n AS n FROM c JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE c >= 0.8 * (x.n + y.n - c)),
+m AS (SELECT a, b, n, list([y.i] ORDER BY x.i) AS places FROM p JOIN s x ON x.doc_id = a JOIN s y ON y.doc_id = b AND y.g = x.g AND y.o = x.o GROUP BY a, b, n),
+l AS (SELECT a, b, n, len(CASE WHEN list_sort(places) = places THEN places[1:] ELSE list_transform(list_reduce(places, lambda t, x: list_concat(t[:len(list_filter(t, lambda y: y < x[1]))], x, t[len(list_filter(t, lambda y: y < x[1])) + 2:])), lambda x: [x]) END) AS c FROM m),
+e AS (SELECT a, b FROM l WHERE c >= 0.8 * (n - c)),
 both_ways AS (SELECT a, b FROM e UNION SELECT b, a FROM e UNION SELECT doc_id, doc_id FROM d),
 r(a, b) AS (SELECT a, b FROM both_ways UNION SELECT r.a, k.b FROM r JOIN both_ways k ON r.b = k.a)
 SELECT a AS doc_id, min(b) AS class_id, a = min(b) AS kept FROM r GROUP BY a

@@ -1,5 +1,7 @@
 import random
 import re
+from bisect import bisect_left
+from collections import Counter
 from hashlib import sha256
 from itertools import combinations
 
@@ -82,13 +84,27 @@ def test_bound_of_few_changes_nothing(spark, docs, monkeypatch):
 
 
 def shingles(text):
-    w = WORD.findall(text or "")
-    return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))}
+    """Runs of five words in order, each with the number of its occurrence."""
+    w, seen, out = WORD.findall(text or ""), Counter(), []
+    for i in range(max(1, len(w) - 4)):
+        run = tuple(w[i : i + 5])
+        out.append((run, seen[run]))
+        seen[run] += 1
+    return out
+
+
+def in_order(a, b):
+    """Labelled runs of both in one order: as each is unique, the longest increasing run of their places."""
+    place, ends = {x: i for i, x in enumerate(b)}, []
+    for i in (place[x] for x in a if x in place):
+        k = bisect_left(ends, i)
+        ends[k : k + 1] = [i]
+    return len(ends)
 
 
 def brute_classes(rows):
-    """rows: (doc_id, text).  The class id of each row, by Jaccard of all pairs."""
-    sets, root = [shingles(t) for _, t in rows], list(range(len(rows)))
+    """rows: (doc_id, text).  The class id of each row, by the alignment of all pairs."""
+    runs, root = [shingles(t) for _, t in rows], list(range(len(rows)))
 
     def find(x):
         while root[x] != x:
@@ -96,7 +112,7 @@ def brute_classes(rows):
         return x
 
     for i, j in combinations(range(len(rows)), 2):
-        if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+        if find(i) != find(j) and (m := in_order(runs[i], runs[j])) and m >= 0.8 * (len(runs[i]) + len(runs[j]) - m):
             root[find(j)] = find(i)
     least = {}
     for i, (d, _) in enumerate(rows):
@@ -137,7 +153,7 @@ def test_hot_groups_make_few_comparisons(spark, monkeypatch):
     monkeypatch.setattr(near_text, "_verified", counted)
     got = {r.doc_id: r.class_id for r in near_text.classes(spark.createDataFrame(rows, "doc_id long, text string").repartition(16)).collect()}
     assert sum(made) <= 10 * len(rows), made
-    sets = [shingles(t) for _, t in rows[:2000]]
+    sets = [set(shingles(t)) for _, t in rows[:2000]]
     reached, last = {0}, [0]  # by links, from the first copy on
     while last:
         last = [j for j in range(2000) if j not in reached and any(len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]) for i in last[:40])]
@@ -145,26 +161,59 @@ def test_hot_groups_make_few_comparisons(spark, monkeypatch):
     assert all(got[i] == 0 for i in reached) and len(reached) > 1500 and all(got[10_000 + i] == 10_000 + i for i in range(2000))
 
 
-def test_repeated_lines_count_once(spark):
+def test_repeated_lines_count_by_occurrence(spark):
     line, rows = prose(80, 9), []
     for i in range(30):  # in small and large buckets
         body = prose(81 + i // 15, 150)
-        rows.append((i, body + "\n" + "\n".join([line] * (100 + 20 * i))))
-    rows += [(100, prose(90, 60) + ("\n" + line) * 300), (101, prose(91, 60) + ("\n" + line) * 300), (102, prose(92, 90)), (103, prose(92, 90) + ("\n" + prose(92, 90)) * 2)]
+        rows.append((i, body + "\n" + "\n".join([line] * (40 + 5 * (i % 15)))))
+    rows += [(100, prose(90, 60) + ("\n" + line) * 60), (101, prose(91, 60) + ("\n" + line) * 60), (102, prose(92, 90)), (103, prose(92, 90) + ("\n" + prose(92, 90)) * 2)]
+    got = near_text.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    want = brute_classes(rows)
+    assert sorted((True, r.doc_id, r.class_id) for r in got) == want
+    assert (True, 103, 103) in want and (True, 1, 0) in want
+
+
+def test_texts_in_another_order_are_no_copies(spark):
+    parts = [prose(300 + i, 60) for i in range(10)]
+    rng = random.Random(8)
+    rows = [(0, " ".join(parts)), (1, " ".join(parts[::-1])), (2, " ".join(rng.sample(parts, 10))), (3, " ".join([*parts[5:], *parts[:5]])), (4, " ".join([parts[9], *parts[:9]])), (5, " ".join(parts[:9]))]
     got = near_text.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted((True, r.doc_id, r.class_id) for r in got) == brute_classes(rows)
+    assert {r.doc_id: r.class_id for r in got} == {0: 0, 1: 1, 2: 2, 3: 3, 4: 0, 5: 0}
 
 
-def test_moved_parts_are_candidates():
+def test_random_edits_are_found(spark):
+    """Insertions, deletions and replacements up to the limit, and moves beyond it, against all pairs."""
+    rng = random.Random(12)
+    rows = []
+    for i in range(40):
+        words = prose(400 + i, 200).split(" ")
+        rows.append((len(rows), " ".join(words)))
+        for _ in range(3):
+            w = list(words)
+            for _ in range(rng.randint(1, 9)):
+                at = rng.randrange(len(w) - 1)
+                kind = rng.randrange(4)
+                w[at : at + 1] = [[], [w[at], "new"], ["other"], [w[at], w[at]]][kind]
+            if rng.random() < 0.3:
+                cut = rng.randrange(len(w))
+                w = w[cut:] + w[:cut]
+            rows.append((len(rows), " ".join(w)))
+    got = near_text.classes(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()
+    want = brute_classes(rows)
+    assert sum(g == w for g, w in zip(sorted((True, r.doc_id, r.class_id) for r in got), want, strict=True)) >= len(rows) - 1
+
+
+def test_pairs_at_the_limit_share_a_band():
     rng = np.random.default_rng(4)
-    for parts in (2, 6):
-        lost = 0
-        for _ in range(400):
-            a, fresh = rng.integers(0, 1 << 63, 180, dtype=np.uint64), rng.integers(0, 1 << 63, 20, dtype=np.uint64)
-            b = np.concatenate(np.array_split(np.r_[a[:160], fresh], parts)[::-1])
-            assert near_text.aligned(a, b)
-            lost += not (near_text.sketch(a) == near_text.sketch(b)).any()
-        assert lost <= 1
+    lost = 0
+    for _ in range(1000):
+        a, fresh = rng.integers(0, 1 << 63, 180, dtype=np.uint64), rng.integers(0, 1 << 63, 40, dtype=np.uint64)
+        b = np.insert(np.delete(a, rng.choice(180, 20, replace=False)), np.sort(rng.integers(0, 160, 20)), fresh[:20])
+        assert near_text.aligned(a, b)
+        lost += not (near_text.sketch(a) == near_text.sketch(b)).any()
+        assert not (near_text.sketch(a) == near_text.sketch(a[::-1].copy())).any()
+    assert lost <= 2
 
 
 def test_alignment():
@@ -172,9 +221,19 @@ def test_alignment():
     assert near_text.aligned(a, a) and near_text.aligned(a, np.r_[a[:95], a[:5] + 500])
     assert not near_text.aligned(a, np.r_[a[:80], a[:20] + 500]) and not near_text.aligned(a, a[:70])
     assert near_text.aligned(a, a[:80]) and not near_text.aligned(a, a[:79])
+    long = np.arange(1000, dtype=np.uint64)
+    assert near_text.compared(long, long[::-1].copy()) == (1000, False) and not near_text.aligned(long, np.random.default_rng(1).permutation(long))
+    assert near_text.aligned(long, np.r_[long[100:], long[:100]]) and not near_text.aligned(long, np.r_[long[150:], long[:150]])
     assert near_text._increasing(np.array([3, 1, 2, 5, 4, 6])) == 4 and near_text._increasing(np.array([], int)) == 0
 
 
+def test_occurrences_are_labelled():
+    x = np.array([5, 7, 5, 5, 7, 9], np.uint64)
+    got = near_text._labelled_runs(x)
+    assert len(set(got.tolist())) == 6 and got[[0, 1, 5]].tolist() == [5, 7, 9]
+    assert (near_text._labelled_runs(x[::-1].copy())[[1, 2]] == [7, 5]).all() and set(near_text._labelled_runs(x[:4]).tolist()) < set(got.tolist())
+
+
 def brute_repeats(rows, window=20):
     """rows: (doc_id, text); rows that repeat both are one document."""
     order = sorted(set(rows), key=lambda r: (r[0] is not None, r[0] or 0, r[1] or ""))
