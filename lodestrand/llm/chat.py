@@ -12,7 +12,7 @@ read back to exactly the text.
 
 Defined results: a null text is empty; a null role is an empty role; turns sort by turn (null first), then role, then
 text; repeated rows are turns of their own; a record without the paths of any layout gives no turn and a null
-layout (``unread`` gives these); an empty table gives no row; other columns are ignored.  A conversation is one string, so it ends at Spark's limit of 2 GB for a value.
+layout (``unread`` gives these); an empty table gives no row; other columns are ignored; rows with a null conv_id are one conversation.  A conversation is one string, so it ends at Spark's limit of 2 GB for a value.
 """
 
 from __future__ import annotations
@@ -22,6 +22,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.text import let
+
 _TURN, _SAYS, _END = "<|turn|>", "<|says|>", "<|end|>"
 _CODES = (("\\", "\\e"), ("<", "\\l"), ("[", "\\b"))
 ALIASES = {"human": "user", "prompter": "user", "gpt": "assistant", "bot": "assistant", "model": "assistant", "chatbot": "assistant"}
@@ -128,7 +130,7 @@ def unescape(text: Column) -> Column:
 
 
 def format_turns(rows: DataFrame, key: str = "conv_id", order: tuple[str, ...] = ("turn",), loss_roles: tuple[str, ...] = ("assistant",)) -> DataFrame:
-    """key, formatted, loss_spans (code points, ends exclusive) of every conversation; rows: key, order, role, text.
+    """key, formatted, loss_spans (code points, ends exclusive, and the turn, from 1) of every conversation; rows: key, order, role, text.
 
     Offsets are running sums over a conversation's rows in order; the same partitioning serves the final join of the text.
     """
@@ -140,7 +142,7 @@ def format_turns(rows: DataFrame, key: str = "conv_id", order: tuple[str, ...] =
     marked = marked.select(key, "_n", F.concat("_head", "_said", F.lit(_END)).alias("_seg"), F.length("_head").alias("_at"), F.length("_said").alias("_len"), F.col("role").isin(*loss_roles).alias("_loss"))
     before = F.coalesce(F.sum(F.length("_seg")).over(Window.partitionBy(key).orderBy("_n").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     placed = marked.withColumn("_from", before + F.col("_at"))
-    span = F.when(F.col("_loss"), F.struct(F.col("_from").alias("start"), (F.col("_from") + F.col("_len")).alias("end")))
+    span = F.when(F.col("_loss"), F.struct(F.col("_from").alias("start"), (F.col("_from") + F.col("_len")).alias("end"), F.col("_n").alias("turn")))
     held = placed.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("_n", "_seg"))).alias("_s"), F.sort_array(F.collect_list(span)).alias("loss_spans"))
     return held.select(key, F.array_join(F.transform("_s", lambda s: s["_seg"]), "").alias("formatted"), "loss_spans")
 
@@ -153,5 +155,15 @@ def read_turns(formatted: Column) -> Column:
 
 
 def loss_text(formatted: Column, spans: Column) -> Column:
-    """All text under the loss mask, unescaped, in order."""
-    return F.array_join(F.transform(spans, lambda s: unescape(formatted.substr(s["start"].cast("int") + 1, (s["end"] - s["start"]).cast("int")))), "")
+    """All text under the loss mask, unescaped, in order.
+
+    A span is looked up in its turn, so that a conversation takes time in proportion to its length; one that does not cover just what its turn
+    says is cut out of the whole string instead.
+    """
+
+    def cut(parts: Column, s: Column) -> Column:
+        said = F.substring_index(F.get(parts, s["turn"] - 1), _SAYS, -1)
+        whole = formatted.substr(s["start"].cast("int") + 1, (s["end"] - s["start"]).cast("int"))
+        return unescape(F.when(F.length(said) == s["end"] - s["start"], said).otherwise(whole))
+
+    return F.array_join(let(F.split(formatted, r"<\|end\|>"), lambda parts: F.transform(spans, lambda s: cut(parts, s))), "")

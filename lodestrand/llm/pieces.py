@@ -476,17 +476,18 @@ def _get(path: str, n_best: int) -> tuple[Lattice, Decoder]:
 def encode_pieces(docs: DataFrame, model: str, n_best: int = 5, with_ids: bool = False) -> DataFrame:
     """doc_id, n_pieces, ids_crc32, score, scores (of the n_best), round_trip and, if asked, ids (of the n_best).
 
-    round_trip: the best path's ids give the normalised text; checked for every distinct word, whose ids are joined unchanged.
+    round_trip: the best path's ids, decoded as they leave here, give the normalised text.
     """
     fields = [("doc_id", pa.int64()), ("n_pieces", pa.int64()), ("ids_crc32", pa.int64()), ("score", pa.float64()), ("scores", pa.list_(pa.float64())), ("paths_crc32", pa.int64()), ("round_trip", pa.bool_())]
     schema = pa.schema(fields + ([("ids", pa.list_(pa.list_(pa.int32())))] if with_ids else []))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lattice, _ = _get(model, n_best)
+        lattice, decoder = _get(model, n_best)
         for b in (c for batch in batches for c in chunks(batch)):
             rows, split = [], [split_words(t) for t in b.column("text").to_pylist()]
             lattice.know(split)
-            for doc_id, (scores, packed, same) in zip(b.column("doc_id").to_pylist(), lattice.chains(split), strict=True):
+            for doc_id, words, (scores, packed, same) in zip(b.column("doc_id").to_pylist(), split, lattice.chains(split), strict=True):
+                same = same and decoder.decode(np.frombuffer(packed[0], "<i4").tolist()) == " ".join(words)
                 ids = [np.frombuffer(p, "<i4") for p in packed] if with_ids else None
                 rows.append((doc_id, len(packed[0]) // 4, zlib.crc32(packed[0]), scores[0], scores, zlib.crc32(b"|".join(packed)), same, ids))
             cols = list(zip(*rows, strict=True))[: len(schema)] or [()] * len(schema)
