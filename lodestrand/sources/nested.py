@@ -26,16 +26,16 @@ def flatten(rows: DataFrame, json: str, *, path: str = "path", value: str = "val
     repeats, and of texts that exceed a VARIANT's size, the text has no rows; keys hold any characters and are not quoted.
     """
     keep = [c for c in rows.columns if c != json]
-    own = [F.col(f"`{c}`") for c in keep]
-    open_ = rows.select(*own, F.lit("").alias("_path"), F.try_parse_json(F.col(f"`{json}`")).alias("_v")).filter("_v is not null")
+    own = F.struct(*(F.col(f"`{c}`") for c in keep)) if keep else F.lit(None).cast("string")  # kept apart from names of this function
+    open_ = rows.select(own.alias("_own"), F.lit("").alias("_path"), F.try_parse_json(F.col(f"`{json}`")).alias("_v")).filter("_v is not null")
     out = []
     while True:
         kind = F.schema_of_variant("_v")
         split = cut(open_.withColumn("_open", kind.startswith("OBJECT") | kind.startswith("ARRAY")))
-        out.append(split.filter("not _open").select(*own, F.col("_path").alias(path), leaf_text(F.col("_v")).alias(value)))
+        out.append(split.filter("not _open").select(*(F.col("_own")[c].alias(c) for c in keep), F.col("_path").alias(path), leaf_text(F.col("_v")).alias(value)))
         nested = split.filter("_open")
         if not nested.limit(1).count():
             return reduce(DataFrame.unionByName, out)
         inner = nested.lateralJoin(rows.sparkSession.tvf.variant_explode(F.col("_v").outer()))
         longer = F.when(F.col("key").isNull(), F.concat("_path", F.lit("["), F.col("pos").cast("string"), F.lit("]"))).when(F.col("_path") == "", F.col("key")).otherwise(F.concat("_path", F.lit("."), "key"))
-        open_ = inner.select(*own, longer.alias("_path"), F.col("value").alias("_v"))
+        open_ = inner.select("_own", longer.alias("_path"), F.col("value").alias("_v"))
