@@ -83,6 +83,54 @@ def test_vectors_find_links(spark):
     assert vectors.near_vectors(frame.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("shared", [0.0, 0.6, 0.75])
+def test_recall_where_vectors_share_a_direction(spark, shared):
+    """6,000 vectors with a common direction of a squared weight and 500 planted pairs near the limit, by passes alone."""
+    rng = np.random.default_rng(11)
+    unit = lambda x: x / np.linalg.norm(x, axis=-1, keepdims=True)
+    common = unit(rng.standard_normal(64))
+    draw = lambda n: unit((lambda z: z - (z @ common)[:, None] * common)(rng.standard_normal((n, 64))))
+    x = np.sqrt(shared) * common + np.sqrt(1 - shared) * draw(6000)
+    away = draw(500)
+    away = unit(away - (away * x[:500]).sum(1)[:, None] * x[:500])
+    near = 0.905 * x[:500] + np.sqrt(1 - 0.905**2) * away
+    rows = [(i, v.astype(np.float64).tolist()) for i, v in enumerate(np.r_[x, near])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    # What all comparisons find is found; the windows alone find 0.95 of it.
+    got = {r.vec_id: r.n_links for r in vectors.near_vectors(frame).collect()}
+    assert all(got[i] and got[6000 + i] for i in range(500))
+    table = vectors.nodes(frame, "embedding").select("node", "vector").cache()
+    mean = vectors.means(table)
+    passes, enough = vectors.measured_passes(table, 6500, mean, 0.9, 12)
+    assert enough == (shared < 0.7)  # where no affordable number of passes is enough, all are compared besides
+    found = {frozenset((r.a, r.b)) for r in vectors._verified(vectors._pairs(vectors._keyed(table, passes, mean), 12, 0.9), table, 0.9).collect()}
+    node = {r.vec_id: r.node for r in vectors.nodes(frame, "embedding").collect()}
+    assert sum(frozenset((node[i], node[6000 + i])) in found for i in range(500)) >= 475
+    assert passes >= vectors.passes_for(6500, window=12) and (shared or passes < 2 * vectors.passes_for(6500, window=12))
+
+
+def test_all_links_are_a_forest_of_the_components(spark):
+    rng = np.random.default_rng(3)
+    centre = rng.standard_normal((40, 16))
+    x = centre[rng.integers(0, 40, 700)] + 0.12 * rng.standard_normal((700, 16))
+    table = vectors.nodes(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>"), "embedding").cache()
+    links = [(r.a, r.b) for r in vectors._all_links(table.select("node", "vector"), 0.9).collect()]
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    near, node = u @ u.T >= 0.9, [r.node for r in table.orderBy("vec_id").collect()]
+    place = {n: i for i, n in enumerate(node)}
+    root = list(range(700))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for a, b in links:
+        assert near[place[a], place[b]]
+        root[find(place[a])] = find(place[b])
+    assert all(find(i) == find(j) for i, j in zip(*np.nonzero(near), strict=True)) and len(links) < 5 * 700
+
+
 def test_passes_follow_from_recall():
     assert [vectors.passes_for(n) for n in (1, 1000, 50_000, 5_000_000)] == sorted(vectors.passes_for(n) for n in (1, 1000, 50_000, 5_000_000))
     assert vectors.passes_for(50_000) < 30 and vectors.passes_for(50_000, recall=0.9) < vectors.passes_for(50_000)
