@@ -51,6 +51,8 @@ KINDS = ("assign", "access", "hex")
 CHUNK, SMALL, STREAMS = 1 << 12, 1 << 20, 200
 #: Characters of a decompressed layer scanned at a time, and shared by two such windows.
 WINDOW, OVERLAP = 1 << 20, 1 << 16
+#: Characters of base64 that show whether compressed data begins there.
+PROBE = 1 << 13
 # The base patterns.  The runs of access and hex are maximal, so their least lengths can stand in the pattern.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
 ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
@@ -64,7 +66,7 @@ ESCAPE = re.compile(
     r"|&(?:(?:amp;){8,})?(?:#[xX][0-9A-Fa-f]{1,6};|#[0-9]{1,7};|(?:quot|amp|apos|lt|gt|equals|colon);)"
 )
 #: What findings, escapes and base64 lines are made of.
-_STRETCH = re.compile(r"""[A-Za-z0-9+/_.=\-"' :\r\n\t>\\&;#{}%]+""")
+_STRETCH = re.compile(r"""[A-Za-z0-9+/_.=\-"' :\r\n\t>\\&;#{}%]{12,}""")
 BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}")
 #: The same over several lines; each goes on to the end of its line or of the data.
 WRAPPED = re.compile(r"""(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}+(?:[\t ]*\r?\n[\t >]*[A-Za-z0-9+/_-]++(?==|[\t ]*(?:[\r\n"'`<,;)\]}]|\Z)))++={0,2}""")
@@ -346,8 +348,13 @@ def _opened(parts: Iterator[bytes], deep: int = 0) -> Iterator[bytes]:
 def _windows(parts: Iterator[bytes], span: tuple[int, int], codec: str = "utf-8") -> Iterator[Layer]:
     """The bytes as text, in overlapping windows; what is no text in between is replaced."""
     decoder, text = codecs.getincrementaldecoder(codec)("replace"), ""
+    more: list[str] = []  # what continues a run that is kept whole: it is looked at once, when the run ends
     for p in parts:
-        text += decoder.decode(p)
+        new = decoder.decode(p)
+        if more and not new.rstrip(_OPEN):
+            more.append(new)
+            continue
+        text, more = "".join([text, *more, new]), []
         if len(text) < WINDOW:
             continue
         if " " * 64 in text:
@@ -355,11 +362,12 @@ def _windows(parts: Iterator[bytes], span: tuple[int, int], codec: str = "utf-8"
         cut, run = len(text) - OVERLAP, len(text.rstrip(_OPEN))
         packed = run < cut and _PACKED.search(text, run, run + 256)  # compressed data that is not cut
         if cut <= 0 or (packed and not run):
+            more = [""]
             continue
         if _ENOUGH.search(text):
             yield Layer(text, span=span)
         text = text[run if packed else cut :]
-    text += decoder.decode(b"", True)
+    text = "".join([text, *more, decoder.decode(b"", True)])
     if _ENOUGH.search(text):
         yield Layer(text, span=span)
 
@@ -393,14 +401,28 @@ def _strided(parts: Iterator[bytes], k: int) -> Iterator[bytes]:
         k = (k - len(p)) % 2
 
 
+def _opens(raw: bytes) -> bool:
+    """Whether bytes begin like compressed data and do not fail at once."""
+    if _opener(raw) is None:
+        return False
+    try:
+        next(_members(_cut([raw])), b"")
+    except _Plain:
+        return False
+    return True
+
+
 def _decoded(run: str, lines: list[int] = ()) -> Iterator[tuple[int, bytes]]:
     """(place, bytes) of what base64 text may stand for: from each of its first four places, as other characters may have
-    joined it in front, and from where compressed data may begin."""
+    joined it in front, and from where compressed data begins.  Where it only seems to, by a few signs, there is nothing that the
+    first four places do not give."""
     run = run.rstrip("=")
     plain = run.replace("-", "+").replace("_", "/")
     places = {0, 1, 2, 3} | {m.start() for m in _PACKED.finditer(run) if m[0] in ("H4sI", "Qlpo") or run[m.start() - 1 : m.start()] in ("/", "_", "-", "+")}
     places |= {k for k in lines if _PACKED.match(run, k)}
     for k in sorted(places):
+        if k > 3 and not _opens(base64.b64decode(plain[k : k + min(len(plain) - k, PROBE) // 4 * 4])):
+            continue
         n = len(plain) - k
         raw = base64.b64decode(plain[k : len(plain) - (n % 4 == 1)] + "=" * (-n % 4 if n % 4 != 1 else 0))
         if _opener(raw) or _likely(raw):

@@ -6,6 +6,7 @@ import math
 import random
 import re
 import urllib.parse
+import zlib
 from collections import Counter
 
 import pytest
@@ -269,3 +270,30 @@ def test_rules_use_no_python(docs, spark):
     labels = spark.createDataFrame([(5, 1)], "doc_id long, quality int")
     plan = rules.text_stats(docs)._jdf.queryExecution().toString() + rules.quality_rules(docs, labels)._jdf.queryExecution().toString()
     assert not re.search("ArrowEvalPython|BatchEvalPython|MapInPandas|MapInArrow|PythonUDF", plan)
+
+
+def test_streams_in_streams_take_time_in_proportion():
+    import time
+
+    took = []
+    for mb in (0.25, 2):
+        noise = random.Random(1).randbytes(int(mb * (1 << 20)))
+        inner = base64.b64encode(gzip.compress(noise + b" password = topsecret12345 ", 1))
+        text = base64.b64encode(gzip.compress(b"log line\n" + inner + b"\nend", 1)).decode()
+        began = time.time()
+        base, spans = secrets.scan(text)
+        took.append(time.time() - began)
+        assert base == [] and spans == [("assign", 0, len(text))]
+    assert took[1] < 30 * took[0] + 3  # eight times the bytes
+
+
+def test_false_starts_of_compressed_data():
+    rng = random.Random(2)
+    signs = ["/eJx", "+eNq", "-eJz", "H4sI", "Qlpo", "_eAE"]
+    noise = "".join(rng.choice("ABCDEFGHIJabcdefghij0123456789") for _ in range(40_000))
+    for sign in signs:
+        noise = noise[: (at := rng.randrange(4, len(noise)))] + sign + noise[at:]
+    hidden = base64.b64encode(zlib.compress(b"x" * 50 + b" token: abcdef123456 " + rng.randbytes(30_000))).decode()
+    for text in (noise + "/" + hidden, noise + " " + hidden, noise[:999] + "/" + hidden + " tail"):
+        assert any(kind == "assign" for kind, *_ in secrets.scan(text)[1])
+    assert secrets.scan(noise) == ([], [])
