@@ -85,11 +85,6 @@ def stable_id(prefix: str, *parts: Column | str | int, length: int = 24) -> Colu
     return F.concat(F.lit(f"{prefix}_"), F.substring(F.sha2(F.concat(F.lit("["), F.concat_ws(",", *pieces), F.lit("]")), 256), 1, length))
 
 
-def group_id(prefix: str, members: Column, length: int = 24) -> Column:
-    """``stable_id`` over an array of strings."""
-    return F.concat(F.lit(f"{prefix}_"), F.substring(F.sha2(F.to_json(members), 256), 1, length))
-
-
 def let(value: Column, body) -> Column:
     """``body`` of a value that is computed once.  An expression that a lambda names is else computed for every element."""
     return F.element_at(F.transform(F.array(value), body), 1)

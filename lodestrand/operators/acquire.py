@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.tables import record_version
@@ -44,8 +44,7 @@ def apply_responses(known: DataFrame, responses: DataFrame, limit: int | None =
 
 def scheduled(urls: DataFrame, host: str, order: str, per_second: float) -> DataFrame:
     """urls with ``wait``: seconds until each may be asked for, so that no host is asked faster than its rate."""
-    place = F.row_number().over(Window.partitionBy(host).orderBy(order)) - 1
-    return urls.withColumn("wait", place / per_second)
+    return numbered(urls, [host], [order], "_n").withColumn("wait", (F.col("_n") - 1) / per_second).drop("_n")
 
 
 def robots_allowed(urls: DataFrame, rules: DataFrame) -> DataFrame:
@@ -81,8 +80,8 @@ def discovered(found: DataFrame, excluded: Column, limit: int, category: str = "
     found: page, title, category, explicit.  A page is its first row; excluded ones that were not asked for by name go.
     """
     kept = found.filter(F.col("explicit") | ~F.coalesce(excluded, F.lit(False)))
-    turn = F.row_number().over(Window.partitionBy(category).orderBy(F.desc("explicit"), F.lower(title), page))
-    first = kept.withColumn("_turn", turn).groupBy(page).agg(F.min_by(F.struct(title, category, "explicit", "_turn"), F.struct(~F.col("explicit"), "_turn", category)).alias("r")).select(page, "r.*")
+    placed = kept.withColumns({"_late": ~F.col("explicit"), "_low": F.lower(title)})
+    first = numbered(placed, [category], ["_late", "_low", page], "_turn").groupBy(page).agg(F.min_by(F.struct(title, category, "explicit", "_turn"), F.struct(~F.col("explicit"), "_turn", category)).alias("r")).select(page, "r.*")
     best = first.orderBy(~F.col("explicit"), "_turn", category, page).limit(limit)
     return best.drop("_turn").orderBy(F.lower(title), page)
 

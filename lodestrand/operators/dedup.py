@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
 import uuid
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -125,14 +128,54 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
             return label
 
 
+def member_ids(members: DataFrame, prefix: str, length: int = 24) -> DataFrame:
+    """component, id: ``stable_id`` over the sorted members (component, node) of each component.
+
+    A component of one is hashed where it lies; the members of larger ones are sorted and hashed as they stream by, so that a
+    component of any size is never a list.
+    """
+    size = members.groupBy("component").agg(F.count(F.lit(1)).alias("_n"))
+    name = F.col("node").cast("string")
+    alone = members.join(size.filter("_n = 1"), "component").select("component", T.stable_id(prefix, name, length=length).alias("id"))
+    many = members.join(size.filter("_n > 1").select("component"), "component", "left_semi").select("component", name.alias("node"))
+    kind = members.schema["component"].dataType.simpleString()
+
+    def run(batches):
+        last, digest = None, None
+        for b in batches:
+            done: list[tuple] = []
+            for c, node in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                if digest is None or c != last:
+                    if digest is not None:
+                        done.append((last, digest))
+                    last, digest = c, hashlib.sha256(b"[")
+                else:
+                    digest.update(b",")
+                digest.update(json.dumps(node, ensure_ascii=False).encode())
+            if done:
+                yield made(done, b.schema.field(0).type)
+        if digest is not None:
+            yield made([(last, digest)], b.schema.field(0).type)
+
+    def made(done: list[tuple], of: pa.DataType) -> pa.RecordBatch:
+        ids = []
+        for _, d in done:
+            d.update(b"]")
+            ids.append(f"{prefix}_{d.hexdigest()[:length]}")
+        return pa.RecordBatch.from_arrays([pa.array([c for c, _ in done], of), pa.array(ids)], names=["component", "id"])
+
+    streamed = many.repartition("component").sortWithinPartitions("component", "node").mapInArrow(run, f"component {kind}, id string")
+    return alone.unionByName(streamed)
+
+
 def near_duplicate_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """key, component (its least key), group_size, duplicate_group_id; every document has a group."""
+    """key, component (its least key), group_size, duplicate_group_id (of all its members); every document has a group."""
     links, members = near_pairs(docs, key, text, **options)
     parts = components(members.select(F.col("rep").alias("node")), links)
-    held = members.join(parts, F.col("rep") == F.col("node")).select("key", "component")
+    held = cut(members.join(parts, F.col("rep") == F.col("node")).select("key", "component"))
     ids = held.groupBy("component").agg(F.count(F.lit(1)).alias("group_size"), F.min("key").alias("least"))
-    out = held.join(ids, "component")
-    return out.select(F.col("key").alias(key), F.col("least").alias("component"), "group_size", T.stable_id("dupe", F.col("least").cast("string")).alias("duplicate_group_id"))
+    out = held.join(ids.join(member_ids(held.withColumnRenamed("key", "node"), "dupe"), "component"), "component")
+    return out.select(F.col("key").alias(key), F.col("least").alias("component"), "group_size", F.col("id").alias("duplicate_group_id"))
 
 
 def ordered_filter(rows: DataFrame, edges: DataFrame, key: str = "key") -> DataFrame:
@@ -188,7 +231,7 @@ def split_components(documents: DataFrame, citations: DataFrame) -> DataFrame:
     edges = docs.filter("e is not null").select(F.col("v").alias("a"), F.col("e").alias("b")).union(cited.join(head, "qa_id").select(F.col("first").alias("a"), F.col("v").alias("b")))
     nodes = docs.select(F.col("v").alias("node")).union(docs.filter("e is not null").select("e"))
     parts = components(nodes, edges)
-    ids = parts.groupBy("component").agg(T.group_id("splitgroup", F.sort_array(F.collect_list("node"))).alias("split_group_id"))
+    ids = member_ids(parts.select("component", "node"), "splitgroup").withColumnRenamed("id", "split_group_id")
     out = head.join(parts, F.col("first") == F.col("node")).join(ids, "component").select("qa_id", "split_group_id")
     return out.withColumn("split", assign_split(F.col("split_group_id")))
 

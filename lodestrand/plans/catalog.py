@@ -146,9 +146,10 @@ r(a, b) AS (SELECT a, b FROM k UNION SELECT r.a, k.b FROM r JOIN k ON r.b = k.a)
 m AS (SELECT a AS doc_id, min(b) AS component FROM r GROUP BY a)"""
 
 
-@query(_NEAR + " SELECT doc_id, component, count(*) OVER (PARTITION BY component) AS group_size FROM m")
+@query(_NEAR + """, i AS (SELECT component, count(*) AS group_size, 'dupe_' || substr(sha256('["' || string_agg(CAST(doc_id AS VARCHAR), '","' ORDER BY CAST(doc_id AS VARCHAR)) || '"]'), 1, 24) AS duplicate_group_id FROM m GROUP BY 1)
+SELECT doc_id, component, group_size, duplicate_group_id FROM m JOIN i USING (component)""")
 def near_duplicate_groups(spark, sf_dir):
-    return dedup.near_duplicate_groups(table(spark, sf_dir, "documents")).select("doc_id", "component", "group_size")
+    return dedup.near_duplicate_groups(table(spark, sf_dir, "documents"))
 
 
 _SIGSQL = "CASE WHEN len(s) = 0 THEN '0000000000000000' ELSE list_min(list_transform(s, lambda x: sha256({0} || ':' || x)[1:16])) END"

@@ -69,3 +69,14 @@ def test_nested_json(spark):
         assert r.key == "x"
     assert {i: sorted(x) for i, x in got.items()} == {i: sorted(leaves(json.loads(t))) for i, t in enumerate(texts) if leaves(json.loads(t))}
     assert nested.flatten(spark.createDataFrame([], "id int, json string"), "json").count() == 0
+
+
+def test_member_ids_equal_the_id_of_the_whole_list(spark):
+    from lodestrand.operators import dedup
+    from lodestrand.operators.passages import stable_id
+
+    rng = random.Random(1)
+    rows = [(c, f"{rng.choice('aé\"')}{i}") for i, c in enumerate(rng.choice([1, 2, 3, 4, 5]) for _ in range(300))] + [(9, "alone"), (10, "x"), (10, "y")]
+    got = {r.component: r.id for r in dedup.member_ids(spark.createDataFrame(rows, "component long, node string").repartition(5), "g").collect()}
+    assert got == {c: stable_id("g", *sorted(n for k, n in rows if k == c)) for c in {c for c, _ in rows}}
+    assert dedup.member_ids(spark.createDataFrame([], "component long, node string"), "g").count() == 0
