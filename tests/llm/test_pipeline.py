@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from lodestrand.llm import classifier, near_text, secrets, substrings
 
-from .test_near_and_substrings import brute_classes, brute_repeats
+from .test_near_and_substrings import WORD, brute_classes, brute_repeats
+from .test_secrets_and_rules import plain_spans
 
 
 @pytest.fixture(scope="module")
@@ -95,6 +96,49 @@ def test_run(spark, sf_dir, stages):
     assert sorted(map(tuple, out.select("doc_id", "piece", "length").collect())) == sorted((r.doc_id, r.piece, r.length) for r in stages[-1][2])
 
 
+def test_run_equals_a_plain_pipeline(spark, sf_dir, stages, tokenizer):
+    """Texts and pieces of ``run`` from the classifier's choice on, by loops over whole texts in one process."""
+    from zlib import crc32
+
+    from tokenizers import Tokenizer
+
+    kept = {r.doc_id for r in stages[0][2]}
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect() if r.doc_id in kept}
+    classes = {d: c for _, d, c in brute_classes(list(texts.items()))}
+    texts = {d: t for d, t in texts.items() if classes[d] == d}
+    seen = set()
+    for d in sorted(texts):
+        words, gone = WORD.findall(texts[d]), set()
+        for i in range(len(words) - 19):
+            run = tuple(words[i : i + 20])
+            if run in seen:
+                gone.update(range(i, i + 20))
+            seen.add(run)
+        if gone:
+            texts[d] = " ".join(w for i, w in enumerate(words) if i not in gone)
+            if len(gone) == len(words):
+                del texts[d]
+    want, n_ids, whole = set(), 0, Tokenizer.from_file(tokenizer)
+    for d, t in texts.items():
+        hidden = [False] * len(t)
+        for _, a, b in plain_spans(t):
+            hidden[a:b] = [True] * (b - a)
+        clean = "".join("[SECRET]" if h and (i == 0 or not hidden[i - 1]) else "" if h else c for i, (c, h) in enumerate(zip(t, hidden, strict=True)))
+        ids = np.array([*whole.encode(clean, add_special_tokens=False).ids, 1], "<u4")
+        n_ids += len(ids)
+        for piece, start in enumerate(range(0, len(ids), 4096)):
+            part = ids[start : start + 4096]
+            want.add((d, piece, start, len(part), crc32(part.tobytes())))
+    rows = corpus_pipeline.run(spark, sf_dir).collect()
+    assert {(r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in rows} == want and len(rows) == len(want)
+    placed = {}
+    for r in rows:
+        placed.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for own in placed.values():
+        assert [o for o, _ in sorted(own)] == [0, *np.cumsum([n for _, n in sorted(own)])[:-1].tolist()] and sum(n for _, n in own) <= 4096
+    assert len(placed) <= -(-n_ids // 4096) + 2
+
+
 def test_held_out_accuracy(spark):
     sf = "/root/testdata/sf0.01"
     docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
