@@ -124,6 +124,7 @@ PLAIN = {
     "rejections": "n > 0 and dimension in ('reason', 'language', 'type', 'passage', 'document', 'construction_stage')",
     "page_markdown": "error is null and length(markdown) > 0",
     "quota_plan": "count > 0",
+    "built_questions": "question is not null and qa_id like 'qa_%' and stratum like '%:%'",
 }
 
 
