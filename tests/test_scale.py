@@ -28,3 +28,29 @@ def test_donors_under_hash_bounds_are_the_least_of_all(spark, monkeypatch):
                 break
     assert {r.task_id: (r.position, r.kind, r.source, r.value, r.donor_document_id) for r in made} == want
     assert want["t-x"][0] == 1
+
+
+def test_choice_under_hash_bounds_is_that_of_all(spark, monkeypatch):
+    """Many documents (settled under the first bound), then so few that a stratum is filled from their second passages on."""
+    strata = planner._strata(planner.quota_plan(100))
+    types = ["factual", "definition", "list_table", "comparison", "temporal"]
+    for documents in (400, 6):
+        rows = [(f"a{i}", f"p{i // 3}", f"d{i // 3 % documents}", ("en", "tr")[i // 3 % documents % 2], [types[i % 5], types[i // 7 % 5]]) for i in range(4000)]
+        found = spark.createDataFrame(rows, "anchor_id string, passage_id string, document_id string, language string, compatible_types array<string>").repartition(3)
+        picks = []
+        for margin in (1, 10**9):  # the second one: no bound at all
+            monkeypatch.setattr(planner, "MARGIN", margin)
+            monkeypatch.setattr(planner, "FURTHER", 20)
+            picks.append({tuple(r) for r in planner.choose(found, strata, 3).collect()})
+        assert picks[0] == picks[1] and len(picks[0]) == sum(s["count"] for s in strata)
+
+
+def test_candidates_come_in_parts(spark, monkeypatch):
+    """A task holds the anchors of a few passages at a time, with the same anchors."""
+    from lodestrand.operators import passages
+
+    text = "In 2001 the Northern Railway carried 400 tons of coal over the bridge of the town every week."
+    rows = spark.createDataFrame([(f"p{i}", f"d{i}", f"d{i}", "en", 5, f"{text} {i}") for i in range(20)], "passage_id string, document_id string, variant_group_id string, language string, canonical_char_start int, text string").coalesce(1)
+    want = sorted(passages.evidence_candidates(rows).collect())
+    monkeypatch.setattr(passages, "PART", 3)
+    assert sorted(passages.evidence_candidates(rows).collect()) == want and len(want) == 20
