@@ -54,3 +54,15 @@ def test_candidates_come_in_parts(spark, monkeypatch):
     want = sorted(passages.evidence_candidates(rows).collect())
     monkeypatch.setattr(passages, "PART", 3)
     assert sorted(passages.evidence_candidates(rows).collect()) == want and len(want) == 20
+
+
+def test_pages_are_extracted_in_parts(spark, monkeypatch):
+    """Markdown of a few pages at a time, a page that cannot be read among them."""
+    from lodestrand.sources import extract
+
+    rows = [(f"p{i}", "image/x" if i == 4 else "text/html", f"<html><body><h1>Page {i}</h1><p>Some text of page {i}.</p></body></html>".encode()) for i in range(9)]
+    files = spark.createDataFrame(rows, "path string, mime string, content binary").coalesce(1)
+    want = sorted(extract.extract(files).collect())
+    monkeypatch.setattr(extract, "PART", 2)
+    assert sorted(extract.extract(files).collect(), key=lambda r: r.path) == sorted(want, key=lambda r: r.path)
+    assert len(want) == 9 and [r.path for r in want if r.error] == ["p4"]
