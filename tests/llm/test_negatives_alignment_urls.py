@@ -4,6 +4,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -45,6 +46,24 @@ def awkward(rng):
     return rows
 
 
+def test_scores_of_short_vectors_take_single_precision_and_stay_exact():
+    rng = np.random.default_rng(3)
+    for most, kind in ((200, np.float32), (40_000, np.int64), (1 << 27, np.int64)):
+        x, y = (rng.integers(-most, most + 1, (9, 64)) for _ in range(2))
+        got = hard_negatives._scores(x, y)
+        assert got.dtype == kind and (got.astype(np.int64) == x @ y.T).all()
+        for limit in (-hard_negatives.FAR, hard_negatives.FAR, int(got[0, 0])):
+            assert ((got >= hard_negatives._limits(np.array([limit]), got)) == (x @ y.T >= limit)).all()
+
+
+def test_vectors_are_coded_by_matrices(spark):
+    rows = [(1, 0, [0.5, -0.001]), (2, 0, [0.5, None]), (3, 0, None), (4, 0, [float("nan"), 1.0]), (5, 0, []), (6, 0, [1e300, 1.0]), (7, 0, [8e6, 0.0, -3.0]), (8, None, [1.0])]
+    coded = hard_negatives._coded(spark.createDataFrame(rows, "vec_id long, label int, embedding array<double>").coalesce(1), "embedding", 256).collect()
+    got = {r.vec_id: hard_negatives._matrix([bytes(r.code)], r.dims)[0].tolist() for r in coded}
+    assert got == {1: [128, -1], 5: [], 7: [2_048_000_000, 0, -768]}
+    assert [x.shape for _, x in hard_negatives.by_length(pa.array([[1.0], None, [2.0, 3.0], [4.0]]))] == [(2, 1), (1, 2)]
+
+
 @pytest.mark.parametrize("seed", [1, 2])
 def test_hard_negatives(spark, seed, monkeypatch):
     rows = awkward(random.Random(seed))
