@@ -49,7 +49,7 @@ def _passages(spark: SparkSession, a: argparse.Namespace) -> int:
 
 
 def _plan(spark: SparkSession, a: argparse.Namespace) -> int:
-    found = dedup.cut(passages.evidence_candidates(spark.read.parquet(a.input)))
+    found = dedup.stored(passages.evidence_candidates(spark.read.parquet(a.input)))
     try:
         tasks, _ = planner.plan_tasks(found, a.target, a.seed)
     except planner.CapacityError as e:
@@ -61,7 +61,7 @@ def _plan(spark: SparkSession, a: argparse.Namespace) -> int:
 
 def _questions(spark: SparkSession, a: argparse.Namespace) -> int:
     rows, docs, tasks = spark.read.parquet(a.passages), spark.read.parquet(a.documents), spark.read.parquet(f"{a.folder}/tasks")
-    found = dedup.cut(passages.evidence_candidates(rows))
+    found = dedup.stored(passages.evidence_candidates(rows))
     made = dedup.cut(questions.generate(tasks, found))
     judged = questions.validate(made, rows, docs, found)
     strata = ["question_language", "primary_type", "cross_lingual"]

@@ -45,6 +45,20 @@ def test_choice_under_hash_bounds_is_that_of_all(spark, monkeypatch):
         assert picks[0] == picks[1] and len(picks[0]) == sum(s["count"] for s in strata)
 
 
+def test_a_plan_keeps_no_second_copy_of_its_candidates(spark):
+    """A stored table is packed by Zstandard, and a choice reads it as it lies."""
+    from pathlib import Path
+
+    from lodestrand.operators import dedup
+
+    found = dedup.stored(spark.createDataFrame([(f"a{i}", f"p{i}", f"d{i}", "en", ["factual"]) for i in range(40)], "anchor_id string, passage_id string, document_id string, language string, compatible_types array<string>"))
+    folder = Path(spark.sparkContext.getCheckpointDir().removeprefix("file:"))
+    before = set(folder.glob("stored-*"))
+    strata = [{"place": 0, "question_language": "en", "evidence_language": "en", "primary_type": "factual", "cross_lingual": False, "count": 5}]
+    assert planner.choose(found, strata, 3).count() == 5 and set(folder.glob("stored-*")) == before
+    assert before and all(".zstd." in p.name for p in Path(found.inputFiles()[0].removeprefix("file:")).parent.glob("*.parquet"))
+
+
 def test_candidates_come_in_parts(spark, monkeypatch):
     """A task holds the anchors of a few passages at a time, with the same anchors."""
     from lodestrand.operators import passages
