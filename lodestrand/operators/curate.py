@@ -32,13 +32,16 @@ def accepted(flags: Column) -> Column:
 
 def curate(docs: DataFrame, key: str = "doc_id", text: str = "text", exact: bool = False) -> DataFrame:
     """docs with duplicate_of, token count, flags and accepted.  Columns topics and as_of, if there, add the stale-claim flag."""
-    held = exact_duplicates(docs.withColumn("n_tokens", F.size(T.tokens(F.col(text)))), key, text, exact)
     body = F.col(text)
-    more = [F.when(F.col("duplicate_of").isNotNull(), "exact_duplicate"), F.when(T.personal_data(body), "possible_personal_data")]
+    # What a text shows is found where it is read, so a step that asks for no text sends none to the join with its owner.
+    shown = [F.when(T.personal_data(body), "possible_personal_data")]
     if {"topics", "as_of"} <= set(docs.columns):
-        more.append(F.when(stale_claim(F.col("topics"), F.col("as_of"), body), "current_airline_claim_missing_as_of"))
-    flags = F.concat(T.quality_flags(body, n=F.col("n_tokens")), F.array_compact(F.array(*more)))
-    return held.withColumn("flags", flags).withColumn("accepted", accepted(F.col("flags")))
+        shown.append(F.when(stale_claim(F.col("topics"), F.col("as_of"), body), "current_airline_claim_missing_as_of"))
+    read = docs.withColumn("n_tokens", F.size(T.tokens(body)))
+    read = read.withColumn("_quality", T.quality_flags(body, n=F.col("n_tokens"))).withColumn("_shown", F.array_compact(F.array(*shown)))
+    held = exact_duplicates(read, key, text, exact)
+    copy = F.array_compact(F.array(F.when(F.col("duplicate_of").isNotNull(), "exact_duplicate")))
+    return held.withColumn("flags", F.concat("_quality", copy, "_shown")).drop("_quality", "_shown").withColumn("accepted", accepted(F.col("flags")))
 
 
 def representatives(docs: DataFrame, group: str, tokens: str, key: str) -> DataFrame:

@@ -80,3 +80,20 @@ def test_pages_are_extracted_in_parts(spark, monkeypatch):
     monkeypatch.setattr(extract, "PART", 2)
     assert sorted(extract.extract(files).collect(), key=lambda r: r.path) == sorted(want, key=lambda r: r.path)
     assert len(want) == 9 and [r.path for r in want if r.error] == ["p4"]
+
+
+def test_summaries_send_no_text_to_the_join_with_owners(spark):
+    """What a text shows is found where it is read."""
+    from lodestrand.operators import curate
+
+    docs = spark.createDataFrame([(i, f"some words of text {i % 3}", "en") for i in range(9)], "doc_id long, text string, lang string")
+    rows = curate.summary(docs)
+    met, waiting = [], [rows._jdf.queryExecution().optimizedPlan()]
+    while waiting:
+        node = waiting.pop()
+        children = [node.children().apply(i) for i in range(node.children().size())]
+        waiting += children
+        if node.nodeName() == "Join":
+            met += [c.output().apply(i).name() for c in children for i in range(c.output().size())]
+    assert "content_hash" in met and "text" not in met
+    assert [(r.documents, r.duplicates) for r in rows.collect()] == [(9, 6)]
