@@ -22,6 +22,8 @@ METRICS = ("recall@5", "recall@10", "recall@20", "mrr@10", "ndcg@10")
 SHIPPED = 4_000_000
 #: Passages scored at a time.
 CHUNK = 1024
+#: Passages whose words are looked up at a time.
+POSTED = 128
 
 
 def _turns(queries: DataFrame, qid: str, size: int) -> Iterator[DataFrame]:
@@ -56,13 +58,15 @@ def _postings(docs: DataFrame, words: list[str]) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = pa.array(words, pa.string())
-        for b in batches:
-            lists = b.column("w")
-            sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
-            at = pc.fill_null(pc.index_in(pc.list_flatten(lists), value_set=known), -1).to_numpy(zero_copy_only=False)
-            ends = np.cumsum(sizes)
-            rows = [np.unique(x[x >= 0], return_counts=True) for x in np.split(at, ends[:-1])] if len(ends) else []
-            yield pa.RecordBatch.from_arrays([b.column("pid"), pa.array(sizes, pa.int64()), pa.array([r[0].astype(np.int32).tobytes() for r in rows], pa.binary()), pa.array([r[1].astype(np.int32).tobytes() for r in rows], pa.binary())], schema=schema)
+        for batch in batches:
+            for lo in range(0, batch.num_rows, POSTED):  # numbers of a few passages' words at a time
+                b = batch.slice(lo, POSTED)
+                lists = b.column("w")
+                sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+                at = pc.fill_null(pc.index_in(pc.list_flatten(lists), value_set=known), -1).to_numpy(zero_copy_only=False)
+                ends = np.cumsum(sizes)
+                rows = [np.unique(x[x >= 0], return_counts=True) for x in np.split(at, ends[:-1])]
+                yield pa.RecordBatch.from_arrays([b.column("pid"), pa.array(sizes, pa.int64()), pa.array([r[0].astype(np.int32).tobytes() for r in rows], pa.binary()), pa.array([r[1].astype(np.int32).tobytes() for r in rows], pa.binary())], schema=schema)
 
     return docs.mapInArrow(run, "pid long, len long, at binary, tf binary")
 

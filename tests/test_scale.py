@@ -97,3 +97,12 @@ def test_summaries_send_no_text_to_the_join_with_owners(spark):
             met += [c.output().apply(i).name() for c in children for i in range(c.output().size())]
     assert "content_hash" in met and "text" not in met
     assert [(r.documents, r.duplicates) for r in rows.collect()] == [(9, 6)]
+
+
+def test_postings_are_made_in_parts(spark, monkeypatch):
+    from lodestrand.operators import retrieval
+
+    docs = spark.createDataFrame([(i, None if i == 4 else ["a", "b", "a"][: i % 4]) for i in range(11)], "pid long, w array<string>").coalesce(1)
+    want = sorted(retrieval._postings(docs, ["a", "b"]).collect())
+    monkeypatch.setattr(retrieval, "POSTED", 3)
+    assert sorted(retrieval._postings(docs, ["a", "b"]).collect()) == want and [r.len for r in want] == [0, 1, 2, 3, 0, 1, 2, 3, 0, 1, 2]
