@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import unicodedata
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -29,16 +29,25 @@ NUMBER = r"\b\d+(?:[.,]\d+)?\b"
 DATE = r"\b(?:\d{4}-\d{2}-\d{2}|\d{1,2}[./]\d{1,2}[./]\d{4})\b"
 
 
-@F.pandas_udf(StringType())
-def nfkc(texts: pd.Series) -> pd.Series:
+#: Texts made at a time: a batch's texts are never all Python objects at once.
+PART = 64
+
+
+def _by_parts(texts: pa.Array, change) -> pa.Array:
+    parts = [pa.array([t and change(t) for t in texts.slice(i, PART).to_pylist()], pa.string()) for i in range(0, len(texts), PART)]
+    return pa.concat_arrays(parts) if parts else pa.array([], pa.string())
+
+
+@F.arrow_udf(StringType())
+def nfkc(texts: pa.Array) -> pa.Array:
     """Unicode NFKC."""
-    return texts.map(lambda t: t and unicodedata.normalize("NFKC", t), na_action="ignore")
+    return _by_parts(texts, lambda t: unicodedata.normalize("NFKC", t))
 
 
-@F.pandas_udf(StringType())
-def nfkc_casefold(texts: pd.Series) -> pd.Series:
+@F.arrow_udf(StringType())
+def nfkc_casefold(texts: pa.Array) -> pa.Array:
     """Unicode NFKC, then full case folding."""
-    return texts.map(lambda t: t and unicodedata.normalize("NFKC", t).casefold(), na_action="ignore")
+    return _by_parts(texts, lambda t: unicodedata.normalize("NFKC", t).casefold())
 
 
 def fold(text: Column) -> Column:

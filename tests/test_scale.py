@@ -106,3 +106,13 @@ def test_postings_are_made_in_parts(spark, monkeypatch):
     want = sorted(retrieval._postings(docs, ["a", "b"]).collect())
     monkeypatch.setattr(retrieval, "POSTED", 3)
     assert sorted(retrieval._postings(docs, ["a", "b"]).collect()) == want and [r.len for r in want] == [0, 1, 2, 3, 0, 1, 2, 3, 0, 1, 2]
+
+
+def test_unicode_forms_are_made_in_parts(monkeypatch):
+    import pyarrow as pa
+
+    from lodestrand.functions import text
+
+    monkeypatch.setattr(text, "PART", 2)
+    assert text._by_parts(pa.array(["ﬁ", None, "", "a", "Ω"]), str.upper).to_pylist() == ["FI", None, "", "A", "Ω"]
+    assert text._by_parts(pa.array([], pa.string()), str.upper).to_pylist() == []
