@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 from ..session import small
 from .build import committed
-from .dedup import band_buckets, cut, question_filter, sha_signature
+from .dedup import bands, cut, question_filter, question_keys, sha_signature
 
 #: Parts of the index; a batch with few hashes reads few of them.
 SLOTS = 256
@@ -34,9 +34,10 @@ def _batches(spark: SparkSession, base: str, before: int) -> list[int]:
 
 
 def _hashes(rows: DataFrame) -> DataFrame:
-    """k, kind (text or band), hash, slot of questions (k, s, h)."""
-    bands = band_buckets(rows.select("k", sha_signature(F.col("s")).alias("sig")), "k", "sig").select("k", F.lit("band").alias("kind"), F.col("bucket").alias("hash"))
-    both = rows.select("k", F.lit("text").alias("kind"), F.xxhash64("h").alias("hash")).unionByName(bands)
+    """k, kind (text or band), hash, slot of questions (k, s, h; bands, if they are made)."""
+    held = F.col("bands") if "bands" in rows.columns else bands(sha_signature(F.col("s")))
+    met = rows.select("k", F.lit("band").alias("kind"), F.explode(held).alias("hash"))
+    both = rows.select("k", F.lit("text").alias("kind"), F.xxhash64("h").alias("hash")).unionByName(met)
     return both.withColumn("slot", F.pmod("hash", F.lit(SLOTS)).cast("int"))
 
 
@@ -51,24 +52,26 @@ def add(base: str, batch: int, questions: DataFrame, key: str = "key", text: str
         return spark.read.parquet(decided)
     if _batches(spark, base, 1 << 62)[-1:] > [batch]:
         raise ValueError(f"a later batch than {batch} has been added")
-    rows = cut(questions.select(F.col(key).alias("k"), F.col(text).alias("text"), T.shingles(T.normalized_tokens(F.col(text)), 3).alias("s"), T.content_hash(F.col(text)).alias("h")))
-    asked = cut(_hashes(rows))
+    rows = cut(question_keys(questions, key, text))
+    rest = rows
     told = rows.select("k", F.lit(None).cast("string").alias("reason")).limit(0)
     earlier = _batches(spark, base, batch)
     if earlier:
+        asked = _hashes(rows)
         slots = [r.slot for r in asked.select("slot").distinct().collect()]  # at most SLOTS
         index = spark.read.parquet(f"{base}/index").filter(F.col("batch").isin(earlier) & F.col("slot").isin(slots))
-        met = cut(index.select(F.col("k").alias("p"), "kind", "hash").join(small(asked.drop("slot")), ["kind", "hash"]).select("p", "k", "kind").distinct())
-        near = small(met.select("p", "k").distinct())
+        met = cut(index.select(F.col("k").alias("p"), "kind", "hash").join(small(asked.drop("slot")), ["kind", "hash"]).select("p", "k").distinct())
+        near = small(met)
         pool = spark.read.parquet(f"{base}/accepted").filter(F.col("batch").isin(earlier)).select(F.col("k").alias("p"), F.col("s").alias("ps"), F.col("h").alias("ph"))
         pairs = pool.join(near, "p").join(rows.select("k", "s", "h"), "k")
         same, alike = F.col("h") == F.col("ph"), T.jaccard(F.col("s"), F.col("ps")) >= threshold
         hits = pairs.filter(same | alike).groupBy("k").agg(F.bool_or(same).alias("same"))
         told = cut(hits.select("k", F.when(F.col("same"), "duplicate_question").otherwise("near_duplicate_question").alias("reason")))
-    rest = cut(rows.join(told, "k", "left_anti"))
-    out = cut(told.unionByName(question_filter(rest, "k", "text", threshold)))
-    fresh = cut(rest.select("k", "s", "h").join(out.filter("reason is null"), "k", "left_semi"))
-    fresh.write.mode("overwrite").parquet(f"{base}/accepted/batch={batch}")
-    _hashes(fresh).repartition("slot").write.mode("overwrite").partitionBy("slot").parquet(f"{base}/index/batch={batch}")
+        rest = cut(rows.join(told, "k", "left_anti"))
+    out = cut(told.unionByName(question_filter(rest, "k", None, threshold)))
+    fresh = f"{base}/accepted/batch={batch}"
+    rest.join(out.filter("reason is null"), "k", "left_semi").write.mode("overwrite").parquet(fresh)
+    # A number of parts of one's own is not joined into few again: a slot's folder is slow to make, not to fill.
+    _hashes(spark.read.parquet(fresh)).repartition(spark.sparkContext.defaultParallelism, "slot").write.mode("overwrite").partitionBy("slot").parquet(f"{base}/index/batch={batch}")
     out.select(F.col("k").alias(key), "reason").write.mode("overwrite").parquet(decided)
     return spark.read.parquet(decided)

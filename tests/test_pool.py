@@ -52,3 +52,20 @@ def test_a_batch_reads_the_slots_of_its_hashes(spark, tmp_path):
     assert 1 <= len(slots) <= 5
     assert told(pool.add(base, 1, frame)) == [(500, None)]
     assert len(list((tmp_path / "pool/index/batch=1").glob("slot=*"))) <= 5
+
+
+def test_a_question_is_hashed_once_and_only_neighbours_wait(spark, tmp_path, monkeypatch):
+    made, states = [], []
+    for module in (dedup, pool):
+        monkeypatch.setattr(module, "sha_signature", lambda s, of=dedup.sha_signature: made.append(1) or of(s))
+    words = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen twenty"
+    rows = [(1, words), (2, "Is it open?"), (3, f"{words} more"), (4, "is it  open?"), (5, "And then?")]
+    for batch in (0, 1):
+        told = pool.add(str(tmp_path), batch, spark.createDataFrame([(k + 10 * batch, t) for k, t in rows], "key int, text string"))
+        want = {4: "duplicate_question"} if not batch else {11: "duplicate_question", 12: "duplicate_question", 14: "duplicate_question", 15: "duplicate_question"}
+        got = {r.key: r.reason for r in told.collect()}
+        assert len(got) == 5 and {k: r for k, r in got.items() if k % 10 != 3 and r} == want and (not batch or got[13])
+    assert len(made) == 2
+    monkeypatch.setattr(dedup, "cut", lambda df: states.append(df.columns) or df)
+    kept = dedup.ordered_filter(spark.createDataFrame([(1,), (2,), (3,)], "key int"), spark.createDataFrame([], "a int, b int"))
+    assert sorted(map(tuple, kept.collect())) == [(1, True), (2, True), (3, True)] and len(states) == 2
