@@ -99,12 +99,12 @@ def let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def shingles(words: Column, width: int) -> Column:
-    """Distinct runs of ``width`` words; a shorter text is one run, none if it has no word."""
+def shingles(words: Column, width: int, hashed: bool = False) -> Column:
+    """Distinct runs of ``width`` words; a shorter text is one run, none if it has no word.  hashed: a hash of each run, not yet distinct."""
 
     def of(w: Column) -> Column:
-        runs = F.transform(F.sequence(F.lit(1), F.greatest(F.size(w) - (width - 1), F.lit(1))), lambda i: F.array_join(F.slice(w, i, width), " "))
-        return F.when(F.size(w) == 0, F.expr("cast(array() as array<string>)")).otherwise(F.array_distinct(runs))
+        runs = F.transform(F.sequence(F.lit(1), F.greatest(F.size(w) - (width - 1), F.lit(1))), lambda i: (F.xxhash64 if hashed else lambda x: x)(F.array_join(F.slice(w, i, width), " ")))
+        return F.when(F.size(w) == 0, F.expr(f"cast(array() as array<{'bigint' if hashed else 'string'}>)")).otherwise(runs if hashed else F.array_distinct(runs))
 
     return let(words, of)
 

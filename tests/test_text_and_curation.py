@@ -140,3 +140,16 @@ def test_quota_select(spark):
     kept, over, short = sampling.quota_select(rows, quotas, ["l", "t"], ["o"])
     assert sorted(r.o for r in kept.filter("l = 'en'").collect()) == [0, 1, 2] and over.count() == 2
     assert [tuple(r) for r in short.collect()] == [("tr", "x", 2, 1, 1)]
+
+
+def test_sets_are_hashed_as_they_are_made_and_bands_are_made_once(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "a b c d e f g a b c d e"), (2, "a b c d e f g a b c d e"), (3, "one"), (4, ""), (5, None), (6, "")], "doc_id int, text string")
+    words = T.normalized_tokens(F.col("text"))
+    plain, hashed = F.transform(T.shingles(words, 5), lambda x: F.xxhash64(x)), F.array_distinct(T.shingles(words, 5, hashed=True))
+    assert docs.filter(~plain.eqNullSafe(hashed)).count() == 0
+    seen = []
+    whole = dedup.cut
+    monkeypatch.setattr(dedup, "cut", lambda df: seen.append(df.columns) or whole(df))
+    got = {r.doc_id: (r.component, r.group_size) for r in dedup.near_duplicate_groups(docs).collect()}
+    assert {k: got[k] for k in (1, 2, 3)} == {1: (1, 2), 2: (1, 2), 3: (3, 1)} and got[4] == got[6] and len(got) == 6
+    assert ["rep", "bucket"] in seen
