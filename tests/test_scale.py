@@ -116,3 +116,46 @@ def test_unicode_forms_are_made_in_parts(monkeypatch):
     monkeypatch.setattr(text, "PART", 2)
     assert text._by_parts(pa.array(["ﬁ", None, "", "a", "Ω"]), str.upper).to_pylist() == ["FI", None, "", "A", "Ω"]
     assert text._by_parts(pa.array([], pa.string()), str.upper).to_pylist() == []
+
+
+def _read(spark) -> int:
+    """Rows that all stages so far have read from files."""
+    store = spark.sparkContext._jsc.sc().statusStore()
+    stages = store.stageList(None, False, False, spark.sparkContext._gateway.new_array(spark._jvm.double, 0), spark._jvm.java.util.ArrayList())
+    return sum(stages.apply(i).inputRecords() for i in range(stages.size()))
+
+
+def test_a_choice_reads_its_candidates_no_more_often_for_more_strata(spark):
+    """Candidates of all strata are looked for at once; a round over them reads what was kept."""
+    from lodestrand.operators import dedup
+
+    types = ["factual", "definition", "list_table", "comparison", "temporal"]
+    rows = [(f"a{i}", f"p{i // 3}", f"d{i // 3}", ("en", "tr")[i // 3 % 2], types) for i in range(30000)]
+    found = dedup.stored(spark.createDataFrame(rows, "anchor_id string, passage_id string, document_id string, language string, compatible_types array<string>"))
+    strata = planner._strata(planner.quota_plan(60))
+    before = _read(spark)
+    assert planner.choose(found, strata, 3).count() == sum(s["count"] for s in strata)
+    assert len(strata) > 12 and _read(spark) - before < 5 * len(rows)
+
+
+def test_mutations_ask_for_donors_of_hardly_more_parents_than_lack(spark, monkeypatch):
+    """Each parent asked meets all terms: of 300 that could be, 100 are needed."""
+    rows = [(f"a{i}", f"d{i}", f"text {i}", [("entity", f"e{i}")]) for i in range(300)]
+    found = spark.createDataFrame(rows, "anchor_id string, document_id string, anchor_text string, mutation_terms array<struct<kind:string,value:string>>")
+    tasks = spark.createDataFrame([(f"t{i}", "model", "en", "factual", f"a{i}") for i in range(300)], "task_id string, kind string, question_language string, qa_type string, anchor_id string")
+    asked, plain = [], planner.donors
+    monkeypatch.setattr(planner, "donors", lambda c, parents, *more: asked.append(parents.count()) or plain(c, parents, *more))
+    made, issues = planner.mutations(found, tasks, {"en": 100}, 7, 0)
+    assert made.count() == 100 and not issues and sum(asked) < 110
+
+
+def test_what_is_cited_goes_to_the_checks_and_nothing_else(spark):
+    """Passages, documents and candidates meet a plan's questions by broadcast, before any of them is shuffled."""
+    from lodestrand.operators import passages, questions
+
+    quote = questions.EVIDENCE
+    rows = spark.createDataFrame([], f"qa_id string, primary_type string, evidence array<{quote}>")
+    held = spark.createDataFrame([], passages.PASSAGE)
+    docs = spark.createDataFrame([], "document_id string, text string, rights_state string, release_qa boolean, release_derived_text boolean")
+    plan = questions.evidence_reasons(rows, held, docs, spark.createDataFrame([], passages.CANDIDATE))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join LeftSemi") == 3 and plan.count("rightHint=(strategy=broadcast)") + plan.count("strategy=broadcast") >= 3
